@@ -38,26 +38,43 @@ ENTRY = T.StructType([
     T.StructField("content", T.StructType([T.StructField("div", T.StructType([
         T.StructField("span", T.ArrayType(SPAN)), T.StructField("ul", T.ArrayType(UL))]))])),
 ])
-FEED = T.StructType([T.StructField("totalResults", T.StringType()),
-                     T.StructField("entry", T.ArrayType(ENTRY)),
-                     T.StructField("_corrupt_record", T.StringType())])
+ENTRY_DOC = T.StructType(ENTRY.fields + [T.StructField("_corrupt_record", T.StringType())])
+HEADER = T.StructType([T.StructField("totalResults", T.StringType()),
+                       T.StructField("_corrupt_record", T.StringType())])
 
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
 
+# An entry starts at ``<entry`` or ``<prefix:entry`` followed by a space,
+# ``/`` or ``>``; the zero-width split keeps each entry's own text intact.
+ENTRY_START = r"(?=<(?:[A-Za-z_][\w.\-]*:)?entry[\s/>])"
 
-def parse_feed(pages: DataFrame, body_col: str = "body") -> DataFrame:
-    """Add ``feed`` (parsed struct) and ``parse_ok``: a page parses when its
-    body is present and no corrupt record was produced."""
-    feed = F.from_xml(F.col(body_col), FEED, XML_OPTIONS)
-    out = pages.withColumn("feed", feed)
-    return out.withColumn("parse_ok", F.col(body_col).isNotNull()
-                          & F.col("feed._corrupt_record").isNull())
 
+def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
+    """Add ``total_results`` (``openSearch:totalResults`` as int) and
+    ``parse_ok`` (body present and well-formed). The header schema has no
+    entries, so the parser checks the whole page but builds nothing big."""
+    head = F.from_xml(F.col(body_col), HEADER, XML_OPTIONS)
+    return (pages.withColumn("_h", head)
+            .withColumn("total_results", F.col("_h.totalResults").try_cast("int"))
+            .withColumn("parse_ok", F.col(body_col).isNotNull() & F.col("_h._corrupt_record").isNull())
+            .drop("_h"))
 
-def feed_total(parsed: DataFrame) -> Column:
-    """``openSearch:totalResults`` as int (null when absent or malformed)."""
-    return F.col("feed.totalResults").try_cast("int")
+
+def entry_fragments(body) -> Column:
+    """The page's entries as separate XML texts, in document order. The
+    text before the first entry (the feed header) is dropped; text after an
+    entry's end tag is ignored by the parser."""
+    b = F.col(body) if isinstance(body, str) else body
+    parts = F.split(b, ENTRY_START, -1)
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
+def parse_entry(fragment) -> Column:
+    """One entry fragment -> ``ENTRY`` struct (prefixes matched by local
+    name, so the fragment needs no namespace declarations)."""
+    f = F.col(fragment) if isinstance(fragment, str) else fragment
+    return F.from_xml(f, ENTRY_DOC, XML_OPTIONS)
 
 
 # -- selection helpers: XPath ``x[@class='c']`` on parsed arrays -------------

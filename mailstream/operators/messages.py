@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
-from mailstream.operators.feed import parse_feed
-from mailstream.operators.parcels import entries, last_per_key, parcel_json, parcels, with_keys
+from mailstream.operators.feed import entry_fragments, parse_entry, parse_header
+from mailstream.operators.parcels import parcel_json, parcel_key, parcel_projection, step_array
 
 # Topic names.
 URLS_TOPIC = "urls"
@@ -55,30 +55,51 @@ def route_windows(totals: DataFrame, base_url: str = paging.DEFAULT_BASE_URL,
 
 
 def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Fetched pages ``(url, status, body)`` -> messages.
-
-    * status 200 and a parseable feed: one message per parcel on the parcel
-      topic, key ``isie|datePublication``, value the parcel JSON; with
-      ``dedupe`` only the last parcel per key within a page is kept;
-    * status 200 but unparseable: the URL on the catch topic, reason
-      ``parse_error`` (no message is lost);
+    """Fetched pages ``(url, status, body)`` -> messages
+    ``(topic, key, value, reason, url)``.
+
+    * status 200 and a well-formed feed: one message per parcel on the
+      parcel topic, key ``isie|datePublication``, value the parcel JSON;
+      with ``dedupe`` only the last parcel per key within a page is kept;
+    * status 200 but malformed: the URL on the catch topic, reason
+      ``parse_error`` (nothing is lost silently);
     * any other status: the URL on the catch topic, reason ``http_<status>``.
+
+    One pass: each page is checked once, its entries are parsed one by one,
+    and failed pages ride the same explode as a single null-entry row.
+    The per-key choice is a partial aggregate (duplicates of a page meet in
+    the map-side buffer; only survivors are shuffled).
     """
-    parsed = parse_feed(fetched.filter(F.col("status") == 200), "body")
-    good = parsed.filter(F.col("parse_ok"))
-    keyed = with_keys(parcels(entries(good)))
-    chosen = last_per_key(keyed) if dedupe else keyed
-    main = chosen.select(F.lit(PARCELS_TOPIC).alias("topic"), "key",
-                         parcel_json(chosen).alias("value"), F.lit(None).cast("string").alias("reason"),
-                         "url")
-    bad_parse = parsed.filter(~F.col("parse_ok")).select(
-        F.lit(CATCH_URLS_TOPIC).alias("topic"), F.col("url").alias("key"), F.col("url").alias("value"),
-        F.lit("parse_error").alias("reason"), "url")
-    failed = fetched.filter(F.col("status").isNull() | (F.col("status") != 200)).select(
-        F.lit(CATCH_URLS_TOPIC).alias("topic"), F.col("url").alias("key"), F.col("url").alias("value"),
-        F.concat(F.lit("http_"), F.coalesce(F.col("status").cast("string"), F.lit("none"))).alias("reason"),
-        "url")
-    return main.unionByName(bad_parse).unionByName(failed)
+    st = F.col("status")
+    pages = fetched.withColumn("body", F.when(st == 200, F.col("body")))
+    checked = parse_header(pages, "body")
+    reason = (F.when(st.isNull() | (st != 200),
+                     F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
+              .when(~F.col("parse_ok"), F.lit("parse_error")))
+    frags = F.when(F.col("reason").isNull(), entry_fragments("body"))
+    ents = (checked.withColumn("reason", reason)
+            .select("url", "reason", F.posexplode_outer(frags).alias("_p", "_frag"))
+            .select("url", "reason", (F.col("_p") + 1).cast("int").alias("entry_pos"),
+                    parse_entry("_frag").alias("entry")))
+    rows = (ents.select("url", "reason", "entry_pos", "entry",
+                        F.explode_outer(step_array(F.col("entry"))).alias("_s"))
+            .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull()))
+    proj = parcel_projection(F.col("_s._k"), F.col("_s.li"), F.col("entry"))
+    parcel = rows.select("url", "reason", "entry_pos", F.col("_s._k").alias("_k"),
+                         F.col("_s.li_pos").alias("li_pos"),
+                         *[c.alias(n) for n, c in proj.items()])
+    ok = F.col("reason").isNull()
+    out = parcel.select(
+        "url", "reason",
+        F.when(ok, F.lit(PARCELS_TOPIC)).otherwise(F.lit(CATCH_URLS_TOPIC)).alias("topic"),
+        F.when(ok, parcel_key()).otherwise(F.col("url")).alias("key"),
+        F.when(ok, parcel_json(parcel)).otherwise(F.col("url")).alias("value"),
+        F.struct(F.coalesce("entry_pos", F.lit(0)), F.coalesce("_k", F.lit(0)),
+                 F.coalesce("li_pos", F.lit(0))).alias("_order"))
+    if dedupe:
+        best = F.max_by(F.struct("topic", "value", "reason"), F.col("_order")).alias("_w")
+        out = out.groupBy("url", "key").agg(best).select("url", "key", "_w.*")
+    return out.select("topic", "key", "value", "reason", "url")
 
 
 def page_result_map(keyed_json: DataFrame) -> DataFrame:

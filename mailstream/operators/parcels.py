@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailstream.functions.text import blank_to_null, java_concat
-from mailstream.operators.feed import client_spans, dd_for, first_by_class, ul_items
+from mailstream.operators.feed import (
+    LI, client_spans, dd_for, entry_fragments, first_by_class, parse_entry, parse_header, ul_items,
+)
+from pyspark.sql import types as T
 
 MACHINE, MANUAL = "machine", "manuel"
 
@@ -36,10 +39,19 @@ ADDRESS_FIELDS = ["originAdresse", "CodeAdresse", "codeAcheDistri", "idRao", "ty
 BLANK_IS_NULL = {"updated", "published", "debutTraitement", "date", "datePublication"}
 
 
-def entries(parsed: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """One row per feed entry with its 1-based position in the page."""
-    return parsed.select(*keep, F.posexplode(F.col("feed.entry")).alias("_p", "entry")) \
-        .withColumn("entry_pos", (F.col("_p") + 1).cast("int")).drop("_p")
+def entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str = "body",
+            checked: bool = False) -> DataFrame:
+    """One row per feed entry with its 1-based position in the page.
+
+    Pages that are not well-formed yield no entries (a page is all or
+    nothing). Entries are cut from the page text and parsed one by one, so
+    parse memory is bounded by an entry, not by a page.
+    """
+    ok = pages if checked else parse_header(pages, body_col)
+    return (ok.filter(F.col("parse_ok"))
+            .select(*keep, F.posexplode(entry_fragments(body_col)).alias("_p", "_frag"))
+            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"),
+                    parse_entry("_frag").alias("entry")))
 
 
 def parcel_columns(entry: Column) -> dict[str, Column]:
@@ -121,45 +133,76 @@ def address_columns(li: Column) -> dict[str, Column]:
     }
 
 
-def _steps(ents: DataFrame, ul_class: str, keep: tuple[str, ...]) -> DataFrame:
-    # explode (not explode_outer): entries without steps produce no rows
-    return ents.select(*keep, "entry_pos", "entry",
-                       F.posexplode(ul_items(F.col("entry"), ul_class)).alias("_p", "li")) \
-        .withColumn("li_pos", (F.col("_p") + 1).cast("int")).drop("_p")
+STEP_ITEM = T.StructType([T.StructField("_k", T.IntegerType()),
+                         T.StructField("li_pos", T.IntegerType()),
+                         T.StructField("li", LI)])
+
+
+def step_array(entry: Column) -> Column:
+    """Machine steps then manual steps of an entry as one array of
+    ``(_k, li_pos, li)``; ``_k`` is 0 for machine, 1 for manual."""
+    empty = F.array().cast(T.ArrayType(LI))
+
+    def tag(k: int, cls: str) -> Column:
+        items = F.coalesce(ul_items(entry, cls), empty)
+        return F.transform(items, lambda li, i: F.struct(F.lit(k).alias("_k"),
+                                                         (i + 1).cast("int").alias("li_pos"),
+                                                         li.alias("li")))
+
+    return F.concat(tag(0, "traitement"), tag(1, "traitementManuel")).cast(T.ArrayType(STEP_ITEM))
+
 
+def steps(ents: DataFrame, keep: tuple[str, ...] = ("url",), outer: bool = False) -> DataFrame:
+    """One row per step (entry fields kept). A single explode serves both
+    kinds, so each entry is read once. ``explode`` drops entries without
+    steps; ``outer`` keeps them as one row with a null step."""
+    gen = F.explode_outer if outer else F.explode
+    return (ents.select(*keep, "entry_pos", "entry", gen(step_array(F.col("entry"))).alias("_s"))
+            .select(*keep, "entry_pos", "entry", "_s._k", "_s.li_pos", "_s.li"))
 
-def _project(steps: DataFrame, kind: str, cols: dict[str, Column], keep, flat: bool) -> DataFrame:
+
+def _kind(k: Column) -> Column:
+    return F.when(k == 0, F.lit(MACHINE)).when(k == 1, F.lit(MANUAL))
+
+
+def _flat(st: DataFrame, kind: str, cols: dict[str, Column], keep) -> DataFrame:
     parent = parcel_columns(F.col("entry"))
-    head = [*keep, "entry_pos", F.lit(kind).alias("kind"), "li_pos"]
-    body = [c.alias(n) for n, c in parent.items()]
-    if flat:
-        step = [c.alias(n if n not in parent else f"t_{n}") for n, c in cols.items()]
-        return steps.select(*head, *body, *step)
-    trait = F.struct(*[c.alias(n) for n, c in cols.items()]).alias("traitement")
-    return steps.select(*head, *body, trait, cols["datePublication"].alias("id"))
+    return st.select(*keep, "entry_pos", F.lit(kind).alias("kind"), "li_pos",
+                     *[c.alias(n) for n, c in parent.items()],
+                     *[c.alias(n if n not in parent else f"t_{n}") for n, c in cols.items()])
 
 
-def machine_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",), flat: bool = True) -> DataFrame:
-    """One row per machine step. ``flat`` puts step fields beside the parent
-    fields (``t_etat`` is the step's own state); otherwise a ``traitement``
-    struct and the record ``id`` (its publication date)."""
-    return _project(_steps(ents, "traitement", keep), MACHINE,
-                    machine_columns(F.col("li")), keep, flat)
+def machine_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    """One row per machine step, step fields beside the parent fields
+    (``t_etat`` is the step's own state)."""
+    st = steps(ents, keep).filter(F.col("_k") == 0)
+    return _flat(st, MACHINE, machine_columns(F.col("li")), keep)
 
 
-def manual_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",), flat: bool = True) -> DataFrame:
-    return _project(_steps(ents, "traitementManuel", keep), MANUAL,
-                    manual_columns(F.col("li")), keep, flat)
+def manual_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    st = steps(ents, keep).filter(F.col("_k") == 1)
+    return _flat(st, MANUAL, manual_columns(F.col("li")), keep)
+
+
+def parcel_projection(k: Column, li: Column, entry: Column) -> dict[str, Column]:
+    """Parcel columns for a step row: parent fields, ``kind``, the step as
+    ``machine`` or ``manuel`` struct (the other one null) and the record
+    ``id`` (the step's publication date)."""
+    mc, hc = machine_columns(li), manual_columns(li)
+    out = {"kind": _kind(k)}
+    out.update(parcel_columns(entry))
+    out["machine"] = F.when(k == 0, F.struct(*[c.alias(n) for n, c in mc.items()]))
+    out["manuel"] = F.when(k == 1, F.struct(*[c.alias(n) for n, c in hc.items()]))
+    out["id"] = F.when(k == 0, mc["datePublication"]).otherwise(hc["datePublication"])
+    return out
 
 
 def parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """Machine steps then manual steps of every entry (UNION ALL), with
-    the step as a ``traitement`` struct; the two kinds have different
-    structs, so they travel as ``machine``/``manuel`` columns and the
-    shared ``id``."""
-    m = machine_parcels(ents, keep, flat=False).withColumnRenamed("traitement", "machine")
-    h = manual_parcels(ents, keep, flat=False).withColumnRenamed("traitement", "manuel")
-    return m.unionByName(h, allowMissingColumns=True)
+    """Machine steps then manual steps of every entry, one row each."""
+    st = steps(ents, keep)
+    proj = parcel_projection(F.col("_k"), F.col("li"), F.col("entry"))
+    return st.select(*keep, "entry_pos", proj.pop("kind").alias("kind"), "li_pos",
+                     *[c.alias(n) for n, c in proj.items()])
 
 
 def treatment_counts(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
@@ -173,12 +216,12 @@ def treatment_counts(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataF
 
 def addresses(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """One row per ``ul.adresses/li`` of each entry."""
-    steps = _steps(ents, "adresses", keep)
+    e = F.col("entry")
+    st = ents.select(*keep, "entry_pos", first_by_class(e["title"]["div"]["span"], "id").alias("isie"),
+                     F.posexplode(ul_items(e, "adresses")).alias("_p", "li"))
     cols = address_columns(F.col("li"))
-    return steps.select(*keep, "entry_pos",
-                        first_by_class(F.col("entry.title.div.span"), "id").alias("isie"),
-                        F.col("li_pos").alias("addr_pos"),
-                        *[c.alias(n) for n, c in cols.items()])
+    return st.select(*keep, "entry_pos", "isie", (F.col("_p") + 1).cast("int").alias("addr_pos"),
+                     *[c.alias(n) for n, c in cols.items()])
 
 
 def parcel_key(isie="isie", rid="id") -> Column:

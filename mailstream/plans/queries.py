@@ -148,8 +148,7 @@ def rendered_pages(spark, sf) -> DataFrame:
 
 
 def _entries(spark, sf) -> DataFrame:
-    parsed = feedops.parse_feed(rendered_pages(spark, sf).select("url", "body"))
-    return P.entries(parsed)
+    return P.entries(rendered_pages(spark, sf).select("url", "body"))
 
 
 def fetched_round_trip(spark, sf) -> DataFrame:
@@ -163,9 +162,9 @@ def fetched_round_trip(spark, sf) -> DataFrame:
 
 @query
 def q_feed_total(spark, sf):
-    parsed = feedops.parse_feed(rendered_pages(spark, sf).select("url", "body"))
-    return parsed.select("url", feedops.feed_total(parsed).alias("total_results"),
-                         F.size("feed.entry").cast("int").alias("n_entries"))
+    parsed = feedops.parse_header(rendered_pages(spark, sf).select("url", "body"))
+    return parsed.select("url", "total_results",
+                         F.size(feedops.entry_fragments("body")).cast("int").alias("n_entries"))
 
 
 @query
@@ -242,10 +241,8 @@ def q_egress_messages(spark, sf):
 
 @query
 def q_map_explode(spark, sf):
-    keyed = P.with_keys(P.parcels(_entries(spark, sf)))
-    last = P.last_per_key(keyed)
-    kv = last.select("url", "key", P.parcel_json(last).alias("value"))
-    return msg.explode_result_map(msg.page_result_map(kv))
+    kv = msg.page_messages(fetched_round_trip(spark, sf).filter(F.col("status") == 200))
+    return msg.explode_result_map(msg.page_result_map(kv.select("url", "key", "value")))
 
 
 # -- keys, payloads, logs ----------------------------------------------------
