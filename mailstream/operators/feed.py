@@ -46,8 +46,10 @@ XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
 
 # An entry starts at ``<entry`` or ``<prefix:entry`` followed by a space,
-# ``/`` or ``>``; the zero-width split keeps each entry's own text intact.
-ENTRY_START = r"(?=<(?:[A-Za-z_][\w.\-]*:)?entry[\s/>])"
+# ``/`` or ``>``. The prefix is read once per page from the first entry tag;
+# the split then uses that literal tag (a literal-led pattern the regex
+# engine scans with Boyer-Moore instead of trying every position).
+ENTRY_TAG = r"<([A-Za-z_][\w.\-]*:)?entry[\s/>]"
 
 
 def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
@@ -61,15 +63,44 @@ def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
             .drop("_h"))
 
 
-def entry_fragments(body) -> Column:
-    """The page's entries as separate XML texts, in document order. The
-    text before the first entry (the feed header) is dropped; text after an
-    entry's end tag is ignored by the parser."""
+def entry_tag(body) -> Column:
+    """The entry start tag used by this page, e.g. ``<a:entry``."""
     b = F.col(body) if isinstance(body, str) else body
-    parts = F.split(b, ENTRY_START, -1)
+    return F.concat(F.lit("<"), F.regexp_extract(b, ENTRY_TAG, 1), F.lit("entry"))
+
+
+def entry_tails(body, tag) -> Column:
+    """Entry texts without their start tag (split on the literal tag)."""
+    b = F.col(body) if isinstance(body, str) else body
+    t = F.col(tag) if isinstance(tag, str) else tag
+    pattern = F.concat(F.lit("\\Q"), t, F.lit("\\E(?=[\\s/>])"))
+    parts = F.split(b, pattern, -1)
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
+def explode_entries(pages: DataFrame, body_col: str, keep: tuple[str, ...] | list,
+                    outer: bool = False, when: Column | None = None) -> DataFrame:
+    """One row per entry: ``keep..., entry_pos (1-based), fragment``.
+
+    The page's tag is computed once per page; tails are exploded and the tag
+    is put back per row. ``when`` limits splitting to some pages; with
+    ``outer`` the other pages stay as one row with null position/fragment.
+    """
+    tails = entry_tails(body_col, "_etag")
+    if when is not None:
+        tails = F.when(when, tails)
+    gen = F.posexplode_outer if outer else F.posexplode
+    return (pages.withColumn("_etag", entry_tag(body_col))
+            .select(*keep, "_etag", gen(tails).alias("_p", "_tail"))
+            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"),
+                    F.concat(F.col("_etag"), F.col("_tail")).alias("fragment")))
+
+
+def entry_count(body) -> Column:
+    """Number of entries in a page."""
+    return F.size(entry_tails(body, entry_tag(body))).cast("int")
+
+
 def parse_entry(fragment) -> Column:
     """One entry fragment -> ``ENTRY`` struct (prefixes matched by local
     name, so the fragment needs no namespace declarations)."""
@@ -90,6 +121,18 @@ def first_by_class(arr: Column, cls: str, attr: str = "_VALUE",
     return F.get(hit, 0)[attr]
 
 
+def classes(arr: Column, lower: bool = False) -> Column:
+    """``_class`` of every element (one pass, reused by all lookups)."""
+    return F.transform(arr, lambda x: F.lower(x["_class"]) if lower else x["_class"])
+
+
+def pick(arr: Column, class_arr: Column, cls: str, attr: str = "_VALUE") -> Column:
+    """First element of ``arr`` whose class is ``cls`` (by position in the
+    precomputed ``class_arr``); null when absent."""
+    idx = (F.array_position(class_arr, F.lit(cls)) - 1).cast("int")
+    return F.get(arr, idx)[attr]
+
+
 def client_spans(holder: Column) -> Column:
     """Spans of the first ``div[@class='client']`` under ``holder``."""
     return F.get(F.filter(holder["div"], lambda d: d["_class"] == F.lit("client")), 0)["span"]

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
-from mailstream.operators.feed import entry_fragments, parse_entry, parse_header
-from mailstream.operators.parcels import parcel_json, parcel_key, parcel_projection, step_array
+from mailstream.operators.feed import explode_entries, parse_entry, parse_header
+from mailstream.operators.parcels import (
+    _with_lookups, parcel_json, parcel_key, parcel_projection, step_array,
+)
 
 # Topic names.
 URLS_TOPIC = "urls"
@@ -76,15 +78,15 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
     reason = (F.when(st.isNull() | (st != 200),
                      F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
               .when(~F.col("parse_ok"), F.lit("parse_error")))
-    frags = F.when(F.col("reason").isNull(), entry_fragments("body"))
-    ents = (checked.withColumn("reason", reason)
-            .select("url", "reason", F.posexplode_outer(frags).alias("_p", "_frag"))
-            .select("url", "reason", (F.col("_p") + 1).cast("int").alias("entry_pos"),
-                    parse_entry("_frag").alias("entry")))
+    frags = explode_entries(checked.withColumn("reason", reason), "body", ["url", "reason"],
+                            outer=True, when=F.col("reason").isNull())
+    ents = frags.select("url", "reason", "entry_pos", parse_entry("fragment").alias("entry"))
     rows = (ents.select("url", "reason", "entry_pos", "entry",
                         F.explode_outer(step_array(F.col("entry"))).alias("_s"))
-            .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull()))
-    proj = parcel_projection(F.col("_s._k"), F.col("_s.li"), F.col("entry"))
+            .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull())
+            .withColumn("li", F.col("_s.li")))
+    rows = _with_lookups(rows)
+    proj = parcel_projection(F.col("_s._k"), F.col("li"), F.col("entry"), lookups=True)
     parcel = rows.select("url", "reason", "entry_pos", F.col("_s._k").alias("_k"),
                          F.col("_s.li_pos").alias("li_pos"),
                          *[c.alias(n) for n, c in proj.items()])

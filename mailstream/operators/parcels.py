@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from mailstream.functions.text import blank_to_null, java_concat
 from mailstream.operators.feed import (
-    LI, client_spans, dd_for, entry_fragments, first_by_class, parse_entry, parse_header, ul_items,
+    LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_entry, parse_header,
+    pick, ul_items,
 )
 from pyspark.sql import types as T
 
@@ -48,75 +49,96 @@ def entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str =
     parse memory is bounded by an entry, not by a page.
     """
     ok = pages if checked else parse_header(pages, body_col)
-    return (ok.filter(F.col("parse_ok"))
-            .select(*keep, F.posexplode(entry_fragments(body_col)).alias("_p", "_frag"))
-            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"),
-                    parse_entry("_frag").alias("entry")))
+    frags = explode_entries(ok.filter(F.col("parse_ok")), body_col, keep)
+    return frags.select(*keep, "entry_pos", parse_entry("fragment").alias("entry"))
 
 
-def parcel_columns(entry: Column) -> dict[str, Column]:
+def entry_lookups(entry: Column) -> dict[str, Column]:
+    """Per-entry helper arrays: title spans/divs, the client spans of the
+    title, and their class names."""
     title = entry["title"]["div"]
+    client = client_spans(title)
+    return {"_ts": title["span"], "_tsc": classes(title["span"]),
+            "_td": title["div"], "_tdc": classes(title["div"]),
+            "_tcl": client, "_tclc": classes(client)}
+
+
+def li_lookups(li: Column) -> dict[str, Column]:
+    """Per-step helper arrays: spans, client spans and their class names
+    (plus lower-cased classes for the case-insensitive ``cedex``)."""
+    client = client_spans(li)
+    return {"_ls": li["span"], "_lsc": classes(li["span"]), "_lslc": classes(li["span"], True),
+            "_lcl": client, "_lclc": classes(client)}
+
+
+def parcel_columns(entry: Column, lk: dict[str, Column] | None = None) -> dict[str, Column]:
+    """Parent fields. ``lk`` maps helper names to columns (defaults to
+    computing them inline)."""
+    lk = lk or entry_lookups(entry)
+    ts, tsc = lk["_ts"], lk["_tsc"]
     links = entry["link"]
     return {
-        "isie": first_by_class(title["span"], "id"),
+        "isie": pick(ts, tsc, "id"),
         "image": F.coalesce(F.exists(links, lambda l: l["_href"].like("%format=jpeg%")),
                             F.lit(False)),
-        "format": first_by_class(title["span"], "format"),
-        "priorite": first_by_class(title["span"], "priorite"),
-        "etat": first_by_class(title["span"], "etat"),
+        "format": pick(ts, tsc, "format"),
+        "priorite": pick(ts, tsc, "priorite"),
+        "etat": pick(ts, tsc, "etat"),
         "plateformTri": entry["author"]["name"],
-        "envoloppeExpire": first_by_class(title["div"], "expires"),
-        "cleExterne": first_by_class(client_spans(title), "cleExterne"),
+        "envoloppeExpire": pick(lk["_td"], lk["_tdc"], "expires"),
+        "cleExterne": pick(lk["_tcl"], lk["_tclc"], "cleExterne"),
         "updated": blank_to_null(entry["updated"]),
         "published": blank_to_null(entry["published"]),
         "derivationAdresse": first_by_class(entry["content"]["div"]["span"], "derivation"),
     }
 
 
-def machine_columns(li: Column) -> dict[str, Column]:
-    sp, cl = li["span"], client_spans(li)
+def machine_columns(li: Column, lk: dict[str, Column] | None = None) -> dict[str, Column]:
+    lk = lk or li_lookups(li)
+    sp, sc, cl, clc = lk["_ls"], lk["_lsc"], lk["_lcl"], lk["_lclc"]
     abbr = li["abbr"]
     return {
-        "debutTraitement": blank_to_null(first_by_class(sp, "dateDebut")),
-        "idPlateforme": first_by_class(sp, "idPlateforme"),
-        "idMachineTri": first_by_class(sp, "idMachineTri"),
-        "entreeMachine": first_by_class(sp, "entreeMachine"),
+        "debutTraitement": blank_to_null(pick(sp, sc, "dateDebut")),
+        "idPlateforme": pick(sp, sc, "idPlateforme"),
+        "idMachineTri": pick(sp, sc, "idMachineTri"),
+        "entreeMachine": pick(sp, sc, "entreeMachine"),
         "programmeTriTitle": first_by_class(abbr, "programmeTri", "_title"),
         "programmeTriId": first_by_class(abbr, "programmeTri", "_id"),
         "programmeTri": first_by_class(abbr, "programmeTri"),
         "triSanctionPartiel": dd_for(li, "parametresTri", "triSanctionPartiel"),
-        "etat": first_by_class(sp, "etat"),
-        "receptacle": first_by_class(sp, "receptacle"),
-        "receptacleType": first_by_class(sp, "receptacle", "_type"),
-        "receptacleNiveau": first_by_class(sp, "receptacle", "_niveau"),
-        "receptacleLang": first_by_class(sp, "receptacle", "_lang"),
-        "receptacleReel": first_by_class(cl, "receptacleReel"),
-        "raisonModificationReceptacle": first_by_class(cl, "raisonModificationReceptacle"),
-        "receptacleReelNiveau": first_by_class(cl, "receptacleReel", "_niveau"),
-        "receptacleReelTitle": first_by_class(cl, "receptacleReel", "_title"),
-        "receptacleReelLang": first_by_class(cl, "receptacleReel", "_lang"),
-        "plateformeSuivante": first_by_class(sp, "plateformeSuivante"),
-        "valeurAdressePrioritaire": first_by_class(sp, "valeur_adresse_prioritaire"),
-        "cedex": first_by_class(sp, "cedex", case_insensitive=True),
-        "typeAdressePrioritaire": first_by_class(sp, "type_adresse_prioritaire"),
-        "service": first_by_class(sp, "service"),
-        "datePublication": blank_to_null(first_by_class(sp, "datePublication")),
+        "etat": pick(sp, sc, "etat"),
+        "receptacle": pick(sp, sc, "receptacle"),
+        "receptacleType": pick(sp, sc, "receptacle", "_type"),
+        "receptacleNiveau": pick(sp, sc, "receptacle", "_niveau"),
+        "receptacleLang": pick(sp, sc, "receptacle", "_lang"),
+        "receptacleReel": pick(cl, clc, "receptacleReel"),
+        "raisonModificationReceptacle": pick(cl, clc, "raisonModificationReceptacle"),
+        "receptacleReelNiveau": pick(cl, clc, "receptacleReel", "_niveau"),
+        "receptacleReelTitle": pick(cl, clc, "receptacleReel", "_title"),
+        "receptacleReelLang": pick(cl, clc, "receptacleReel", "_lang"),
+        "plateformeSuivante": pick(sp, sc, "plateformeSuivante"),
+        "valeurAdressePrioritaire": pick(sp, sc, "valeur_adresse_prioritaire"),
+        "cedex": pick(sp, lk["_lslc"], "cedex"),
+        "typeAdressePrioritaire": pick(sp, sc, "type_adresse_prioritaire"),
+        "service": pick(sp, sc, "service"),
+        "datePublication": blank_to_null(pick(sp, sc, "datePublication")),
     }
 
 
-def manual_columns(li: Column) -> dict[str, Column]:
-    sp, cl = li["span"], client_spans(li)
+def manual_columns(li: Column, lk: dict[str, Column] | None = None) -> dict[str, Column]:
+    lk = lk or li_lookups(li)
+    sp, sc, cl, clc = lk["_ls"], lk["_lsc"], lk["_lcl"], lk["_lclc"]
     return {
-        "date": blank_to_null(first_by_class(sp, "date")),
-        "type": first_by_class(sp, "type"),
-        "etat": first_by_class(sp, "etat"),
-        "idCentreVideocodage": first_by_class(cl, "idCentreVideocodage"),
-        "duree": first_by_class(cl, "duree"),
-        "nomOperateur": first_by_class(cl, "nomOperateur"),
-        "datePublication": blank_to_null(first_by_class(cl, "datePublication")),
-        "status": first_by_class(sp, "etat", "_title"),
-        "raisonFin": first_by_class(cl, "raisonFin"),
-        "sequenceFrappe": first_by_class(cl, "sequenceFrappe"),
+        "date": blank_to_null(pick(sp, sc, "date")),
+        "type": pick(sp, sc, "type"),
+        "etat": pick(sp, sc, "etat"),
+        "idCentreVideocodage": pick(cl, clc, "idCentreVideocodage"),
+        "duree": pick(cl, clc, "duree"),
+        "nomOperateur": pick(cl, clc, "nomOperateur"),
+        "datePublication": blank_to_null(pick(cl, clc, "datePublication")),
+        "status": pick(sp, sc, "etat", "_title"),
+        "raisonFin": pick(cl, clc, "raisonFin"),
+        "sequenceFrappe": pick(cl, clc, "sequenceFrappe"),
     }
 
 
@@ -133,6 +155,23 @@ def address_columns(li: Column) -> dict[str, Column]:
     }
 
 
+def _with_lookups(df: DataFrame, entry: str = "entry", li: str | None = "li") -> DataFrame:
+    """Materialise the helper arrays as columns so every field lookup
+    reuses them (one pass per array instead of one per field)."""
+    cols = {k: v for k, v in entry_lookups(F.col(entry)).items()}
+    if li:
+        cols.update(li_lookups(F.col(li)))
+    return df.withColumns(cols)
+
+
+def _lk(names) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+ENTRY_LK = ["_ts", "_tsc", "_td", "_tdc", "_tcl", "_tclc"]
+LI_LK = ["_ls", "_lsc", "_lslc", "_lcl", "_lclc"]
+
+
 STEP_ITEM = T.StructType([T.StructField("_k", T.IntegerType()),
                          T.StructField("li_pos", T.IntegerType()),
                          T.StructField("li", LI)])
@@ -166,7 +205,7 @@ def _kind(k: Column) -> Column:
 
 
 def _flat(st: DataFrame, kind: str, cols: dict[str, Column], keep) -> DataFrame:
-    parent = parcel_columns(F.col("entry"))
+    parent = parcel_columns(F.col("entry"), _lk(ENTRY_LK))
     return st.select(*keep, "entry_pos", F.lit(kind).alias("kind"), "li_pos",
                      *[c.alias(n) for n, c in parent.items()],
                      *[c.alias(n if n not in parent else f"t_{n}") for n, c in cols.items()])
@@ -175,22 +214,24 @@ def _flat(st: DataFrame, kind: str, cols: dict[str, Column], keep) -> DataFrame:
 def machine_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """One row per machine step, step fields beside the parent fields
     (``t_etat`` is the step's own state)."""
-    st = steps(ents, keep).filter(F.col("_k") == 0)
-    return _flat(st, MACHINE, machine_columns(F.col("li")), keep)
+    st = _with_lookups(steps(ents, keep).filter(F.col("_k") == 0))
+    return _flat(st, MACHINE, machine_columns(F.col("li"), _lk(LI_LK)), keep)
 
 
 def manual_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    st = steps(ents, keep).filter(F.col("_k") == 1)
-    return _flat(st, MANUAL, manual_columns(F.col("li")), keep)
+    st = _with_lookups(steps(ents, keep).filter(F.col("_k") == 1))
+    return _flat(st, MANUAL, manual_columns(F.col("li"), _lk(LI_LK)), keep)
 
 
-def parcel_projection(k: Column, li: Column, entry: Column) -> dict[str, Column]:
+def parcel_projection(k: Column, li: Column, entry: Column,
+                      lookups: bool = False) -> dict[str, Column]:
     """Parcel columns for a step row: parent fields, ``kind``, the step as
     ``machine`` or ``manuel`` struct (the other one null) and the record
     ``id`` (the step's publication date)."""
-    mc, hc = machine_columns(li), manual_columns(li)
+    llk = _lk(LI_LK) if lookups else None
+    mc, hc = machine_columns(li, llk), manual_columns(li, llk)
     out = {"kind": _kind(k)}
-    out.update(parcel_columns(entry))
+    out.update(parcel_columns(entry, _lk(ENTRY_LK) if lookups else None))
     out["machine"] = F.when(k == 0, F.struct(*[c.alias(n) for n, c in mc.items()]))
     out["manuel"] = F.when(k == 1, F.struct(*[c.alias(n) for n, c in hc.items()]))
     out["id"] = F.when(k == 0, mc["datePublication"]).otherwise(hc["datePublication"])
@@ -199,8 +240,8 @@ def parcel_projection(k: Column, li: Column, entry: Column) -> dict[str, Column]
 
 def parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Machine steps then manual steps of every entry, one row each."""
-    st = steps(ents, keep)
-    proj = parcel_projection(F.col("_k"), F.col("li"), F.col("entry"))
+    st = _with_lookups(steps(ents, keep))
+    proj = parcel_projection(F.col("_k"), F.col("li"), F.col("entry"), lookups=True)
     return st.select(*keep, "entry_pos", proj.pop("kind").alias("kind"), "li_pos",
                      *[c.alias(n) for n, c in proj.items()])
 

@@ -38,27 +38,31 @@ FEED_CLOSE = "</feed>"
 LI_ORDER = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
-def _attr(name: str, value: Column | None) -> Column:
-    if value is None:
-        return F.lit("")
-    return F.when(value.isNull(), F.lit("")).otherwise(
-        F.concat(F.lit(f' {name}="'), xml_escape(value), F.lit('"')))
+def _attr(name: str, value: Column) -> Column:
+    """`` name="value"``; null (dropped by ``concat_ws``) when value is null."""
+    return F.concat(F.lit(f' {name}="'), value, F.lit('"'))
 
 
-def _el(tag: str, value: Column | None, cls: str | None = None, **attrs) -> Column:
-    """``<tag class=.. attrs..>value</tag>``; empty string when value is null."""
-    head = [F.lit(f"<{tag}")]
-    if cls is not None:
-        head.append(F.lit(f' class="{cls}"'))
-    head += [_attr(k, v) for k, v in attrs.items()]
-    body = F.concat(*head, F.lit(">"), xml_escape(value), F.lit(f"</{tag}>"))
-    return F.when(value.isNull(), F.lit("")).otherwise(body)
+def _el(tag: str, value: Column, cls: str | None = None, **attrs: Column) -> Column:
+    """``<tag class=.. attrs..>value</tag>``, or null when ``value`` is null.
+    Values must already be XML-safe (see ``_escaped``)."""
+    open_tag = f"<{tag}" + (f' class="{cls}"' if cls is not None else "")
+    if attrs:
+        head = F.concat_ws("", F.lit(open_tag), *[_attr(k, v) for k, v in attrs.items()], F.lit(">"))
+    else:
+        head = F.lit(open_tag + ">")
+    return F.concat(head, value, F.lit(f"</{tag}>"))
 
 
-def _span(cls: str, value: Column, **attrs) -> Column:
+def _span(cls: str, value: Column, **attrs: Column) -> Column:
     return _el("span", value, cls, **attrs)
 
 
+def _xml(*parts: Column) -> Column:
+    """Concatenate parts, skipping null (absent) ones."""
+    return F.concat_ws("", *parts)
+
+
 def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -71,42 +75,46 @@ def _pct(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("int").cast("string")
 
 
+def _escaped(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Escape the free-text columns once; numbers, dates and fixed
+    literals need no escaping."""
+    return df.select(*[xml_escape(F.col(c)).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 def machine_li() -> Column:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     date_debut = F.when(status == "O", F.lit("")).otherwise(
         iso_second(F.col("l_shipdate") - F.make_interval(days=F.lit(1))))
     lot = F.when(flag == "R", F.concat(F.lit("<dt>lot</dt><dd>"), _int_floor("l_quantity"),
-                                       F.lit("</dd>"))).otherwise(F.lit(""))
-    dl = F.concat(F.lit('<dl class="parametresTri">'), lot,
-                  F.lit("<dt>triSanctionPartiel</dt><dd>"), _pct("l_discount"), F.lit("</dd></dl>"))
+                                       F.lit("</dd>")))
     cedex_cls = F.when(flag == "A", F.lit("Cedex")).otherwise(F.lit("cedex"))
     cedex_val = F.when(F.col("l_tax") >= 0.04, F.lit("oui")).otherwise(F.lit("non"))
-    client = F.concat(
-        F.lit('<div class="client">'),
-        _span("receptacleReel", F.concat(F.lit("R"), _s("l_suppkey")), niveau=_pct("l_tax"),
-              title=status, lang=F.when(flag == "A", F.lit("fr"))),
-        _span("raisonModificationReceptacle", F.when(flag == "R", F.lit("SATURE"))),
-        F.lit("</div>"))
-    return F.concat(
+    return _xml(
         F.lit("<li>"),
-        _el("span", date_debut, "dateDebut"),
+        _span("dateDebut", date_debut),
         _span("idMachineTri", _s("l_partkey")),
         _span("entreeMachine", F.concat(_s("l_linenumber"), F.lit("-1"))),
         _span("idPlateforme", F.concat(F.lit("S"), _s("l_suppkey"))),
         _el("abbr", flag, "programmeTri",
             title=F.concat(_s("l_partkey"), F.lit("-"), _s("l_suppkey")), id=_s("l_linenumber")),
-        dl,
+        F.lit('<dl class="parametresTri">'), lot,
+        F.lit("<dt>triSanctionPartiel</dt><dd>"), _pct("l_discount"), F.lit("</dd></dl>"),
         _span("etat", status),
-        _span("receptacle", F.concat(flag, _s("l_linenumber")), title=F.lit("0"),
-              type=F.lit("DEFINITIF"), niveau=_s("l_linenumber"),
-              lang=F.when(flag == "N", F.lit("fr"))),
-        client,
+        _el("span", F.concat(flag, _s("l_linenumber")), "receptacle",
+            title=F.lit("0"), type=F.lit("DEFINITIF"), niveau=_s("l_linenumber"),
+            lang=F.when(flag == "N", F.lit("fr"))),
+        F.lit('<div class="client">'),
+        _span("receptacleReel", F.concat(F.lit("R"), _s("l_suppkey")), niveau=_pct("l_tax"),
+              title=status, lang=F.when(flag == "A", F.lit("fr"))),
+        _span("raisonModificationReceptacle", F.when(flag == "R", F.lit("SATURE"))),
+        F.lit("</div>"),
         _span("plateformeSuivante", F.concat(F.lit("P"), _s("l_partkey"))),
         _span("valeur_adresse_prioritaire", _int_floor("l_extendedprice")),
         _span("type_adresse_prioritaire",
               F.when(status == "F", F.lit("bdis")).otherwise(F.lit("tournee"))),
-        F.concat(F.lit('<span class="'), cedex_cls, F.lit('">'), cedex_val, F.lit("</span>")),
-        _span("service", F.lit("PAS DE SERVICE")),
+        F.lit('<span class="'), cedex_cls, F.lit('">'), cedex_val, F.lit("</span>"),
+        F.lit('<span class="service">PAS DE SERVICE</span>'),
         _span("datePublication", iso_second("l_shipdate")),
         F.lit("</li>"))
 
@@ -114,7 +122,9 @@ def machine_li() -> Column:
 def manual_li() -> Column:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     date = F.when(status == "O", F.lit("")).otherwise(iso_second("l_shipdate"))
-    client = F.concat(
+    return _xml(
+        F.lit("<li>"), _span("date", date), _span("type", flag),
+        _span("etat", status, title=F.concat(F.lit("S"), _s("l_linenumber"))),
         F.lit('<div class="client">'),
         _span("idCentreVideocodage", F.concat(F.lit("V"), _s("l_suppkey"))),
         _span("duree", _int_floor("l_quantity")),
@@ -122,28 +132,54 @@ def manual_li() -> Column:
         _span("datePublication", iso_second("l_shipdate")),
         _span("sequenceFrappe", _s("l_linenumber")),
         _span("raisonFin", flag),
-        F.lit("</div>"))
-    return F.concat(
-        F.lit("<li>"), _el("span", date, "date"), _span("type", flag),
-        _span("etat", status, title=F.concat(F.lit("S"), _s("l_linenumber"))),
-        client, F.lit("</li>"))
+        F.lit("</div></li>"))
+
+
+# A hot-order table up to this many rows (16 bytes each) is broadcast;
+# beyond it the lineitem join goes through a shuffle.
+HOT_BROADCAST_ROWS = 1_000_000
+
+
+def hot_orders(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+    """Orders with more than ``max_steps`` lineitems and their chunk count.
+
+    The count is a partial aggregate (a hot order is combined map-side).
+    The result is cached and its row count checked: it is broadcast only
+    under ``HOT_BROADCAST_ROWS`` rows, otherwise marked for a shuffle join.
+    """
+    counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    hot = (counts.filter(F.col("_n") > max_steps)
+           .select(F.col("l_orderkey").alias("_hk"),
+                   F.ceil(F.col("_n") / max_steps).cast("int").alias("_chunks"))
+           .persist())
+    if hot.limit(HOT_BROADCAST_ROWS + 1).count() <= HOT_BROADCAST_ROWS:
+        return F.broadcast(hot)
+    return hot.hint("merge")
 
 
 def step_rows(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
-    """``(l_orderkey, chunk, order..., machine, xml)`` per lineitem."""
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-                         "l_linestatus", "l_shipdate")
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    chunks = F.ceil(F.col("_n") / max_steps)
-    chunk = F.when(F.col("_n") <= max_steps, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*LI_ORDER), chunks)).cast("int")
+    """``(l_orderkey, chunk, step)`` per lineitem, ``step`` carrying the
+    ordering columns, the kind and the ``li`` XML.
+
+    Lineitems are shuffled by (order, chunk) as raw columns and the XML is
+    built after the shuffle, so the string work runs in every reduce task
+    and the shuffle carries compact rows instead of text.
+    """
+    li = _escaped(lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                  "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                  "l_returnflag", "l_linestatus", "l_shipdate"),
+                  ["l_returnflag", "l_linestatus"])
+    hot = hot_orders(lineitem, max_steps)
+    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*LI_ORDER), F.col("_chunks"))).cast("int")
+    placed = (li.join(hot, F.col("l_orderkey") == F.col("_hk"), "left")
+              .withColumn("chunk", chunk).drop("_hk", "_chunks")
+              .repartition("l_orderkey", "chunk"))
     machine = (F.col("l_linenumber") % 2) == 0
-    return (li.join(counts, "l_orderkey")
-            .select("l_orderkey", chunk.alias("chunk"),
-                    F.struct(*[F.col(c) for c in LI_ORDER], machine.alias("machine"),
-                             F.when(machine, machine_li()).otherwise(manual_li()).alias("xml"))
-                    .alias("step")))
+    return placed.select(
+        "l_orderkey", "chunk",
+        F.struct(*[F.col(c) for c in LI_ORDER], machine.alias("machine"),
+                 F.when(machine, machine_li()).otherwise(manual_li()).alias("xml")).alias("step"))
 
 
 def _join_steps(steps: Column, machine: bool) -> Column:
@@ -153,28 +189,39 @@ def _join_steps(steps: Column, machine: bool) -> Column:
 
 def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                nation: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
-    """``(o_orderkey, chunk, o_orderdate, xml)`` per entry."""
+    """``(o_orderkey, chunk, o_orderdate, xml)`` per entry.
+
+    Steps are grouped per (order, chunk); orders are expanded to their
+    chunks and joined on (order, chunk), so the grouped side keeps its
+    partitioning and only the orders side moves.
+    """
+    # steps grow with the data (and the planner's size estimate for a
+    # collected list is far too low): never broadcast them
     steps = (step_rows(lineitem, max_steps)
-             .repartition("l_orderkey", "chunk")
              .groupBy("l_orderkey", "chunk")
-             .agg(F.array_sort(F.collect_list("step")).alias("steps")))
+             .agg(F.array_sort(F.collect_list("step")).alias("steps"))
+             .hint("merge"))
+    hot = hot_orders(lineitem, max_steps)
     cust = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     o = (orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        "o_orderdate", "o_orderpriority")
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(nat, "c_nationkey", "left"))
-    e = o.join(steps, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+         .join(nat, "c_nationkey", "left")
+         .join(hot, F.col("o_orderkey") == F.col("_hk"), "left")
+         .withColumn("o_chunk", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)))
+         .drop("_hk", "_chunks"))
+    o = _escaped(o, ["o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "n_name"])
+    e = o.join(steps, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("o_chunk") == F.col("chunk")),
+               "left")
     isie = F.format_string("%08X", F.col("o_orderkey"))
     status = F.col("o_orderstatus")
     published = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(
         iso_second(F.col("o_orderdate") + F.make_interval(days=F.lit(1))))
-    link = (F.when(status == "F", F.concat(F.lit('<a:link rel="alternate" href="http://img.example/'),
-                                           isie, F.lit('/image?format=jpeg"/>')))
-            .when(status == "O", F.concat(F.lit('<a:link rel="alternate" href="http://img.example/'),
-                                          isie, F.lit('/image?format=png"/>')))
-            .otherwise(F.lit("")))
-    title = F.concat(
+    img = (F.when(status == "F", F.lit("jpeg")).when(status == "O", F.lit("png")))
+    link = F.concat(F.lit('<a:link rel="alternate" href="http://img.example/'), isie,
+                    F.lit("/image?format="), img, F.lit('"/>'))
+    title = _xml(
         F.lit('<a:title type="xhtml"><div>'),
         _span("format", status), _span("etat", F.concat(F.lit("E"), status)),
         _span("priorite", F.col("o_orderpriority")), _span("id", isie, title=F.lit("imp")),
@@ -182,7 +229,7 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
             "expires"),
         F.lit('<div class="client">'), _span("cleExterne", F.concat(F.lit("C"), _s("o_custkey"))),
         F.lit("</div></div></a:title>"))
-    address = F.when(F.col("c_custkey").isNull(), F.lit("")).otherwise(F.concat(
+    address = F.when(F.col("c_custkey").isNotNull(), _xml(
         F.lit('<ul class="adresses"><li>'),
         _span("type", F.lit("OCR")), _span("code", F.col("c_name")),
         F.lit('<div class="client">'),
@@ -191,22 +238,19 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         _span("idRao", _s("c_custkey")), _span("typeRao", F.col("c_mktsegment")),
         _span("idRaoLivraison", _s("n_regionkey")), _span("typeRaoLivraison", F.lit("points")),
         F.lit("</li></ul>")))
-    uls = F.when(F.col("steps").isNull(), F.lit("")).otherwise(F.concat(
+    uls = F.when(F.size(F.col("steps")) > 0, F.concat(
         F.lit('<ul class="traitement">'), _join_steps(F.col("steps"), True), F.lit("</ul>"),
         F.lit('<ul class="traitementManuel">'), _join_steps(F.col("steps"), False), F.lit("</ul>")))
-    xml = F.concat(
+    xml = _xml(
         F.lit("<a:entry>"), title,
         F.lit("<a:id>urn:parcel:"), isie, F.lit("</a:id>"),
         F.lit("<a:updated>"), iso_second("o_orderdate"), F.lit("</a:updated>"),
-        F.when(F.col("n_name").isNull(), F.lit("")).otherwise(
-            F.concat(F.lit("<a:author><a:name>"), xml_escape(F.col("n_name")),
-                     F.lit("</a:name></a:author>"))),
+        F.concat(F.lit("<a:author><a:name>"), F.col("n_name"), F.lit("</a:name></a:author>")),
         link,
         F.lit('<a:content type="xhtml"><div>'), _span("derivation", F.col("c_mktsegment")),
         uls, address, F.lit("</div></a:content>"),
         F.lit("<a:published>"), published, F.lit("</a:published></a:entry>"))
-    return e.select("o_orderkey", F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
-                    "o_orderdate", xml.alias("xml"))
+    return e.select("o_orderkey", F.col("o_chunk").alias("chunk"), "o_orderdate", xml.alias("xml"))
 
 
 def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
@@ -216,7 +260,12 @@ def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     per page with at most ``page_entries`` entries."""
     ent = entry_rows(orders, lineitem, customer, nation, max_steps)
     page = F.floor(F.col("o_orderkey") / page_entries).cast("long")
+    # pages are few, large rows whose consumers (XML parsing) are CPU-heavy:
+    # place them by count so AQE does not merge them into fewer tasks than
+    # cores; the grouping reuses this placement
+    n = int(ent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = (ent.withColumn("page", page)
+               .repartition(n, "page", "chunk")
                .groupBy("page", "chunk")
                .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "xml"))).alias("es"),
                     F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),

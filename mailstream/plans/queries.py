@@ -164,7 +164,7 @@ def fetched_round_trip(spark, sf) -> DataFrame:
 def q_feed_total(spark, sf):
     parsed = feedops.parse_header(rendered_pages(spark, sf).select("url", "body"))
     return parsed.select("url", "total_results",
-                         F.size(feedops.entry_fragments("body")).cast("int").alias("n_entries"))
+                         feedops.entry_count("body").alias("n_entries"))
 
 
 @query

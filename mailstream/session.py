@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Feed pages are CPU-heavy per byte (XML parsing): aim for 16 MB
+    # post-shuffle partitions so parse stages get several tasks per core.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

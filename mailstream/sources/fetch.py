@@ -4,8 +4,9 @@ Two ways, same output ``(url, status, body)``:
 
 * ``fetch_lookup`` - responses already landed as a table: a left outer
   equi-join, so every request keeps exactly one row and failures stay.
-  Spark sizes both sides at run time (AQE): a small response table is
-  broadcast, anything larger goes through a shuffle join on ``url``.
+  A sort-merge join on ``url`` by default (bodies are big and grow with
+  the data); a caller that knows its response table is small may let the
+  planner broadcast it.
 * ``fetch_live`` - a pluggable client called once per Arrow batch inside
   ``mapInPandas``; one client per task, requests spread over all tasks.
 """
@@ -23,12 +24,19 @@ FETCHED_SCHEMA = "url string, status int, body string"
 
 def fetch_lookup(requests: DataFrame, responses: DataFrame, url_col: str = "url",
                  body_col: str = "body", status_col: str | None = None,
-                 miss_status: int = 404) -> DataFrame:
+                 miss_status: int = 404, small_responses: bool = False) -> DataFrame:
     """Left join requests to landed responses. A response row without a
     status counts as 200; a request with no response gets ``miss_status``
-    and a null body."""
+    and a null body.
+
+    Response bodies grow with the data and are large per row, so by default
+    the join is a shuffle (sort-merge) join; pass ``small_responses=True``
+    only for a response table known to be small, to let the planner
+    broadcast it by size."""
     resp = responses.select(F.col(url_col).alias("_rurl"), F.col(body_col).alias("body"),
                             (F.col(status_col) if status_col else F.lit(200)).cast("int").alias("_rstatus"))
+    if not small_responses:
+        resp = resp.hint("merge")
     joined = requests.join(resp, requests[url_col] == resp["_rurl"], "left")
     status = F.when(F.col("_rurl").isNull(), F.lit(miss_status)).otherwise(F.col("_rstatus"))
     return joined.withColumn("status", status.cast("int")).drop("_rurl", "_rstatus")
