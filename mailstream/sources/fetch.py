@@ -36,7 +36,12 @@ def fetch_lookup(requests: DataFrame, responses: DataFrame, url_col: str = "url"
     resp = responses.select(F.col(url_col).alias("_rurl"), F.col(body_col).alias("body"),
                             (F.col(status_col) if status_col else F.lit(200)).cast("int").alias("_rstatus"))
     if not small_responses:
-        resp = resp.hint("merge")
+        # Fetched bodies feed CPU-heavy parsing: place both sides by count
+        # on the URL (AQE keeps the count, so parsing is not squeezed into
+        # fewer tasks than cores); the sort-merge join reuses the placement.
+        n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        resp = resp.repartition(n, "_rurl")
+        requests = requests.repartition(n, url_col)
     joined = requests.join(resp, requests[url_col] == resp["_rurl"], "left")
     status = F.when(F.col("_rurl").isNull(), F.lit(miss_status)).otherwise(F.col("_rstatus"))
     return joined.withColumn("status", status.cast("int")).drop("_rurl", "_rstatus")
