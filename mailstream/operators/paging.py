@@ -82,9 +82,15 @@ def page_slices(df: DataFrame, order_cols: list[str], page_size: int = STEP,
     import pandas as pd  # noqa: F401  (worker side)
     from pyspark import TaskContext
 
+    from mailstream.session import checkpoint_root
+
     spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    checkpoint_root(spark)          # the shared folder checkpoint() writes to
+    # without an explicit count AQE may merge adjacent ranges; a merged
+    # partition is still one contiguous, sorted key range
+    ranged = (df.repartitionByRange(num_ranges, *order_cols) if num_ranges
+              else df.repartitionByRange(*order_cols))
+    ordered = ranged.sortWithinPartitions(*order_cols)
     from pyspark.sql import types as T
     schema = T.StructType(ordered.schema.fields + [T.StructField("_range", T.IntegerType()),
                                                     T.StructField("_local", T.LongType())])
