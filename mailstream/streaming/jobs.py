@@ -27,7 +27,21 @@ from mailstream.sources.fetch import fetch_lookup
 from mailstream.streaming.sinks import write_batch
 
 LINES_TOPIC = "lines"
-TOPIC_FILES = 4
+# A published topic log gets at least MIN_TOPIC_FILES files and at most
+# ROWS_PER_FILE rows per file; the replay reads it in about
+# MIN_TOPIC_FILES micro-batches whatever the volume.
+MIN_TOPIC_FILES = 4
+ROWS_PER_FILE = 1_000_000
+
+
+def publish(spark: SparkSession, msgs: DataFrame, topic: str) -> tuple[str, int]:
+    """Write messages as an ordered, file-backed topic log sized by row
+    count; returns the folder and the files-per-trigger for its replay."""
+    path = scratch_path(spark, f"topic-{topic}")
+    rows = msgs.count()
+    files = max(MIN_TOPIC_FILES, -(-rows // ROWS_PER_FILE))
+    topics.write_topics(msgs, path, files_per_topic=files)
+    return path, max(1, -(-files // MIN_TOPIC_FILES))
 
 
 def wordcount_query(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
@@ -45,12 +59,11 @@ def run_wordcount_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
     """Events become text messages on a file-backed topic (several files, so
     several micro-batches), the stream counts each batch, and the batch
     counts are summed back: equal to one count over all lines."""
-    topic_dir = scratch_path(spark, "topic-lines")
     lines = events.select(F.lit(LINES_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"),
                           F.concat_ws(" ", "event_type", "props").alias("value"),
                           F.col("event_id").alias("seq"))
-    topics.write_topics(lines, topic_dir, files_per_topic=TOPIC_FILES)
-    stream = topics.read_topics(spark, topic_dir, LINES_TOPIC, streaming=True, files_per_batch=1)
+    topic_dir, per_batch = publish(spark, lines, LINES_TOPIC)
+    stream = topics.read_topics(spark, topic_dir, LINES_TOPIC, streaming=True, files_per_batch=per_batch)
     out = scratch_path(spark, "wordcount-batches")
     q = wordcount_query(stream, out, scratch_path(spark, "wordcount-ckpt"))
     q.awaitTermination()
@@ -75,13 +88,13 @@ def run_route_stream(spark: SparkSession, pages: DataFrame, miss_suffix: str) ->
     landed_dir = scratch_path(spark, "landed-pages")
     pages.select("url", "body").write.parquet(landed_dir)
     landed = spark.read.parquet(landed_dir)
-    req_dir = scratch_path(spark, "topic-urls")
     urls = landed.select("url").unionByName(
         landed.select(F.concat("url", F.lit(miss_suffix)).alias("url")))
     reqs = urls.select(F.lit(msg.URLS_TOPIC).alias("topic"), F.lit("").alias("key"),
-                       F.col("url").alias("value"), F.col("url").alias("_o"))
-    topics.write_topics(reqs.drop("_o"), req_dir, files_per_topic=TOPIC_FILES)
-    stream = topics.read_topics(spark, req_dir, msg.URLS_TOPIC, streaming=True, files_per_batch=1)
+                       F.col("url").alias("value"))
+    req_dir, per_batch = publish(spark, reqs, msg.URLS_TOPIC)
+    stream = topics.read_topics(spark, req_dir, msg.URLS_TOPIC, streaming=True,
+                                files_per_batch=per_batch)
     out = scratch_path(spark, "routed-batches")
     q = route_query(stream, landed, out, scratch_path(spark, "route-ckpt"))
     q.awaitTermination()
