@@ -47,3 +47,20 @@ def test_fetch_live_with_pluggable_client(spark):
     req = spark.createDataFrame([("a-ok",), ("b-bad",)], "url string")
     got = sorted(tuple(r) for r in fetch_live(req, fake, partitions=2).collect())
     assert got == [("a-ok", 200, "<b>a-ok</b>"), ("b-bad", 503, None)]
+
+
+def test_send_payloads_pluggable_transport(spark):
+    from mailstream.operators.messages import post_payload
+    from mailstream.streaming.sinks import send_payloads
+
+    sent = []
+
+    def fake(bodies):
+        sent.extend(bodies)
+        return [200 if '"id": "1"' in b else 500 for b in bodies]
+
+    ev = spark.createDataFrame([(1, "click", 1.5, "p"), (2, "view", 2.0, "q")],
+                               "event_id long, event_type string, value double, props string")
+    p = post_payload(ev, "event_id", "event_type", "value", "value", "props")
+    got = sorted(tuple(r) for r in send_payloads(p, fake).collect())
+    assert got == [(1, 200), (2, 500)]
