@@ -70,11 +70,37 @@ def run_wordcount_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.read.parquet(out).groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def route_query(stream: DataFrame, landed: DataFrame, out_path: str, checkpoint: str,
+# Landed pages are stored partitioned by a hash bucket of the URL, so a
+# micro-batch reads only the buckets its requests fall into.
+LANDED_BUCKETS = 256
+
+
+def url_bucket(url) -> "F.Column":
+    u = F.col(url) if isinstance(url, str) else url
+    return F.pmod(F.xxhash64(u), F.lit(LANDED_BUCKETS)).cast("int")
+
+
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Write fetched/landed pages ``(url, body)`` partitioned by URL bucket."""
+    (pages.select("url", "body").withColumn("url_bucket", url_bucket("url"))
+     .write.partitionBy("url_bucket").parquet(path))
+
+
+def lookup_landed(spark: SparkSession, landed_path: str, requests: DataFrame) -> DataFrame:
+    """Fetch by lookup for one batch of requests: collect the batch's
+    distinct buckets (at most ``LANDED_BUCKETS`` ints), read only those
+    partitions, then the lookup join."""
+    buckets = [r[0] for r in requests.select(url_bucket("url").alias("b")).distinct().collect()]
+    landed = spark.read.parquet(landed_path).filter(F.col("url_bucket").isin(buckets))
+    return fetch_lookup(requests, landed.select("url", "body"))
+
+
+def route_query(stream: DataFrame, landed_path: str, out_path: str, checkpoint: str,
                 available_now: bool = True, interval: str = "60 seconds"):
     """Requests (``value`` = URL) -> fetch -> messages, per micro-batch."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        fetched = fetch_lookup(batch.select(F.col("value").alias("url")), landed)
+        requests = batch.select(F.col("value").alias("url"))
+        fetched = lookup_landed(batch.sparkSession, landed_path, requests)
         write_batch(msg.page_messages(fetched), out_path, batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
@@ -86,7 +112,7 @@ def run_route_stream(spark: SparkSession, pages: DataFrame, miss_suffix: str) ->
     """Land the pages as a table, publish one request per page plus one
     that misses, route the request stream, return every message."""
     landed_dir = scratch_path(spark, "landed-pages")
-    pages.select("url", "body").write.parquet(landed_dir)
+    land_pages(pages, landed_dir)
     landed = spark.read.parquet(landed_dir)
     urls = landed.select("url").unionByName(
         landed.select(F.concat("url", F.lit(miss_suffix)).alias("url")))
@@ -96,7 +122,7 @@ def run_route_stream(spark: SparkSession, pages: DataFrame, miss_suffix: str) ->
     stream = topics.read_topics(spark, req_dir, msg.URLS_TOPIC, streaming=True,
                                 files_per_batch=per_batch)
     out = scratch_path(spark, "routed-batches")
-    q = route_query(stream, landed, out, scratch_path(spark, "route-ckpt"))
+    q = route_query(stream, landed_dir, out, scratch_path(spark, "route-ckpt"))
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
