@@ -45,7 +45,9 @@ def main():
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    tz = os.environ.get("CHECK_SESSION_TZ")
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
