@@ -15,7 +15,7 @@ from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
 from mailstream.operators.feed import explode_entries, parse_entry, parse_header
 from mailstream.operators.parcels import (
-    _with_lookups, parcel_json, parcel_key, parcel_projection, step_array,
+    with_lookups, parcel_json, parcel_key, parcel_projection, step_array,
 )
 
 # Topic names.
@@ -85,7 +85,7 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
                         F.explode_outer(step_array(F.col("entry"))).alias("_s"))
             .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull())
             .withColumn("li", F.col("_s.li")))
-    rows = _with_lookups(rows)
+    rows = with_lookups(rows)
     proj = parcel_projection(F.col("_s._k"), F.col("li"), F.col("entry"), lookups=True)
     parcel = rows.select("url", "reason", "entry_pos", F.col("_s._k").alias("_k"),
                          F.col("_s.li_pos").alias("li_pos"),

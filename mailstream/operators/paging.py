@@ -79,7 +79,6 @@ def page_slices(df: DataFrame, order_cols: list[str], page_size: int = STEP,
     from a prefix sum over the per-range counts (one row per range: a
     bounded table, broadcast), done.
     """
-    import pandas as pd  # noqa: F401  (worker side)
     from pyspark import TaskContext
 
     from mailstream.session import checkpoint_root

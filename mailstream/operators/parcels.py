@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailstream.functions.text import blank_to_null, java_concat
 from mailstream.operators.feed import (
     LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_entry, parse_header,
     pick, ul_items,
 )
-from pyspark.sql import types as T
 
 MACHINE, MANUAL = "machine", "manuel"
 
@@ -155,7 +155,7 @@ def address_columns(li: Column) -> dict[str, Column]:
     }
 
 
-def _with_lookups(df: DataFrame, entry: str = "entry", li: str | None = "li") -> DataFrame:
+def with_lookups(df: DataFrame, entry: str = "entry", li: str | None = "li") -> DataFrame:
     """Materialise the helper arrays as columns so every field lookup
     reuses them (one pass per array instead of one per field)."""
     cols = {k: v for k, v in entry_lookups(F.col(entry)).items()}
@@ -214,12 +214,12 @@ def _flat(st: DataFrame, kind: str, cols: dict[str, Column], keep) -> DataFrame:
 def machine_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """One row per machine step, step fields beside the parent fields
     (``t_etat`` is the step's own state)."""
-    st = _with_lookups(steps(ents, keep).filter(F.col("_k") == 0))
+    st = with_lookups(steps(ents, keep).filter(F.col("_k") == 0))
     return _flat(st, MACHINE, machine_columns(F.col("li"), _lk(LI_LK)), keep)
 
 
 def manual_parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    st = _with_lookups(steps(ents, keep).filter(F.col("_k") == 1))
+    st = with_lookups(steps(ents, keep).filter(F.col("_k") == 1))
     return _flat(st, MANUAL, manual_columns(F.col("li"), _lk(LI_LK)), keep)
 
 
@@ -240,7 +240,7 @@ def parcel_projection(k: Column, li: Column, entry: Column,
 
 def parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Machine steps then manual steps of every entry, one row each."""
-    st = _with_lookups(steps(ents, keep))
+    st = with_lookups(steps(ents, keep))
     proj = parcel_projection(F.col("_k"), F.col("li"), F.col("entry"), lookups=True)
     return st.select(*keep, "entry_pos", proj.pop("kind").alias("kind"), "li_pos",
                      *[c.alias(n) for n, c in proj.items()])

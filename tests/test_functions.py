@@ -9,7 +9,7 @@ from mailstream.functions.time import iso_minute, iso_second, lagged_window, min
 
 
 def jhash(s: str) -> int:
-    """Reference String.hashCode over UTF-16 code units."""
+    """String.hashCode computed in plain Python over UTF-16 code units."""
     h = 0
     units = s.encode("utf-16-be")
     for i in range(0, len(units), 2):
