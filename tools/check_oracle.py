@@ -35,6 +35,21 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN",
+                 "double": "DOUBLE", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP",
+                 "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(df, cur):
+    duck = {d[0]: str(d[1]) for d in cur.description}
+    out = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if f.name in duck and duck[f.name].upper() != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duckdb {duck[f.name]}")
+    return out
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("\x1f".join(norm(r[i]) for i in order) for r in rows)
@@ -65,6 +80,9 @@ def main():
             cur = con.execute(sqls[n])
             ocols = [d[0] for d in cur.description]
             orows = cur.fetchall()
+            tm = type_mismatches(df, cur)
+            if tm:
+                print(f"{n:24s} TYPES {tm}")
             h1, l1 = digest(cols, rows)
             h2, l2 = digest(ocols, orows)
             ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2
