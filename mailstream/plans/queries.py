@@ -200,7 +200,9 @@ def q_parcel_keys(spark, sf):
 @query
 def q_parcels_last(spark, sf):
     keyed = P.with_keys(P.parcels(_entries(spark, sf)))
-    return P.last_per_key(keyed).select("url", "key", "entry_pos", "kind", "li_pos")
+    # project first: only the key and its document position cross the shuffle
+    narrow = keyed.select("url", "key", "entry_pos", "kind", "li_pos")
+    return P.last_per_key(narrow).select("url", "key", "entry_pos", "kind", "li_pos")
 
 
 @query
