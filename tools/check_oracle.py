@@ -61,8 +61,13 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     tz = os.environ.get("CHECK_SESSION_TZ")
-    spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.sql.session.timeZone": tz} if tz else None)
+    if os.environ.get("CHECK_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession   # Spark defaults only, as a foreign driver would
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8,
+                              extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
