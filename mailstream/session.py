@@ -39,9 +39,39 @@ def build_session(master: str | None = None, app: str = "mailstream",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers.
+
+    Code that runs in Python workers and refers to module-level functions
+    or classes of this package (the default HTTP clients, the tick data
+    source) needs the package there. On a cluster ship it with
+    ``--py-files``; otherwise a zip of the package is built next to the
+    driver once per session and added with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_mailstream_shipped", False):
+        return
+    if "mailstream" in (spark.conf.get("spark.submit.pyFiles", "") or ""):
+        sc._mailstream_shipped = True
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="mailstream-pyfiles-"), "mailstream.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._mailstream_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -71,6 +71,9 @@ def fetch_live(requests: DataFrame, client: Callable[[pd.Series], pd.DataFrame]
                url_col: str = "url", partitions: int | None = None) -> DataFrame:
     """Call ``client`` on batches of URLs; ``client`` returns ``status`` and
     ``body`` aligned with its input. ``partitions`` sets fetch parallelism."""
+    from mailstream.session import ship_package
+
+    ship_package(requests.sparkSession)
     req = requests.select(F.col(url_col).alias("url"))
     if partitions:
         req = req.repartition(partitions, "url")

@@ -71,3 +71,18 @@ class TickSource(DataSource):
 
     def simpleStreamReader(self, schema):
         return _TickReader(self.options)
+
+
+def register_tick_source(spark: SparkSession) -> None:
+    """Register ``poll_ticks``. The source is planned in a separate Python
+    process that does not see files added with ``addPyFile``, so this module
+    is pickled by value (the class travels with the query)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from mailstream.session import ship_package
+
+    ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(TickSource)

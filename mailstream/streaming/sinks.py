@@ -55,6 +55,10 @@ def send_payloads(payloads: DataFrame, client=http_post, id_col: str = "id",
     output, so failed deliveries stay visible instead of being logged away."""
     import pandas as pd
 
+    from mailstream.session import ship_package
+
+    ship_package(payloads.sparkSession)
+
     def run(batches):
         for b in batches:
             status = client(b[payload_col].tolist())

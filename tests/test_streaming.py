@@ -101,3 +101,29 @@ def test_tick_reader_offsets():
     assert [x[0].isoformat() for x in again] == ["2024-01-01T00:00:00", "2024-01-01T00:01:00",
                                                   "2024-01-01T00:02:00"]
     assert TickSource.name() == "poll_ticks"
+
+
+def test_live_tick_source_emits_minute_grid(spark):
+    from mailstream.sources.poller import register_tick_source
+
+    register_tick_source(spark)
+    origin = int(time.time()) - 300
+    df = (spark.readStream.format("poll_ticks").option("intervalSeconds", "60")
+          .option("originEpochSeconds", str(origin)).load())
+    out = scratch_path(spark, "t-live-ticks")
+    q = (df.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "t-live-ticks-ckpt"))
+         .trigger(processingTime="1 second").start())
+    deadline = time.time() + 60
+    while time.time() < deadline:
+        p = q.lastProgress
+        if p is not None and p.get("numInputRows", 0) > 0:
+            break
+        time.sleep(0.5)
+    q.stop()
+    assert q.exception() is None
+    ticks = sorted(r["tick"] for r in spark.read.parquet(out).collect())
+    assert len(ticks) >= 5
+    steps = {(b - a).total_seconds() for a, b in zip(ticks, ticks[1:])}
+    assert steps == {60.0}                               # consecutive minutes, none skipped
+    assert all(t.second == 0 for t in ticks)
