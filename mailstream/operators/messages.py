@@ -104,6 +104,15 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
     return out.select("topic", "key", "value", "reason", "url")
 
 
+def replay_dead_letters(msgs: DataFrame, request_topic: str = URLS_TOPIC) -> DataFrame:
+    """The retry hand-off: every message on a catch lane (a failed or
+    unparseable page URL, or the count probe of an empty window) becomes a
+    fresh request on ``request_topic``; ``retry_reason`` keeps why."""
+    dead = msgs.filter(F.col("topic").isin(CATCH_URLS_TOPIC, CATCH_WINDOWS_TOPIC))
+    return dead.select(F.lit(request_topic).alias("topic"), F.lit("").alias("key"),
+                       F.col("value"), F.col("reason").alias("retry_reason"))
+
+
 def page_result_map(keyed_json: DataFrame) -> DataFrame:
     """A page's result as one ``map<key, json>`` per URL (the page map); its
     size is bounded by the page (<= entries x steps per page)."""

@@ -316,6 +316,8 @@ SELECT url, entry_pos, kind, li_pos, isie, updated, published, debutTraitement,
     "parcel_json": f"WITH {ROUND_TRIP}, {JSON_SELECT} SELECT url, entry_pos, kind, li_pos, key, value FROM json",
     "route_pages": ROUTE_PAGES,
     "egress_messages": EGRESS,
+    "replay_dead_letters": f"""WITH {ROUND_TRIP}
+SELECT 'urls' AS topic, '' AS key, url || '&retry=1' AS value, 'http_404' AS retry_reason FROM pu""",
     "map_explode": f"WITH {ROUND_TRIP}, {JSON_SELECT} {LAST_JSON}",
     "partition_assign": f"""
 SELECT c_custkey, c_name AS key, CAST({_java_hash('c_name')} AS INTEGER) AS hash,

@@ -235,6 +235,12 @@ def q_route_pages(spark, sf):
     return msg.page_messages(fetched_round_trip(spark, sf)).select("topic", "key", "value", "reason")
 
 
+@query
+def q_replay_dead_letters(spark, sf):
+    routed = msg.page_messages(fetched_round_trip(spark, sf))
+    return msg.replay_dead_letters(routed).select("topic", "key", "value", "retry_reason")
+
+
 @query
 def q_egress_messages(spark, sf):
     m = msg.page_messages(fetched_round_trip(spark, sf))

@@ -45,16 +45,28 @@ def publish(spark: SparkSession, msgs: DataFrame, topic: str) -> tuple[str, int]
 
 
 def wordcount_query(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
-                    interval: str = "2 seconds"):
-    """Start the per-batch word count; returns the ``StreamingQuery``."""
+                    interval: str = "2 seconds", show_rows: int = 0):
+    """Start the per-batch word count; returns the ``StreamingQuery``.
+    ``show_rows`` also prints each batch's first rows (count desc, word) to
+    the driver console, as the original print did; only those rows leave
+    the executors."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(wc.wordcount(batch, "value"), out_path, batch_id)
+        counts = wc.wordcount(batch, "value")
+        write_batch(counts, out_path, batch_id)
+        if show_rows:
+            wc.top_words(spark_read_batch(batch, out_path, batch_id), show_rows).show(show_rows, False)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
+def spark_read_batch(batch: DataFrame, out_path: str, batch_id: int) -> DataFrame:
+    """A batch's written output (read back instead of recomputing it)."""
+    from mailstream.streaming.sinks import batch_dir
+    return batch.sparkSession.read.parquet(batch_dir(out_path, batch_id))
+
+
 def run_wordcount_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
     """Events become text messages on a file-backed topic (several files, so
     several micro-batches), the stream counts each batch, and the batch

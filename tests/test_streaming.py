@@ -127,3 +127,16 @@ def test_live_tick_source_emits_minute_grid(spark):
     steps = {(b - a).total_seconds() for a, b in zip(ticks, ticks[1:])}
     assert steps == {60.0}                               # consecutive minutes, none skipped
     assert all(t.second == 0 for t in ticks)
+
+
+def test_wordcount_console_rows(spark, sf_small, capfd):
+    ev = table(spark, sf_small, "events").limit(50)
+    topic_dir = scratch_path(spark, "t-console-topic")
+    topics.write_topics(ev.select(F.lit("lines").alias("topic"), F.lit(None).cast("string").alias("key"),
+                                  F.col("event_type").alias("value"), F.col("event_id").alias("seq")),
+                        topic_dir)
+    stream = topics.read_topics(spark, topic_dir, "lines", streaming=True)
+    q = jobs.wordcount_query(stream, scratch_path(spark, "t-console-out"),
+                             scratch_path(spark, "t-console-ckpt"), show_rows=3)
+    q.awaitTermination()
+    assert "|word" in capfd.readouterr().out

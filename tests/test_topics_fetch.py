@@ -64,3 +64,20 @@ def test_send_payloads_pluggable_transport(spark):
     p = post_payload(ev, "event_id", "event_type", "value", "value", "props")
     got = sorted(tuple(r) for r in send_payloads(p, fake).collect())
     assert got == [(1, 200), (2, 500)]
+
+
+def test_read_lines_batch_and_stream(spark):
+    path = scratch_path(spark, "t-lines")
+    spark.createDataFrame([("a b",), ("c",)], "value string").coalesce(1).write.text(path)
+    assert sorted(r["value"] for r in lines.read_lines(spark, path).collect()) == ["a b", "c"]
+    s = lines.read_lines(spark, path, streaming=True)
+    assert s.isStreaming and s.columns == ["value"]
+
+
+def test_replay_dead_letters(spark):
+    from mailstream.operators import messages as msg
+    m = spark.createDataFrame([("JsonTopic", "k", "{}", None), ("catchingTopicUrls", "u", "u", "http_404"),
+                               ("catchingTopic", "", "probe", "empty")],
+                              "topic string, key string, value string, reason string")
+    got = sorted(tuple(r) for r in msg.replay_dead_letters(m).collect())
+    assert got == [("urls", "", "probe", "empty"), ("urls", "", "u", "http_404")]
