@@ -157,19 +157,21 @@ def hot_orders(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
     return hot.hint("merge")
 
 
-def step_rows(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+def step_rows(lineitem: DataFrame, max_steps: int = MAX_STEPS,
+              hot: DataFrame | None = None) -> DataFrame:
     """``(l_orderkey, chunk, step)`` per lineitem, ``step`` carrying the
     ordering columns, the kind and the ``li`` XML.
 
     Lineitems are shuffled by (order, chunk) as raw columns and the XML is
     built after the shuffle, so the string work runs in every reduce task
-    and the shuffle carries compact rows instead of text.
+    and the shuffle carries compact rows instead of text. ``hot`` is the
+    ``hot_orders`` table when the caller already has it.
     """
     li = _escaped(lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                   "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                                   "l_returnflag", "l_linestatus", "l_shipdate"),
                   ["l_returnflag", "l_linestatus"])
-    hot = hot_orders(lineitem, max_steps)
+    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
     chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*LI_ORDER), F.col("_chunks"))).cast("int")
     placed = (li.join(hot, F.col("l_orderkey") == F.col("_hk"), "left")
@@ -195,13 +197,14 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     chunks and joined on (order, chunk), so the grouped side keeps its
     partitioning and only the orders side moves.
     """
+    # one hot-order check serves both sides
+    hot = hot_orders(lineitem, max_steps)
     # steps grow with the data (and the planner's size estimate for a
     # collected list is far too low): never broadcast them
-    steps = (step_rows(lineitem, max_steps)
+    steps = (step_rows(lineitem, max_steps, hot)
              .groupBy("l_orderkey", "chunk")
              .agg(F.array_sort(F.collect_list("step")).alias("steps"))
              .hint("merge"))
-    hot = hot_orders(lineitem, max_steps)
     cust = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     o = (orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
