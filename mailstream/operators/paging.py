@@ -73,14 +73,13 @@ def page_slices(df: DataFrame, order_cols: list[str], page_size: int = STEP,
     the page's ``start_index``.
 
     A global ``row_number()`` without partitioning would pull the table
-    into one task. Instead: range-partition and sort by the order columns,
-    number rows inside each range (Arrow batches in ``mapInPandas``), cut
-    lineage with a checkpoint so ranges stay fixed, add each range's offset
-    from a prefix sum over the per-range counts (one row per range: a
-    bounded table, broadcast), done.
+    into one task. Instead: range-partition and sort by the order columns;
+    ``monotonically_increasing_id`` then carries each row's range (upper
+    bits) and its position inside the sorted range (lower 33 bits), all
+    JVM-side. A checkpoint cuts lineage so the numbering is fixed once;
+    each range's offset comes from a prefix sum over the per-range counts
+    (one row per range: a bounded table, broadcast).
     """
-    from pyspark import TaskContext
-
     from mailstream.session import checkpoint_root
 
     spark = df.sparkSession
@@ -89,22 +88,13 @@ def page_slices(df: DataFrame, order_cols: list[str], page_size: int = STEP,
     # partition is still one contiguous, sorted key range
     ranged = (df.repartitionByRange(num_ranges, *order_cols) if num_ranges
               else df.repartitionByRange(*order_cols))
-    ordered = ranged.sortWithinPartitions(*order_cols)
-    from pyspark.sql import types as T
-    schema = T.StructType(ordered.schema.fields + [T.StructField("_range", T.IntegerType()),
-                                                    T.StructField("_local", T.LongType())])
-
-    def number(batches):
-        pid = TaskContext.get().partitionId()
-        seen = 0
-        for b in batches:
-            b = b.assign(_range=pid, _local=range(seen + 1, seen + 1 + len(b)))
-            b["_range"] = b["_range"].astype("int32")
-            b["_local"] = b["_local"].astype("int64")
-            seen += len(b)
-            yield b
-
-    numbered = ordered.mapInPandas(number, schema).checkpoint(eager=True)
+    mid = F.monotonically_increasing_id()
+    numbered = (ranged.sortWithinPartitions(*order_cols)
+                .withColumn("_mid", mid)
+                .withColumn("_range", F.shiftright(F.col("_mid"), 33).cast("int"))
+                .withColumn("_local", (F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("long"))
+                .drop("_mid")
+                .checkpoint(eager=True))
     sizes = numbered.groupBy("_range").agg(F.max("_local").alias("_n"))
     w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
