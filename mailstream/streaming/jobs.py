@@ -153,19 +153,31 @@ def window_totals_stream(events_stream: DataFrame, watermark: str = "5 minutes")
                       F.col("count").alias("total"))
 
 
-def run_window_totals_stream(spark: SparkSession, events_path: str) -> DataFrame:
-    """Complete mode: each batch rewrites the whole (minute-bounded) result."""
-    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(events_path)
+def run_window_totals_stream(spark: SparkSession, events_path: str,
+                             files_per_batch: int | None = None) -> DataFrame:
+    """Update mode: a batch emits only the windows it changed, each with its
+    running total, and writes them to its own batch folder (replay-safe).
+    Windows older than the watermark leave the state store, so state stays
+    bounded by the watermark, not by the history. The table view is the
+    latest update per window."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     out = scratch_path(spark, "window-totals")
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (window_totals_stream(src).writeStream.outputMode("complete").foreachBatch(per_batch)
+    q = (window_totals_stream(reader.parquet(events_path)).writeStream.outputMode("update")
+         .foreachBatch(lambda batch, batch_id: write_batch(batch, out, batch_id))
          .option("checkpointLocation", scratch_path(spark, "window-totals-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return latest_window_totals(spark, out)
+
+
+def latest_window_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The last update of every window across the written batches (a
+    per-minute partial aggregate)."""
+    updates = spark.read.parquet(path)
+    best = F.max_by(F.col("total"), F.col("batch_id")).alias("total")
+    return updates.groupBy("start", "end").agg(best)
 
 
 def window_router(ticks: DataFrame, totals: DataFrame, base_url: str | None = None) -> DataFrame:

@@ -140,3 +140,29 @@ def test_wordcount_console_rows(spark, sf_small, capfd):
                              scratch_path(spark, "t-console-ckpt"), show_rows=3)
     q.awaitTermination()
     assert "|word" in capfd.readouterr().out
+
+
+def test_window_totals_stream_over_batches_keeps_last_update(spark):
+    """Several micro-batches touch the same minute; the view holds its final
+    running total. Spark drops a row once it is older than the watermark
+    the previous batch ended with: 10:01 arrives in the first batch after the
+    watermark passed it (counted, then evicted); 10:05 one batch later is
+    dropped."""
+    src = scratch_path(spark, "t-wt-src")
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1, 10, 0, 0)
+    m = lambda k: base + dt.timedelta(minutes=k)
+    batches = [
+        [(1, base), (2, base + dt.timedelta(seconds=30))],
+        [(3, base + dt.timedelta(seconds=50)), (4, m(20))],
+        [(5, m(17)), (6, m(1))],
+        [(7, m(5)), (8, m(19))],
+    ]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([(e, t, 1, "view", 1.0, "") for e, t in rows], jobs.EVENTS_SCHEMA)
+        df.coalesce(1).write.parquet(f"{src}/part={i}")
+    got = {r["start"]: r["total"] for r in
+           jobs.run_window_totals_stream(spark, f"{src}/part=*", files_per_batch=1).collect()}
+    assert got == {"2024-01-01T10:00:00Z": 3, "2024-01-01T10:20:00Z": 1,
+                   "2024-01-01T10:17:00Z": 1, "2024-01-01T10:01:00Z": 1,
+                   "2024-01-01T10:19:00Z": 1}
