@@ -10,11 +10,12 @@ Mapping (fixed, mirrored by the SQL oracles):
 * one address per entry from the order's customer and nation;
 * page = ``o_orderkey div 1000``: at most 1000 entries, ordered by key.
 
-Scale: lineitems are grouped per (order, chunk) where an order with more
+Scale: steps are grouped per (order, chunk) where an order with more
 than ``max_steps`` lineitems is split into ``ceil(n/max_steps)`` chunks by a
 hash of the step key, and chunk ``c > 0`` goes to its own page series; so no
 entry or page grows with one hot order. Counts come from a partial
-aggregate; all string building is JVM-side expressions.
+aggregate; all string building is JVM-side expressions, done after the one
+shuffle of raw rows by (page, chunk).
 """
 
 from __future__ import annotations
@@ -157,66 +158,53 @@ def hot_orders(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
     return hot.hint("merge")
 
 
-def step_rows(lineitem: DataFrame, max_steps: int = MAX_STEPS,
-              hot: DataFrame | None = None) -> DataFrame:
-    """``(l_orderkey, chunk, step)`` per lineitem, ``step`` carrying the
-    ordering columns, the kind and the ``li`` XML.
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority", "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+              "n_name", "n_regionkey"]
 
-    Lineitems are shuffled by (order, chunk) as raw columns and the XML is
-    built after the shuffle, so the string work runs in every reduce task
-    and the shuffle carries compact rows instead of text. ``hot`` is the
-    ``hot_orders`` table when the caller already has it.
-    """
-    li = _escaped(lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                  "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                                  "l_returnflag", "l_linestatus", "l_shipdate"),
-                  ["l_returnflag", "l_linestatus"])
-    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
-    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*LI_ORDER), F.col("_chunks"))).cast("int")
-    placed = (li.join(hot, F.col("l_orderkey") == F.col("_hk"), "left")
-              .withColumn("chunk", chunk).drop("_hk", "_chunks")
-              .repartition("l_orderkey", "chunk"))
-    machine = (F.col("l_linenumber") % 2) == 0
-    return placed.select(
-        "l_orderkey", "chunk",
-        F.struct(*[F.col(c) for c in LI_ORDER], machine.alias("machine"),
-                 F.when(machine, machine_li()).otherwise(manual_li()).alias("xml")).alias("step"))
 
+def _page(key: str, page_entries: int) -> Column:
+    return F.floor(F.col(key) / page_entries).cast("long")
 
-def _join_steps(steps: Column, machine: bool) -> Column:
-    picked = F.filter(steps, lambda s: s["machine"] == F.lit(machine))
-    return F.array_join(F.transform(picked, lambda s: s["xml"]), "")
 
+def step_rows(lineitem: DataFrame, hot: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """Raw lineitem columns per step with ``(page, chunk, okey)``; the chunk
+    of a hot order comes from a hash of the step key."""
+    li = _escaped(lineitem.select(*LI_COLS), ["l_returnflag", "l_linestatus"])
+    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*LI_ORDER), F.col("_chunks"))).cast("int")
+    return (li.join(hot, F.col("l_orderkey") == F.col("_hk"), "left")
+            .select(_page("l_orderkey", page_entries).alias("page"), chunk.alias("chunk"),
+                    F.col("l_orderkey").alias("okey"), *LI_COLS[1:]))
 
-def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
-               nation: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
-    """``(o_orderkey, chunk, o_orderdate, xml)`` per entry.
 
-    Steps are grouped per (order, chunk); orders are expanded to their
-    chunks and joined on (order, chunk), so the grouped side keeps its
-    partitioning and only the orders side moves.
-    """
-    # one hot-order check serves both sides
-    hot = hot_orders(lineitem, max_steps)
-    # steps grow with the data (and the planner's size estimate for a
-    # collected list is far too low): never broadcast them
-    steps = (step_rows(lineitem, max_steps, hot)
-             .groupBy("l_orderkey", "chunk")
-             .agg(F.array_sort(F.collect_list("step")).alias("steps"))
-             .hint("merge"))
+def order_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame, hot: DataFrame,
+               page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """Order, customer and nation columns per entry with ``(page, chunk,
+    okey)``; a hot order gets one row per chunk."""
     cust = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     o = (orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        "o_orderdate", "o_orderpriority")
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
          .join(nat, "c_nationkey", "left")
-         .join(hot, F.col("o_orderkey") == F.col("_hk"), "left")
-         .withColumn("o_chunk", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)))
-         .drop("_hk", "_chunks"))
+         .join(hot, F.col("o_orderkey") == F.col("_hk"), "left"))
     o = _escaped(o, ["o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "n_name"])
-    e = o.join(steps, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("o_chunk") == F.col("chunk")),
-               "left")
+    chunks = F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)
+    return o.select(_page("o_orderkey", page_entries).alias("page"),
+                    F.explode(chunks).alias("chunk"), F.col("o_orderkey").alias("okey"),
+                    *ORDER_COLS)
+
+
+def _join_steps(steps: Column, machine: bool) -> Column:
+    picked = F.filter(steps, lambda s: s["machine"] == F.lit(machine))
+    return F.array_join(F.transform(picked, lambda s: s["xml"]), "")
+
+
+def entry_xml() -> Column:
+    """The ``<a:entry>`` text from the order columns and ``steps``."""
     isie = F.format_string("%08X", F.col("o_orderkey"))
     status = F.col("o_orderstatus")
     published = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(
@@ -244,7 +232,7 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     uls = F.when(F.size(F.col("steps")) > 0, F.concat(
         F.lit('<ul class="traitement">'), _join_steps(F.col("steps"), True), F.lit("</ul>"),
         F.lit('<ul class="traitementManuel">'), _join_steps(F.col("steps"), False), F.lit("</ul>")))
-    xml = _xml(
+    return _xml(
         F.lit("<a:entry>"), title,
         F.lit("<a:id>urn:parcel:"), isie, F.lit("</a:id>"),
         F.lit("<a:updated>"), iso_second("o_orderdate"), F.lit("</a:updated>"),
@@ -253,7 +241,41 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         F.lit('<a:content type="xhtml"><div>'), _span("derivation", F.col("c_mktsegment")),
         uls, address, F.lit("</div></a:content>"),
         F.lit("<a:published>"), published, F.lit("</a:published></a:entry>"))
-    return e.select("o_orderkey", F.col("o_chunk").alias("chunk"), "o_orderdate", xml.alias("xml"))
+
+
+def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
+               nation: DataFrame, max_steps: int = MAX_STEPS,
+               page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """``(page, chunk, o_orderkey, o_orderdate, xml)`` per entry.
+
+    Order rows and step rows (raw columns, compact) are unioned and
+    shuffled once by ``(page, chunk)``. Grouping per entry ``(page, chunk,
+    okey)`` and, downstream, per page ``(page, chunk)`` reuse that
+    partitioning, so the rendered XML never crosses a shuffle and no join
+    sorts the steps. Steps whose order is missing are dropped (as a left
+    join from orders would).
+    """
+    hot = hot_orders(lineitem, max_steps)
+    # pages are few, large rows whose consumers (XML parsing) are CPU-heavy:
+    # place them by count so AQE does not merge them into fewer tasks than
+    # cores; every grouping below reuses this placement
+    n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = (order_rows(orders, customer, nation, hot, page_entries)
+            .withColumn("_is_step", F.lit(False))
+            .unionByName(step_rows(lineitem, hot, page_entries).withColumn("_is_step", F.lit(True)),
+                         allowMissingColumns=True)
+            .repartition(n, "page", "chunk"))
+    is_step = F.col("_is_step")
+    machine = (F.col("l_linenumber") % 2) == 0
+    step = F.when(is_step, F.struct(*[F.col(c) for c in LI_ORDER], machine.alias("machine"),
+                                    F.when(machine, machine_li()).otherwise(manual_li()).alias("xml")))
+    order = F.when(~is_step, F.struct(*[F.col(c) for c in ORDER_COLS]))
+    grouped = (both.groupBy("page", "chunk", "okey")
+               .agg(F.first(order, ignorenulls=True).alias("_o"),
+                    F.array_sort(F.collect_list(step)).alias("steps"))
+               .filter(F.col("_o").isNotNull())
+               .select("page", "chunk", "steps", "_o.*"))
+    return grouped.select("page", "chunk", "o_orderkey", "o_orderdate", entry_xml().alias("xml"))
 
 
 def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
@@ -261,15 +283,8 @@ def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                  page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS) -> DataFrame:
     """Feed pages ``(url, status, body, page, chunk, n_entries)``; one row
     per page with at most ``page_entries`` entries."""
-    ent = entry_rows(orders, lineitem, customer, nation, max_steps)
-    page = F.floor(F.col("o_orderkey") / page_entries).cast("long")
-    # pages are few, large rows whose consumers (XML parsing) are CPU-heavy:
-    # place them by count so AQE does not merge them into fewer tasks than
-    # cores; the grouping reuses this placement
-    n = int(ent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = (ent.withColumn("page", page)
-               .repartition(n, "page", "chunk")
-               .groupBy("page", "chunk")
+    ent = entry_rows(orders, lineitem, customer, nation, max_steps, page_entries)
+    grouped = (ent.groupBy("page", "chunk")
                .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "xml"))).alias("es"),
                     F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
                     F.count(F.lit(1)).alias("n_entries")))
