@@ -245,7 +245,7 @@ def entry_xml() -> Column:
 
 def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                nation: DataFrame, max_steps: int = MAX_STEPS,
-               page_entries: int = PAGE_ENTRIES) -> DataFrame:
+               page_entries: int = PAGE_ENTRIES, hot: DataFrame | None = None) -> DataFrame:
     """``(page, chunk, o_orderkey, o_orderdate, xml)`` per entry.
 
     Order rows and step rows (raw columns, compact) are unioned and
@@ -255,7 +255,7 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     sorts the steps. Steps whose order is missing are dropped (as a left
     join from orders would).
     """
-    hot = hot_orders(lineitem, max_steps)
+    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
     # pages are few, large rows whose consumers (XML parsing) are CPU-heavy:
     # place them by count so AQE does not merge them into fewer tasks than
     # cores; every grouping below reuses this placement
@@ -278,24 +278,49 @@ def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     return grouped.select("page", "chunk", "o_orderkey", "o_orderdate", entry_xml().alias("xml"))
 
 
+def _page_url(base_url: str, page_entries: int) -> Column:
+    """The URL of page ``(page, chunk)`` covering order dates ``lo..hi``."""
+    start_index = F.col("page") * page_entries + 1
+    return F.concat(page_url(iso_minute("lo"), iso_minute("hi"), start_index,
+                             F.lit(page_entries), base_url),
+                    F.when(F.col("chunk") > 0, F.concat(F.lit("&part="), _s("chunk")))
+                    .otherwise(F.lit("")))
+
+
 def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                  nation: DataFrame, base_url: str = DEFAULT_BASE_URL,
-                 page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS) -> DataFrame:
+                 page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS,
+                 hot: DataFrame | None = None) -> DataFrame:
     """Feed pages ``(url, status, body, page, chunk, n_entries)``; one row
     per page with at most ``page_entries`` entries."""
-    ent = entry_rows(orders, lineitem, customer, nation, max_steps, page_entries)
+    ent = entry_rows(orders, lineitem, customer, nation, max_steps, page_entries, hot)
     grouped = (ent.groupBy("page", "chunk")
                .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "xml"))).alias("es"),
                     F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
                     F.count(F.lit(1)).alias("n_entries")))
-    start_index = F.col("page") * page_entries + 1
-    url = F.concat(page_url(iso_minute("lo"), iso_minute("hi"), start_index,
-                            F.lit(page_entries), base_url),
-                   F.when(F.col("chunk") > 0, F.concat(F.lit("&part="), _s("chunk")))
-                   .otherwise(F.lit("")))
     body = F.concat(F.lit(FEED_OPEN), F.lit("<openSearch:totalResults>"), _s("n_entries"),
                     F.lit("</openSearch:totalResults>"),
                     F.array_join(F.transform(F.col("es"), lambda x: x["xml"]), ""),
                     F.lit(FEED_CLOSE))
-    return grouped.select(url.alias("url"), F.lit(200).alias("status"), body.alias("body"),
-                          "page", "chunk", F.col("n_entries").cast("long").alias("n_entries"))
+    return grouped.select(_page_url(base_url, page_entries).alias("url"), F.lit(200).alias("status"),
+                          body.alias("body"), "page", "chunk",
+                          F.col("n_entries").cast("long").alias("n_entries"))
+
+
+def page_index(orders: DataFrame, lineitem: DataFrame, base_url: str = DEFAULT_BASE_URL,
+               page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS,
+               hot: DataFrame | None = None) -> DataFrame:
+    """``(page, chunk, url, n_entries)`` of every rendered page, from the
+    order keys and dates alone (plus the hot-order chunk counts): the
+    request list, without rendering. A partial aggregate per page."""
+    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
+    chunks = F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)
+    rows = (orders.select("o_orderkey", "o_orderdate")
+            .join(hot, F.col("o_orderkey") == F.col("_hk"), "left")
+            .select(_page("o_orderkey", page_entries).alias("page"), F.explode(chunks).alias("chunk"),
+                    "o_orderdate"))
+    g = (rows.groupBy("page", "chunk")
+         .agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
+              F.count(F.lit(1)).alias("n_entries")))
+    return g.select("page", "chunk", _page_url(base_url, page_entries).alias("url"),
+                    F.col("n_entries").cast("long").alias("n_entries"))

@@ -17,7 +17,7 @@ from mailstream.functions.time import iso_minute, iso_second, minute_floor
 from mailstream.operators import feed as feedops
 from mailstream.operators import messages as msg
 from mailstream.operators import paging, parcels as P, windows, wordcount as wc
-from mailstream.plans.atom_fixture import render_pages
+from mailstream.plans.atom_fixture import hot_orders, page_index, render_pages
 from mailstream.sources import lines, topics
 from mailstream.sources.fetch import fetch_lookup
 from mailstream.sources.tables import table
@@ -142,9 +142,17 @@ def q_fetch_lookup(spark, sf):
 
 # -- Atom round trip ---------------------------------------------------------
 
-def rendered_pages(spark, sf) -> DataFrame:
+def rendered_pages(spark, sf, hot: DataFrame | None = None) -> DataFrame:
     return render_pages(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"),
-                        _t(spark, sf, "customer"), _t(spark, sf, "nation"), BASE_URL)
+                        _t(spark, sf, "customer"), _t(spark, sf, "nation"), BASE_URL, hot=hot)
+
+
+def page_requests(spark, sf, hot: DataFrame | None = None) -> DataFrame:
+    """Every rendered page's URL plus one that misses per page, from the
+    orders alone (the pages are not rendered to list them)."""
+    urls = page_index(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"), BASE_URL, hot=hot)
+    return urls.select(F.explode(F.array(F.col("url"), F.concat("url", F.lit(MISS_SUFFIX))))
+                       .alias("url"))
 
 
 def _entries(spark, sf) -> DataFrame:
@@ -154,10 +162,9 @@ def _entries(spark, sf) -> DataFrame:
 def fetched_round_trip(spark, sf) -> DataFrame:
     """Requests = every rendered page URL plus one miss per page; responses
     = the rendered pages; fetched with the lookup join."""
-    pages = rendered_pages(spark, sf).select("url", "body")
-    requests = pages.select("url").unionByName(
-        pages.select(F.concat("url", F.lit(MISS_SUFFIX)).alias("url")))
-    return fetch_lookup(requests, pages)
+    hot = hot_orders(_t(spark, sf, "lineitem"))
+    pages = rendered_pages(spark, sf, hot).select("url", "body")
+    return fetch_lookup(page_requests(spark, sf, hot), pages)
 
 
 @query
