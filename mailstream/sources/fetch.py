@@ -4,9 +4,9 @@ Two ways, same output ``(url, status, body)``:
 
 * ``fetch_lookup`` - responses already landed as a table: a left outer
   equi-join, so every request keeps exactly one row and failures stay.
-  A sort-merge join on ``url`` by default (bodies are big and grow with
-  the data); a caller that knows its response table is small may let the
-  planner broadcast it.
+  A shuffle join on ``url`` by default (bodies are big and grow with the
+  data), hashing the requests and streaming the bodies; a caller that
+  knows its response table is small may let the planner broadcast it.
 * ``fetch_live`` - a pluggable client called once per Arrow batch inside
   ``mapInPandas``; one client per task, requests spread over all tasks.
 """
@@ -30,7 +30,7 @@ def fetch_lookup(requests: DataFrame, responses: DataFrame, url_col: str = "url"
     and a null body.
 
     Response bodies grow with the data and are large per row, so by default
-    the join is a shuffle (sort-merge) join; pass ``small_responses=True``
+    the join is a shuffled hash join built on the requests; pass ``small_responses=True``
     only for a response table known to be small, to let the planner
     broadcast it by size."""
     resp = responses.select(F.col(url_col).alias("_rurl"), F.col(body_col).alias("body"),
@@ -38,10 +38,13 @@ def fetch_lookup(requests: DataFrame, responses: DataFrame, url_col: str = "url"
     if not small_responses:
         # Fetched bodies feed CPU-heavy parsing: place both sides by count
         # on the URL (AQE keeps the count, so parsing is not squeezed into
-        # fewer tasks than cores); the sort-merge join reuses the placement.
+        # fewer tasks than cores); the join reuses the placement.
         n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         resp = resp.repartition(n, "_rurl")
-        requests = requests.repartition(n, url_col)
+        # each task hashes its requests (URLs only) and streams the bodies
+        # past them: a shuffled hash join building the outer side, so the
+        # large rows are never sorted
+        requests = requests.repartition(n, url_col).hint("shuffle_hash")
     joined = requests.join(resp, requests[url_col] == resp["_rurl"], "left")
     status = F.when(F.col("_rurl").isNull(), F.lit(miss_status)).otherwise(F.col("_rstatus"))
     return joined.withColumn("status", status.cast("int")).drop("_rurl", "_rstatus")
