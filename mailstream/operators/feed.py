@@ -39,6 +39,22 @@ ENTRY = T.StructType([
         T.StructField("span", T.ArrayType(SPAN)), T.StructField("ul", T.ArrayType(UL))]))])),
 ])
 ENTRY_DOC = T.StructType(ENTRY.fields + [T.StructField("_corrupt_record", T.StringType())])
+
+# A pruned entry for consumers that read only classes and text: the title
+# spans, and per list item its spans and its divs' spans. Spark does not
+# prune a ``from_xml`` schema from the fields used downstream, so queries
+# that need only ids, step dates, counts or addresses parse this instead.
+_CV = T.StructType(_s("_class", "_VALUE"))
+KEY_LI = T.StructType([T.StructField("span", T.ArrayType(_CV)),
+                       T.StructField("div", T.ArrayType(T.StructType(
+                           _s("_class") + [T.StructField("span", T.ArrayType(_CV))])))])
+KEY_ENTRY_DOC = T.StructType([
+    T.StructField("title", T.StructType([T.StructField("div", T.StructType([
+        T.StructField("span", T.ArrayType(_CV))]))])),
+    T.StructField("content", T.StructType([T.StructField("div", T.StructType([
+        T.StructField("ul", T.ArrayType(T.StructType(
+            _s("_class") + [T.StructField("li", T.ArrayType(KEY_LI))])))]))])),
+    T.StructField("_corrupt_record", T.StringType())])
 HEADER = T.StructType([T.StructField("totalResults", T.StringType()),
                        T.StructField("_corrupt_record", T.StringType())])
 
@@ -101,11 +117,11 @@ def entry_count(body) -> Column:
     return F.size(entry_tails(body, entry_tag(body))).cast("int")
 
 
-def parse_entry(fragment) -> Column:
-    """One entry fragment -> ``ENTRY`` struct (prefixes matched by local
+def parse_entry(fragment, schema: T.StructType = ENTRY_DOC) -> Column:
+    """One entry fragment -> ``schema`` struct (prefixes matched by local
     name, so the fragment needs no namespace declarations)."""
     f = F.col(fragment) if isinstance(fragment, str) else fragment
-    return F.from_xml(f, ENTRY_DOC, XML_OPTIONS)
+    return F.from_xml(f, schema, XML_OPTIONS)
 
 
 # -- selection helpers: XPath ``x[@class='c']`` on parsed arrays -------------

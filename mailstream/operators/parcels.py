@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from mailstream.functions.text import blank_to_null, java_concat
 from mailstream.operators.feed import (
-    LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_entry, parse_header,
+    KEY_ENTRY_DOC, LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_entry, parse_header,
     pick, ul_items,
 )
 
@@ -41,7 +41,7 @@ BLANK_IS_NULL = {"updated", "published", "debutTraitement", "date", "datePublica
 
 
 def entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str = "body",
-            checked: bool = False) -> DataFrame:
+            checked: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """One row per feed entry with its 1-based position in the page.
 
     Pages that are not well-formed yield no entries (a page is all or
@@ -50,7 +50,14 @@ def entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str =
     """
     ok = pages if checked else parse_header(pages, body_col)
     frags = explode_entries(ok.filter(F.col("parse_ok")), body_col, keep)
-    return frags.select(*keep, "entry_pos", parse_entry("fragment").alias("entry"))
+    return frags.select(*keep, "entry_pos",
+                        parse_entry("fragment", *([schema] if schema else [])).alias("entry"))
+
+
+def key_entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str = "body") -> DataFrame:
+    """``entries`` parsed with the pruned ``KEY_ENTRY_DOC``: enough for
+    keys, step counts and addresses."""
+    return entries(pages, keep, body_col, schema=KEY_ENTRY_DOC)
 
 
 def entry_lookups(entry: Column) -> dict[str, Column]:
@@ -246,6 +253,34 @@ def parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
                      *[c.alias(n) for n, c in proj.items()])
 
 
+KEY_ITEM = T.StructType([T.StructField("_k", T.IntegerType()),
+                        T.StructField("li_pos", T.IntegerType()),
+                        T.StructField("id", T.StringType())])
+
+
+def step_keys(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    """``keep..., entry_pos, kind, li_pos, isie, id`` per step: the fields
+    of ``parcels`` that make its key, from entries parsed with either
+    schema. Steps are in document order (machine list, then manual list)."""
+    e = F.col("entry")
+    ts = e["title"]["div"]["span"]
+    empty = F.array().cast(T.ArrayType(KEY_ITEM))
+
+    def ids(k: int, cls: str, spans) -> Column:
+        items = ul_items(e, cls)
+        return F.coalesce(F.transform(items, lambda li, i: F.struct(
+            F.lit(k).alias("_k"), (i + 1).cast("int").alias("li_pos"),
+            blank_to_null(pick(spans(li), classes(spans(li)), "datePublication")).alias("id"))),
+            empty)
+
+    steps_ = F.concat(ids(0, "traitement", lambda li: li["span"]),
+                      ids(1, "traitementManuel", client_spans)).cast(T.ArrayType(KEY_ITEM))
+    st = ents.select(*keep, "entry_pos", pick(ts, classes(ts), "id").alias("isie"),
+                     F.explode(steps_).alias("_s"))
+    return st.select(*keep, "entry_pos", _kind(F.col("_s._k")).alias("kind"),
+                     F.col("_s.li_pos").alias("li_pos"), "isie", F.col("_s.id").alias("id"))
+
+
 def treatment_counts(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Steps per entry (node counts); an absent list counts 0."""
     e = F.col("entry")

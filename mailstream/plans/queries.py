@@ -159,6 +159,11 @@ def _entries(spark, sf) -> DataFrame:
     return P.entries(rendered_pages(spark, sf).select("url", "body"))
 
 
+def _key_entries(spark, sf) -> DataFrame:
+    """Entries parsed with the pruned schema (ids, step dates, addresses)."""
+    return P.key_entries(rendered_pages(spark, sf).select("url", "body"))
+
+
 def fetched_round_trip(spark, sf) -> DataFrame:
     """Requests = every rendered page URL plus one miss per page; responses
     = the rendered pages; fetched with the lookup join."""
@@ -176,7 +181,7 @@ def q_feed_total(spark, sf):
 
 @query
 def q_entry_positions(spark, sf):
-    e = _entries(spark, sf)
+    e = _key_entries(spark, sf)
     return e.select("url", "entry_pos",
                     feedops.first_by_class(F.col("entry.title.div.span"), "id").alias("isie"))
 
@@ -201,12 +206,12 @@ def q_parcels(spark, sf):
 
 @query
 def q_parcel_keys(spark, sf):
-    return P.with_keys(P.parcels(_entries(spark, sf))).select("url", "entry_pos", "kind", "li_pos", "key")
+    return P.with_keys(P.step_keys(_key_entries(spark, sf))).select("url", "entry_pos", "kind", "li_pos", "key")
 
 
 @query
 def q_parcels_last(spark, sf):
-    keyed = P.with_keys(P.parcels(_entries(spark, sf)))
+    keyed = P.with_keys(P.step_keys(_key_entries(spark, sf)))
     # project first: only the key and its document position cross the shuffle
     narrow = keyed.select("url", "key", "entry_pos", "kind", "li_pos")
     return P.last_per_key(narrow).select("url", "key", "entry_pos", "kind", "li_pos")
@@ -214,12 +219,12 @@ def q_parcels_last(spark, sf):
 
 @query
 def q_treatment_counts(spark, sf):
-    return P.treatment_counts(_entries(spark, sf))
+    return P.treatment_counts(_key_entries(spark, sf))
 
 
 @query
 def q_addresses(spark, sf):
-    return P.addresses(_entries(spark, sf))
+    return P.addresses(_key_entries(spark, sf))
 
 
 @query

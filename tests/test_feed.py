@@ -274,3 +274,23 @@ def test_pretty_printed_entry_with_empty_and_extra_elements(spark):
     assert m["cedex"] == "oui" and m["receptacleReel"] is None
     addr = P.addresses(ents).first()
     assert (addr["CodeAdresse"], addr["codeAcheDistri"]) == ("Z9", "Q1")
+
+
+def test_pruned_key_parse_equals_full_parse(spark):
+    """Keys, step counts and addresses from the pruned schema equal those
+    from the full parse, including blank dates, manual steps, entries
+    without steps and missing lists."""
+    body = feed(entry("K1", machines=[machine(), machine(date_pub="")], manuals=[manual()], addresses=2),
+                entry("K2"),
+                entry("K3", manuals=[manual(date_pub=""), manual("2014-12-03T00:00:00Z")]),
+                entry("K4", machines=[machine(cedex_class="cedex")], addresses=1),
+                total="4")
+    df = pages(spark, body)
+    full, pruned = P.entries(df), P.key_entries(df)
+    cols = ["url", "entry_pos", "kind", "li_pos", "key"]
+    want = P.with_keys(P.parcels(full)).select(*cols).collect()
+    got = P.with_keys(P.step_keys(pruned)).select(*cols).collect()
+    assert sorted(got) == sorted(want) and len(want) == 6
+    assert any(r["key"].endswith("|null") for r in got)
+    assert sorted(P.treatment_counts(pruned).collect()) == sorted(P.treatment_counts(full).collect())
+    assert sorted(P.addresses(pruned).collect()) == sorted(P.addresses(full).collect())
