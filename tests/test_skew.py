@@ -38,3 +38,15 @@ def test_hot_orders_counts(spark, sf_small):
     n = {r["l_orderkey"]: r["c"] for r in li.groupBy("l_orderkey").agg(F.count("*").alias("c")).collect()}
     want = {k: -(-c // 5) for k, c in n.items() if c > 5}
     assert {r["_hk"]: r["_chunks"] for r in hot} == want
+
+
+def test_page_index_lists_every_rendered_page(spark, sf_small):
+    """Requests are built from the orders alone; they name exactly the
+    rendered pages, with their entry counts, on the split path too."""
+    t = lambda n: table(spark, sf_small, n)
+    for max_steps in (A.MAX_STEPS, 2):
+        pages = A.render_pages(t("orders"), t("lineitem"), t("customer"), t("nation"),
+                               max_steps=max_steps)
+        index = A.page_index(t("orders"), t("lineitem"), max_steps=max_steps)
+        cols = ["page", "chunk", "url", "n_entries"]
+        assert sorted(index.select(*cols).collect()) == sorted(pages.select(*cols).collect())
