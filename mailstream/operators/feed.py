@@ -113,8 +113,11 @@ def explode_entries(pages: DataFrame, body_col: str, keep: tuple[str, ...] | lis
 
 
 def entry_count(body) -> Column:
-    """Number of entries in a page."""
-    return F.size(entry_tails(body, entry_tag(body))).cast("int")
+    """Number of entries in a page: matches of the page's literal entry tag,
+    counted without cutting the page into pieces."""
+    b = F.col(body) if isinstance(body, str) else body
+    pattern = F.concat(F.lit("\\Q"), entry_tag(b), F.lit("\\E(?=[\\s/>])"))
+    return F.regexp_count(b, pattern).cast("int")
 
 
 def parse_entry(fragment, schema: T.StructType = ENTRY_DOC) -> Column:
