@@ -56,3 +56,14 @@ def test_no_large_broadcast_in_round_trip(spark, name):
         # landed pages meet requests by shuffle; the requests are hashed, the bodies streamed
         assert re.search(r"\) ShuffledHashJoin\n(?:[^\n]+\n){0,3}Join type: LeftOuter", plan)
         assert "SortMergeJoin" not in plan
+
+
+def test_key_queries_parse_the_pruned_schema(spark, sf_small):
+    """``parcels_last`` reads only ids, step dates and positions: its XML
+    parse must not materialise links, abbreviations or definition lists."""
+    plan = final_plan(queries()["parcels_last"](spark, sf_small))
+    parses = re.findall(r"from_xml\(([^\n]*)", plan)
+    entry_parses = [p for p in parses if "StructField(title" in p]
+    assert entry_parses
+    for p in entry_parses:
+        assert "StructField(link" not in p and "StructField(abbr" not in p and "StructField(dl" not in p
