@@ -93,8 +93,16 @@ def url_bucket(url) -> "F.Column":
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
-    """Write fetched/landed pages ``(url, body)`` partitioned by URL bucket."""
+    """Write fetched/landed pages ``(url, body)`` partitioned by URL bucket.
+
+    Rows are range-partitioned by ``(bucket, url)`` first, so each task
+    holds a contiguous slice and writes one or two bucket folders: about
+    one file per task plus one per bucket, instead of one per task and
+    bucket. Slices are sized by sampling, so a large bucket spreads over
+    several tasks."""
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (pages.select("url", "body").withColumn("url_bucket", url_bucket("url"))
+     .repartitionByRange(n, "url_bucket", "url")
      .write.partitionBy("url_bucket").parquet(path))
 
 
