@@ -166,3 +166,20 @@ def test_window_totals_stream_over_batches_keeps_last_update(spark):
     assert got == {"2024-01-01T10:00:00Z": 3, "2024-01-01T10:20:00Z": 1,
                    "2024-01-01T10:17:00Z": 1, "2024-01-01T10:01:00Z": 1,
                    "2024-01-01T10:19:00Z": 1}
+
+
+def test_landed_pages_file_count_is_bounded(spark, sf_small):
+    """Each task writes one or two bucket folders: files stay within one
+    per task plus one per bucket, and every page lands once."""
+    import os
+
+    from mailstream.plans.queries import rendered_pages
+    pages = rendered_pages(spark, sf_small).select("url", "body")
+    out = scratch_path(spark, "t-landed")
+    jobs.land_pages(pages, out)
+    files = [f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")]
+    buckets = [d for d in os.listdir(out) if d.startswith("url_bucket=")]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= n + len(buckets)
+    landed = spark.read.parquet(out)
+    assert landed.count() == pages.count() == landed.select("url").distinct().count()
