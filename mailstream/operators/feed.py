@@ -1,10 +1,13 @@
-"""Parse Atom feed pages with one ``from_xml`` per page.
+"""Parse Atom feed pages: a header-only ``from_xml`` per page (well-formed
+check and ``totalResults``), then one ``from_xml`` per entry cut from the
+page at its entry tags.
 
 The schema is explicit and all-string: inference would turn a lone repeated
 child into a struct and ids into numbers. Prefixes (``a:``,
 ``openSearch:``, the default XHTML namespace) are matched by local name.
 Only the fields listed here are materialised, which is the column pruning
-for XML. Unparseable pages keep their text in ``_corrupt_record``.
+for XML (``KEY_ENTRY_DOC`` is the narrower schema for key-only readers).
+Unparseable pages keep their text in ``_corrupt_record``.
 """
 
 from __future__ import annotations
