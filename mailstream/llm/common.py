@@ -46,8 +46,8 @@ def count_words(text: Column) -> Column:
 
 
 def map_rows(df: DataFrame, schema: T.StructType,
-             fn: Callable[[list[dict]], Iterator[dict]]) -> DataFrame:
-    """Arrow map: ``fn`` gets slices of at most ``SLICE_ROWS`` rows and yields
+             fn: Callable[[list[dict]], Iterator[dict]], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Arrow map: ``fn`` gets slices of at most ``slice_rows`` rows and yields
     row dicts of ``schema``. Narrow, no shuffle; memory is one Arrow batch
     plus one slice."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -57,8 +57,8 @@ def map_rows(df: DataFrame, schema: T.StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                rows = list(fn(batch.slice(at, SLICE_ROWS).to_pylist()))
+            for at in range(0, batch.num_rows, slice_rows):
+                rows = list(fn(batch.slice(at, slice_rows).to_pylist()))
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=out_schema)
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable
 
@@ -35,15 +36,33 @@ from mailstream.llm.common import map_rows
 VOCABULARY = "word_bpe_49k.json"
 
 #: Word encodings kept by a task before the store is emptied and refilled.
-KEPT_WORDS = 500_000
-
-# Fixed values of the vocabulary: the word pattern (a text in Latin letters
-# needs no more than lower-casing before it), and the word-end mark.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
+KEPT_WORDS = 400_000
+#: Token pairs whose compatibility a task remembers.
+MAX_PAIRS = 1_000_000
+#: Documents whose new words share one trie.
+TRIE_DOCS = 2048
+
+# Fixed values of the vocabulary: the contractions of its word pattern, and
+# the word-end mark.
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 END = "</w>"
+
+# A text of characters below this needs only lower-casing before the word
+# pattern, and the pattern's letters and numbers can be listed.
 _PLAIN_LIMIT = 0x250
 
 
+def _listed(category: str) -> str:
+    return "".join(f"\\u{c:04x}" for c in range(_PLAIN_LIMIT) if unicodedata.category(chr(c))[0] == category)
+
+
+def plain_words() -> re.Pattern:
+    """The vocabulary's word pattern for plain texts: contractions, letter
+    runs, single numbers, runs of other signs."""
+    letter, number = _listed("L"), _listed("N")
+    return re.compile(rf"{CONTRACTIONS}|[{letter}]+|[{number}]|[^\t-\r \x85\xa0{letter}{number}]+")
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path(VOCABULARY)
@@ -83,7 +102,7 @@ class TrieEncoder:
         for t in self.ids:
             if len(t) > 1:
                 ends.setdefault(t[-2:], set()).add(len(t))
-        self.ends = {e: sorted(n, reverse=True) + [1] for e, n in ends.items()}
+        self.ends = {e: sorted(n, reverse=True) for e, n in ends.items()}
         self.follows: dict[tuple[str, str], bool] = {}
 
     def _own(self, token: str) -> str:
@@ -102,10 +121,13 @@ class TrieEncoder:
             parts[best:best + 2] = [parts[best] + parts[best + 1]]
         return parts
 
-    def _pair(self, a: str, b: str) -> bool:
-        if len(self.follows) > 2_000_000:
-            self.follows.clear()
-        ok = self.follows[(a, b)] = self.merge(a + b) == [a, b]
+    def _fits(self, a: str, b: str) -> bool:
+        """Whether the text of two tokens encodes to just them."""
+        ok = self.follows.get((a, b))
+        if ok is None:
+            if len(self.follows) > MAX_PAIRS:
+                self.follows.clear()
+            ok = self.follows[(a, b)] = self.merge(a + b) == [a, b]
         return ok
 
     def symbols(self, word: bytes) -> str:
@@ -118,7 +140,7 @@ class TrieEncoder:
         out: dict[str, list[int]] = {}
         path = ""                    # symbols from the root to the current node
         state: list[str] = []        # last token at each depth of the path
-        ids, ends, only, follows, pair = self.ids, self.ends, [1], self.follows, self._pair
+        ids, ends, fits = self.ids, self.ends, self._fits
         for s, w in own:
             shared = 0
             for x, y in zip(path, s):
@@ -126,16 +148,20 @@ class TrieEncoder:
                     break
                 shared += 1
             del state[shared:]
+            # exactly one token can come last, so the likely ones go first:
+            # the last token grown by the symbol, then the symbol alone
             for depth in range(shared + 1, len(s) + 1):
-                for n in ends.get(s[depth - 2:depth], only) if depth > 1 else only:
-                    token = s[depth - n:depth]
-                    if n <= depth and token in ids:
-                        if n == depth:
-                            break
-                        before = state[depth - n - 1]
-                        ok = follows.get((before, token))
-                        if ok or ok is None and pair(before, token):
+                token = symbol = s[depth - 1]
+                if depth > 1:
+                    grown = state[-1] + symbol
+                    for token in (grown, symbol):
+                        if token in ids and ((depth == len(token)) or fits(state[depth - len(token) - 1], token)):
                             break
+                    else:
+                        for n in ends.get(s[depth - 2:depth], ()):
+                            token = s[depth - n:depth]
+                            if n <= depth and token in ids and (n == depth or fits(state[depth - n - 1], token)):
+                                break
                 state.append(token)
             path = s
             tokens, depth = [], len(s)
@@ -148,23 +174,25 @@ class TrieEncoder:
 
 
 class TextEncoder:
-    """Whole texts: special tokens, normalisation, words, encodings."""
+    """Whole texts: special tokens, normalisation, words, encodings. Of each
+    word it keeps its ids and its tokens as text, ready to be joined."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.trie = TrieEncoder(path)
-        self.words = regex.compile(WORDS)
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, self.trie.special)) + ")")
+        self.words = plain_words()
+        self.beyond = re.compile(f"[^\x00-{chr(_PLAIN_LIMIT - 1)}]")
+        self.marks = re.compile("(" + "|".join(map(re.escape, self.trie.special)) + ")")
         self.library = Tokenizer.from_file(path)
         self.back = {c: b for b, c in enumerate(self.trie.letters)}
-        self.ids: dict[str, list[int]] = {}
+        self.ids: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
 
     def _split(self, text: str) -> list[str]:
-        if max(map(ord, text), default=0) < _PLAIN_LIMIT if not text.isascii() else True:
+        if not self.beyond.search(text):
             return self.words.findall(text.lower())
-        norm = self.library.normalizer.normalize_str(unicodedata.normalize("NFC", text))
+        norm = self.library.normalizer.normalize_str(text)
         return [bytes(self.back[c] for c in p).decode("utf-8")
                 for p, _ in self.library.pre_tokenizer.pre_tokenize_str(norm)]
 
@@ -177,21 +205,23 @@ class TextEncoder:
             out.extend([part] if part in self.trie.special else self._split(part) if part else [])
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the token ids of each of its words."""
+    def encode_batch(self, texts: list[str]) -> list[tuple[str, str]]:
+        """For each text its ids and its decoded text; the vocabulary has no
+        decoder, so decoding joins tokens by spaces."""
         split = [self.pieces(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.ids}
+        new = set().union(*split).difference(self.ids)
         if len(self.ids) + len(new) > KEPT_WORDS:
             self.ids.clear()
-            new = {w for words in split for w in words}
-        special = self.trie.special
-        self.ids.update({w: [special[w]] for w in new if w in special})
-        self.ids.update(self.trie.encode_words(w for w in new if w not in special))
-        return [[self.ids[w] for w in words] for words in split]
-
-    def decode(self, ids: Iterable[int]) -> str:
-        """The vocabulary has no decoder: tokens joined by spaces."""
-        return " ".join(map(self.trie.names.__getitem__, ids))
+            self.tokens.clear()
+            new = set().union(*split)
+        coded = self.trie.encode_words(w for w in new if w not in self.trie.special)
+        coded |= {w: [self.trie.special[w]] for w in new if w in self.trie.special}
+        names = self.trie.names
+        for w, ids in coded.items():
+            self.ids[w] = " ".join(map(str, ids))
+            self.tokens[w] = " ".join([names[i] for i in ids])
+        return [(" ".join(map(self.ids.__getitem__, words)), " ".join(map(self.tokens.__getitem__, words)))
+                for words in split]
 
 
 _loaded: dict[str, TextEncoder] = {}
@@ -215,16 +245,15 @@ def _rows(docs: DataFrame, schema: T.StructType, path: str | None, make) -> Data
 
     def rows(batch):
         enc = text_encoder(where)
-        coded = enc.encode_batch([r["text"] or "" for r in batch])
-        for r, words in zip(batch, coded):
-            yield make(enc, r["doc_id"], [i for w in words for i in w])
+        for r, (ids, decoded) in zip(batch, enc.encode_batch([r["text"] or "" for r in batch])):
+            yield {"doc_id": r["doc_id"]} | make(ids, decoded)
 
-    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), schema, rows)
+    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), schema, rows, TRIE_DOCS)
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``(doc_id, ids, decoded)`` of every text."""
-    return _rows(docs, _ENCODED, path, lambda enc, d, ids: {"doc_id": d, "ids": ids, "decoded": enc.decode(ids)})
+    return _rows(docs, _ENCODED, path, lambda ids, decoded: {"ids": [int(i) for i in ids.split()], "decoded": decoded})
 
 
 def _sha(s: str) -> str:
@@ -233,6 +262,5 @@ def _sha(s: str) -> str:
 
 def op6_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The digests of ids and decoded text of every document."""
-    return _rows(docs, _DIGEST, path, lambda enc, d, ids: {
-        "doc_id": d, "n_tokens": len(ids), "ids_sha256": _sha(" ".join(map(str, ids))),
-        "decoded_sha256": _sha(enc.decode(ids))})
+    return _rows(docs, _DIGEST, path, lambda ids, decoded: {
+        "n_tokens": len(ids.split()), "ids_sha256": _sha(ids), "decoded_sha256": _sha(decoded)})
