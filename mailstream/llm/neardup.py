@@ -14,15 +14,20 @@ Steps:
 2. Collections that no other class shares cannot key a table with two
    members; they are dropped first, so documents without a near copy emit
    nothing.
-3. Candidates, in rounds. Each table bucket compares its members with one hub
-   (the member that shares most collections: a group's original rather than one
-   of its copies). Links are confirmed on full sets and joined to components.
-   Buckets whose members still lie in several components go on: the members
-   outside the bucket's largest component are compared with all members of
-   other components, at once where that is little work, else hub by hub. The loop ends
-   when no bucket has an untested pair across components: nothing is capped,
-   and a group of n copies costs about n comparisons, not n * n.
-4. Components; labels go back to every row through its class.
+3. A class's shingles that occur in another candidate bound every overlap it
+   can have. Pairs out of reach by such exact bounds are never compared.
+4. Candidates. Each table bucket compares its members with one hub (the member
+   that shares most collections: a group's original rather than one of its
+   copies). Links are confirmed on full sets and joined to components. Buckets
+   whose members still lie in several components go on. An overlap is at most
+   the smaller count of frequent shingles (those of more than ``RARE``
+   candidates) plus the shared rare ones: pairs that share rare shingles are
+   found by them, each meeting ``RARE`` classes at most; pairs that frequent
+   shingles alone could link are compared in their buckets, at once where
+   that is little work, else hub by hub. Two edited copies of one original share its
+   text but not their edits, and go apart without a comparison, so a group of
+   n copies costs about n comparisons. Nothing is capped.
+5. Components; labels go back to every row through its class.
 
 Defined cases: a null, empty or blank text has an empty set and links with
 nothing; a row without doc_id links with nothing and has component null; rows
@@ -45,9 +50,11 @@ PERCENT = 75
 SIDE, DEPTH = 16, 3
 #: Members compared with one hub in one group of rows; a larger star is split.
 STAR = 32
-#: All remaining pairs across components are tested at once below this many
-#: times the number of classes in buckets; more go through another hub round.
-AT_ONCE = 4
+#: All remaining pairs across components are tested at once when they are at
+#: most this many for each bucket member on average; else another hub round.
+AT_ONCE = 16
+#: A shingle that more candidates share than this counts as frequent.
+RARE = 48
 
 _SIG = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
                      T.StructField("digest", T.BinaryType()), T.StructField("cols", T.ArrayType(T.LongType()))])
@@ -68,63 +75,124 @@ def signatures(docs: DataFrame, side: int = SIDE, depth: int = DEPTH) -> DataFra
 
 
 def _shared_collections(classes: DataFrame) -> DataFrame:
-    """``(rep, n, score, us, vs)``: the collection values that at least two
-    classes share; ``score`` adds up how many classes share them."""
-    values = classes.select("rep", "n", F.posexplode("cols").alias("pos", "v"))
+    """``(rep, lo, hi, score, us, vs)``: the collection values that at least
+    two classes share; ``score`` adds up how many classes share them. ``lo`` and
+    ``hi`` are the set sizes (they differ only when rows of one doc_id have
+    different texts)."""
+    values = classes.select("rep", "n", "digest", F.posexplode("cols").alias("pos", "v"))
     values = values.withColumn("c", F.xxhash64("pos", "v"))
     counts = written(values.groupBy("c").agg(F.count(F.lit(1)).alias("shared")).filter("shared > 1"), "nd-shared")
     hit = values.join(counts, "c")
     side = lambda cond: F.collect_list(F.when(cond, F.col("c")))  # noqa: E731  nulls are left out
-    return written(hit.groupBy("rep").agg(F.first("n").alias("n"), F.sum("shared").alias("score"),
-                                          side(F.col("pos") < SIDE).alias("us"), side(F.col("pos") >= SIDE).alias("vs"))
-                   .filter((F.size("us") > 0) & (F.size("vs") > 0)), "nd-profiles")
+    return written(hit.groupBy("rep").agg(
+        F.min("n").alias("lo"), F.when(F.min("digest") == F.max("digest"), F.max("n")).otherwise(F.max("n") + 1).alias("hi"),
+        F.sum("shared").alias("score"), side(F.col("pos") < SIDE).alias("us"), side(F.col("pos") >= SIDE).alias("vs"))
+        .filter((F.size("us") > 0) & (F.size("vs") > 0)), "nd-profiles")
 
 
-def _members(profiles: DataFrame) -> DataFrame:
-    """``(key, rep, n, score)``: one row per table key of each class."""
-    return (profiles.withColumn("u", F.explode("us")).withColumn("v", F.explode("vs"))
-            .select(F.xxhash64("u", "v").alias("key"), "rep", "n", "score"))
+_SHINGLES = T.StructType([T.StructField("rep", T.LongType()), T.StructField("s", T.ArrayType(T.LongType()))])
+
+
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """``(s, rep)``: every shingle of every candidate class."""
+    def rows(batch):
+        from mailstream.llm.shingles import shingle_set
+        for r in batch:
+            yield {"rep": r["doc_id"], "s": shingle_set(r["text"]).view("int64").tolist()}
+
+    return map_rows(texts.select("doc_id", "text"), _SHINGLES, rows).select(F.explode("s").alias("s"), "rep")
+
+
+def _common_sizes(profiles: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(rep, n, bound, score, us, vs)``: ``bound`` is how many of a class's
+    shingles occur in another candidate class too, an upper bound of any
+    overlap. Each shingle is counted once over all candidates; one that
+    occurs once belongs to one class only, which it is charged to. Classes
+    whose bound excludes every partner are left out."""
+    own = (_shingle_rows(texts).groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("rep")).filter("k = 1")
+           .groupBy(F.col("rep").alias("id")).agg(F.count(F.lit(1)).alias("own")))
+    bound = F.when(F.col("lo") == F.col("hi"), F.col("lo") - F.coalesce("own", F.lit(0))).otherwise(F.col("hi"))
+    return written(profiles.join(own, profiles["rep"] == own["id"], "left")
+                   .select("rep", F.col("lo").alias("n"), bound.alias("bound"), "score", "us", "vs")
+                   .filter(_reach(F.col("bound"), F.col("bound"), F.col("n"), F.ceil(F.col("n") * PERCENT / 100))),
+                   "nd-sizes")
+
 
+def _rare_shingles(texts: DataFrame) -> DataFrame:
+    """``(s, rep)`` of the shingles that 2 to ``RARE`` candidates share."""
+    seen = _shingle_rows(texts)
+    few = written(seen.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k").between(2, RARE)).select("s"),
+                  "nd-few")
+    return written(seen.join(few, "s"), "nd-rare")
 
-def _close_sizes(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+
+def _rare_pairs(rare: DataFrame, reps: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of a class of ``reps`` with any that shares rare shingles, when
+    those and the smaller bound on the frequent ones could be enough. A
+    shingle meets at most ``RARE`` classes, so this grows with the input."""
+    x = rare.join(reps, "rep", "left_semi").select("s", F.col("rep").alias("a"))
+    y = rare.select("s", F.col("rep").alias("b"))
+    met = x.join(y, "s").filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("r"))
+    one = lambda p: sizes.select(F.col("rep").alias(p), F.col("n").alias(f"{p}n"), F.col("bound").alias(f"{p}f"))
+    p = written(met, "nd-met").join(one("a"), "a").join(one("b"), "b")
+    return (p.filter(_reach(F.col("af") + F.col("r"), F.col("bf") + F.col("r"), F.col("an"), F.col("bn")))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _reach(bound_a: Column, bound_b: Column, a: Column, b: Column) -> Column:
+    """Whether an overlap of the smaller bound would do for sizes a, b."""
+    return (100 + PERCENT) * F.least(bound_a, bound_b) >= PERCENT * (a + b)
+
+
+def _members(profiles: DataFrame) -> DataFrame:
+    """``(key, rep, n, bound, score, label)``: one row per table key of each
+    class; a class is its own label at first."""
+    return (profiles.withColumn("u", F.explode("us")).withColumn("v", F.explode("vs"))
+            .select(F.xxhash64("u", "v").alias("key"), "rep", "n", "bound", "score", F.col("rep").alias("label")))
 
 
 def _hubs(members: DataFrame) -> DataFrame:
-    """``(key, hub, hub_n, hub_label)``: the best member of each bucket."""
+    """``(key, size, hub, hub_n, hub_bound, hub_label)``: the best member of
+    each bucket."""
     return (members.groupBy("key")
             .agg(F.count(F.lit(1)).alias("size"),
-                 F.max(F.struct("score", (-F.col("rep")).alias("r"), "n", "label")).alias("h"))
+                 F.max(F.struct("score", (-F.col("rep")).alias("r"), "n", "bound", "label")).alias("h"))
             .select("key", "size", (-F.col("h.r")).alias("hub"), F.col("h.n").alias("hub_n"),
-                    F.col("h.label").alias("hub_label")))
+                    F.col("h.bound").alias("hub_bound"), F.col("h.label").alias("hub_label")))
 
 
 def _hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs of each bucket's hub with its members of other components."""
     return (members.join(hubs.drop("size"), "key")
-            .filter((F.col("label") != F.col("hub_label")) & _close_sizes(F.col("n"), F.col("hub_n")))
+            .filter((F.col("label") != F.col("hub_label"))
+                    & _reach(F.col("bound"), F.col("hub_bound"), F.col("n"), F.col("hub_n")))
             .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
 
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with ``label``
-    and whether the label is ``main``, the most frequent one of the bucket."""
-    m = members.join(labels, members["rep"] == labels["node"], "left")
-    m = m.select("key", "rep", "n", "score", F.coalesce("label", "rep").alias("label"))
-    per = m.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    """Members of buckets that hold more than one component, with ``label``,
+    and the bucket's most frequent label (``main``), size and smallest set.
+    ``outside`` marks members of other components than the main one that some
+    member could still match."""
+    m = members.drop("label").join(labels, members["rep"] == labels["node"], "left")
+    m = m.select("key", "rep", "n", "bound", "score", F.coalesce("label", "rep").alias("label"))
+    per = m.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
     open_ = written(per.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("top"),
-                                           F.count(F.lit(1)).alias("parts"))
-                    .filter("parts > 1").select("key", "size", F.col("top.label").alias("main")), "nd-open")
-    return m.join(open_, "key")
+                                           F.min("least").alias("least"), F.count(F.lit(1)).alias("parts"))
+                    .filter("parts > 1").select("key", "size", "least", F.col("top.label").alias("main")), "nd-open")
+    fits = _reach(F.col("bound"), F.col("bound"), F.col("n"),
+                  F.greatest(F.col("least"), F.ceil(F.col("n") * PERCENT / 100)))
+    return m.join(open_, "key").withColumn("outside", (F.col("label") != F.col("main")) & fits)
 
 
 def _cross_pairs(open_: DataFrame) -> DataFrame:
-    """All pairs across components: members outside the main component with
-    every member of another component."""
-    x = open_.filter("label <> main").select("key", F.col("rep").alias("a"), F.col("n").alias("an"),
-                                             F.col("label").alias("al"))
-    y = open_.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    p = x.join(y, "key").filter((F.col("al") != F.col("bl")) & _close_sizes(F.col("an"), F.col("bn")))
+    """All pairs across components that could match: members outside the main
+    component with every member of another component."""
+    x = open_.filter("outside").select("key", F.col("rep").alias("a"), F.col("n").alias("an"),
+                                       F.col("bound").alias("ac"), F.col("label").alias("al"))
+    y = open_.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("bound").alias("bc"),
+                     F.col("label").alias("bl"))
+    p = x.join(y, "key").filter((F.col("al") != F.col("bl")) & _reach(F.col("ac"), F.col("bc"), F.col("an"), F.col("bn")))
     return p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -190,19 +258,35 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between class representatives, complete for the index:
     every pair that shares a table bucket is linked, lies in one component
-    already, or was tested."""
-    members = _members(_shared_collections(classes))
-    hubs = written(_hubs(members.withColumn("label", F.col("rep"))).filter("size > 1"), "nd-hubs")
-    pairs = written(_hub_pairs(members.withColumn("label", F.col("rep")), hubs), "nd-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    already, is out of reach, or was tested."""
+    profiles = _shared_collections(classes)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # the text of every class that has a candidate, written once for all rounds
-    texts = written(own.join(ids, own["doc_id"] == ids["id"], "left_semi"), "nd-texts")
-    links, tested, used = written(_confirm(pairs, texts, percent), "nd-links"), pairs, hubs.select("key", "hub")
-    budget = AT_ONCE * max(texts.count(), 1000)
+    # the text of every class that shares a table, written once for all rounds
+    texts = written(own.join(profiles, own["doc_id"] == profiles["rep"], "left_semi"), "nd-texts")
+    sizes = _common_sizes(profiles, texts)
+    members = _members(sizes)
+    hubs = written(_hubs(members).filter("size > 1"), "nd-hubs")
+    tested = written(_hub_pairs(members, hubs), "nd-pairs")
+    links = written(_confirm(tested, texts, percent), "nd-links")
+    left = written(_open_members(members, components(links)), "nd-left")
+
+    # pairs that share rare shingles, for the classes outside
+    rare = _rare_shingles(texts.join(left.select("rep").distinct(), texts["doc_id"] == F.col("rep"), "left_semi"))
+    count = rare.groupBy(F.col("rep").alias("id")).agg(F.count(F.lit(1)).alias("rare"))
+    sizes = written(sizes.join(count, sizes["rep"] == count["id"], "left").withColumn(
+        "bound", F.when(F.col("bound") > F.col("n"), F.col("bound")).otherwise(F.col("bound") - F.coalesce("rare", F.lit(0))))
+        .drop("id", "rare"), "nd-sizes")
+    outside = left.filter("outside").select("rep").distinct()
+    pairs = written(_without(_rare_pairs(rare, outside, sizes), tested), "nd-pairs")
+    links = written(links.union(_confirm(pairs, texts, percent)), "nd-links")
+    tested = written(tested.union(pairs), "nd-tested")
+
+    # pairs whose frequent shingles alone could be enough
+    members, used = _members(sizes), hubs.select("key", "hub")
+    budget = AT_ONCE * (hubs.agg(F.sum("size")).first()[0] or 0)
     while True:
         left = written(_open_members(members, components(links)), "nd-left")
-        outside = left.filter("label <> main")
+        outside = left.filter("outside")
         at_once = (outside.agg(F.sum("size")).first()[0] or 0) <= budget
         if at_once:
             more = _cross_pairs(left)
@@ -211,14 +295,18 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             hubs = written(_hubs(fresh), "nd-hubs")
             more = _hub_pairs(left, hubs)
             used = written(used.union(hubs.select("key", "hub")), "nd-used")
-        both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = written(more.join(both, ["a", "b"], "left_anti"), "nd-pairs")
+        pairs = written(_without(more, tested), "nd-pairs")
         links = written(links.union(_confirm(pairs, texts, percent)), "nd-links")
         if at_once:
             return links
         tested = written(tested.union(pairs), "nd-tested")
 
 
+def _without(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.join(both, ["a", "b"], "left_anti")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """Pipeline form: one document of each group, with its own columns; rows
     without doc_id stay. The kept ids are unique, so repeated rows of one
