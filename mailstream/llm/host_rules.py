@@ -26,8 +26,9 @@ SYMBOLS = "#*$%&|<>"
 
 #: A host is rejected when the shrunk failure rate of a rule reaches this.
 HOST_LIMIT = 0.5
-#: Prior strength (pseudo documents) when the hosts do not differ at all.
-MAX_STRENGTH = 1e6
+#: Prior strength (pseudo documents): at least, so that no host is judged on a
+#: few documents, and when the hosts do not differ at all.
+MIN_STRENGTH, MAX_STRENGTH = 10.0, 1e6
 
 RULES = ["base", "symbols", "dup_lines", "long_words"]
 
@@ -118,7 +119,7 @@ def beta_prior(mean: float, spread: float, n: float, nn: float, k: int) -> tuple
     var = (spread - mean * (1 - mean) * (k - 1)) / (n - nn / n) if k > 1 else 0.0
     strength = MAX_STRENGTH
     if var > 0:
-        strength = min(MAX_STRENGTH, max(1e-3, mean * (1 - mean) / var - 1))
+        strength = min(MAX_STRENGTH, max(MIN_STRENGTH, mean * (1 - mean) / var - 1))
     return mean * strength, (1 - mean) * strength
 
 

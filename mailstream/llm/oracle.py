@@ -19,7 +19,7 @@ def _op8() -> str:
     spread = ", ".join(f"sum(n * (f_{r} / n - m_{r}) ** 2) AS s_{r}" for r in _OP8_RULES)
     var = ", ".join(f"CASE WHEN k > 1 THEN (s_{r} - m_{r} * (1 - m_{r}) * (k - 1)) / (tn - nn / tn) ELSE 0 END AS v_{r}"
                     for r in _OP8_RULES)
-    power = ", ".join(f"CASE WHEN v_{r} > 0 THEN least(1e6, greatest(1e-3, m_{r} * (1 - m_{r}) / v_{r} - 1)) "
+    power = ", ".join(f"CASE WHEN v_{r} > 0 THEN least(1e6, greatest(10.0, m_{r} * (1 - m_{r}) / v_{r} - 1)) "
                       f"ELSE 1e6 END AS p_{r}" for r in _OP8_RULES)
     ok = " AND ".join(f"(f_{r} + m_{r} * p_{r}) / (n + p_{r}) < 0.5" for r in _OP8_RULES)
     return rf"""

@@ -43,7 +43,7 @@ _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Identifier-like: a token of 6 or more characters that holds a digit.
 CANDIDATE = (r"(?:\G|(?<![A-Za-z0-9@._+/-]))(?=[A-Za-z@._+/-]{0,64}[0-9])"
-             r"[A-Za-z0-9+][A-Za-z0-9@._+/-]{4,62}+[A-Za-z0-9](?![A-Za-z0-9@._+/-])")
+             r"[A-Za-z0-9+][A-Za-z0-9@._+/-]{4,62}[A-Za-z0-9](?![A-Za-z0-9@._+/-])")
 
 #: A pattern is accepted with this many distinct believed instances in this
 #: many documents, and this (smoothed) share of believed weight.
@@ -119,9 +119,8 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _shape(m: Column) -> Column:
-    """Digits as 9, letters as a, runs shortened to one sign."""
-    s = F.regexp_replace(F.regexp_replace(m, "[0-9]", "9"), "[A-Za-z]", "a")
-    return F.regexp_replace(F.regexp_replace(s, "9+", "9"), "a+", "a")
+    """Coarse shape of a token: with an at sign, digits and marks, or mixed."""
+    return F.when(F.contains(m, F.lit("@")), "@").when(~m.rlike("[A-Za-z]"), "9").otherwise("a9")
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
