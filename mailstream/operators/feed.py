@@ -156,14 +156,16 @@ def pick(arr: Column, class_arr: Column, cls: str, attr: str = "_VALUE") -> Colu
 
 
 def client_spans(holder: Column) -> Column:
-    """Spans of the first ``div[@class='client']`` under ``holder``."""
-    return F.get(F.filter(holder["div"], lambda d: d["_class"] == F.lit("client")), 0)["span"]
+    """Spans of every ``div[@class='client']`` under ``holder``, in order."""
+    hit = F.filter(holder["div"], lambda d: (d["_class"] == F.lit("client")) & d["span"].isNotNull())
+    return F.flatten(F.transform(hit, lambda d: d["span"]))
 
 
 def ul_items(entry: Column, cls: str) -> Column:
-    """``content/div/ul[@class=cls]/li`` of an entry (null when absent)."""
-    return F.get(F.filter(entry["content"]["div"]["ul"],
-                          lambda u: u["_class"] == F.lit(cls)), 0)["li"]
+    """``content/div/ul[@class=cls]/li`` of an entry, of all such lists in
+    order (null when the entry has no list at all)."""
+    hit = F.filter(entry["content"]["div"]["ul"], lambda u: (u["_class"] == F.lit(cls)) & u["li"].isNotNull())
+    return F.flatten(F.transform(hit, lambda u: u["li"]))
 
 
 def dd_for(li: Column, dl_class: str, term: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Page size and the request query-string layout.
 STEP = 1000
-DEFAULT_BASE_URL = "http://feed.example/enveloppes/v1/externe?"
+DEFAULT_BASE_URL = "http://feed.example/items/poll?"
 BEGIN = "dateDebut="
 END = "dateFin="
 START_INDEX = "startIndex="
@@ -44,7 +44,7 @@ def page_plan(probes: DataFrame, total_col: str = "total", step: int = STEP,
     lo = F.col("_block") * block_pages
     hi = F.least(F.col("_pages"), lo + block_pages) - 1
     out = staged.withColumn("_page", F.explode(F.sequence(lo, hi)))
-    return (out.withColumn("start_index", (F.col("_page") * step + 1).cast("int"))
+    return (out.withColumn("start_index", (F.col("_page") * step + 1).cast("long"))
             .withColumn("count", F.lit(step).cast("int"))
             .drop("_pages", "_block", "_page"))
 

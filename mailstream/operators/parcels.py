@@ -345,4 +345,15 @@ def parcel_json(p: DataFrame) -> Column:
             parent.append(F.coalesce(c, F.lit("")).alias(n))
     machine = F.struct(*parent, _json_struct(MACHINE_FIELDS, "machine").alias("traitement"))
     manual = F.struct(*parent, _json_struct(MANUAL_FIELDS, "manuel").alias("traitement"))
-    return F.when(F.col("kind") == F.lit(MACHINE), F.to_json(machine)).otherwise(F.to_json(manual))
+    return html_safe(F.when(F.col("kind") == F.lit(MACHINE), F.to_json(machine)).otherwise(F.to_json(manual)))
+
+
+# Characters that the outbound JSON writes as escapes. None of
+# them occurs in JSON's own signs, so the text can be rewritten as a whole.
+HTML_ESCAPES = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", "=": "\\u003d", "'": "\\u0027"}
+
+
+def html_safe(json: Column) -> Column:
+    for sign, escape in HTML_ESCAPES.items():
+        json = F.replace(json, F.lit(sign), F.lit(escape))
+    return json

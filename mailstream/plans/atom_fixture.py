@@ -103,7 +103,7 @@ def machine_li() -> Column:
         F.lit("<dt>triSanctionPartiel</dt><dd>"), _pct("l_discount"), F.lit("</dd></dl>"),
         _span("etat", status),
         _el("span", F.concat(flag, _s("l_linenumber")), "receptacle",
-            title=F.lit("0"), type=F.lit("DEFINITIF"), niveau=_s("l_linenumber"),
+            title=F.lit("0"), type=F.lit("FINAL"), niveau=_s("l_linenumber"),
             lang=F.when(flag == "N", F.lit("fr"))),
         F.lit('<div class="client">'),
         _span("receptacleReel", F.concat(F.lit("R"), _s("l_suppkey")), niveau=_pct("l_tax"),
@@ -113,9 +113,9 @@ def machine_li() -> Column:
         _span("plateformeSuivante", F.concat(F.lit("P"), _s("l_partkey"))),
         _span("valeur_adresse_prioritaire", _int_floor("l_extendedprice")),
         _span("type_adresse_prioritaire",
-              F.when(status == "F", F.lit("bdis")).otherwise(F.lit("tournee"))),
+              F.when(status == "F", F.lit("zone")).otherwise(F.lit("round"))),
         F.lit('<span class="'), cedex_cls, F.lit('">'), cedex_val, F.lit("</span>"),
-        F.lit('<span class="service">PAS DE SERVICE</span>'),
+        F.lit('<span class="service">NO &lt;SERVICE&gt; = R&amp;D</span>'),
         _span("datePublication", iso_second("l_shipdate")),
         F.lit("</li>"))
 
@@ -222,12 +222,12 @@ def entry_xml() -> Column:
         F.lit("</div></div></a:title>"))
     address = F.when(F.col("c_custkey").isNotNull(), _xml(
         F.lit('<ul class="adresses"><li>'),
-        _span("type", F.lit("OCR")), _span("code", F.col("c_name")),
+        _span("type", F.lit("SCAN")), _span("code", F.col("c_name")),
         F.lit('<div class="client">'),
         _span("codeAcheDistri", F.concat(F.col("n_name"), F.lit("-"), _s("c_nationkey"))),
         F.lit("</div>"),
         _span("idRao", _s("c_custkey")), _span("typeRao", F.col("c_mktsegment")),
-        _span("idRaoLivraison", _s("n_regionkey")), _span("typeRaoLivraison", F.lit("points")),
+        _span("idRaoLivraison", _s("n_regionkey")), _span("typeRaoLivraison", F.lit("stops")),
         F.lit("</li></ul>")))
     uls = F.when(F.size(F.col("steps")) > 0, F.concat(
         F.lit('<ul class="traitement">'), _join_steps(F.col("steps"), True), F.lit("</ul>"),

@@ -48,20 +48,17 @@ SELECT DISTINCT strftime(date_trunc('minute', ts), {ISO_S}) AS tick,
        strftime(date_trunc('minute', ts) - INTERVAL 5 MINUTE, {ISO_M}) AS "end"
 FROM events"""
 
-EDGES = "(VALUES (0), (1), (1000), (1001), (2001)) AS e(n)"
 FLAG_PROBES = f"""
 SELECT l_returnflag, l_linestatus, strftime(min(l_shipdate), {ISO_M}) AS start,
        strftime(max(l_shipdate), {ISO_M}) AS "end", count(*)::BIGINT AS total
-FROM lineitem GROUP BY 1, 2
-UNION ALL
-SELECT 'edge', CAST(n AS VARCHAR), '', '', n::BIGINT FROM {EDGES}"""
+FROM lineitem GROUP BY 1, 2"""
 
 
 def _page_plan(inclusive: bool) -> str:
     stop = "total + 1" if inclusive else "total"
     return f"""
 WITH p AS ({FLAG_PROBES})
-SELECT l_returnflag, l_linestatus, start, "end", total, CAST(si AS INTEGER) AS start_index,
+SELECT l_returnflag, l_linestatus, start, "end", total, CAST(si AS BIGINT) AS start_index,
        1000 AS count
 FROM (SELECT *, unnest(range(1, {stop}, 1000)) AS si FROM p)"""
 
@@ -130,7 +127,7 @@ mp AS (
          {PCT.format(c='l_discount')} AS triSanctionPartiel,
          l_linestatus AS t_etat,
          l_returnflag || CAST(l_linenumber AS VARCHAR) AS receptacle,
-         'DEFINITIF' AS receptacleType,
+         'FINAL' AS receptacleType,
          CAST(l_linenumber AS VARCHAR) AS receptacleNiveau,
          CASE WHEN l_returnflag = 'N' THEN 'fr' END AS receptacleLang,
          'R' || CAST(l_suppkey AS VARCHAR) AS receptacleReel,
@@ -141,8 +138,8 @@ mp AS (
          'P' || CAST(l_partkey AS VARCHAR) AS plateformeSuivante,
          {FLOOR.format(c='l_extendedprice')} AS valeurAdressePrioritaire,
          CASE WHEN l_tax >= 0.04 THEN 'oui' ELSE 'non' END AS cedex,
-         CASE WHEN l_linestatus = 'F' THEN 'bdis' ELSE 'tournee' END AS typeAdressePrioritaire,
-         'PAS DE SERVICE' AS service,
+         CASE WHEN l_linestatus = 'F' THEN 'zone' ELSE 'round' END AS typeAdressePrioritaire,
+         'NO <SERVICE> = R&D' AS service,
          st.datePublication
   FROM ent JOIN st ON o_orderkey = l_orderkey WHERE st.machine),
 hp AS (
@@ -219,14 +216,21 @@ def _step_json(order: list[str]) -> str:
     return "'{' || substr(" + " || ".join(parts) + ", 2) || '}'"
 
 
+def _html_safe(json: str) -> str:
+    """The JSON library's escapes of < > & = and '."""
+    for code in (60, 62, 38, 61, 39):
+        json = f"replace({json}, chr({code}), '\\u00{code:02x}')"
+    return json
+
+
 JSON_SELECT = f"""
 json AS (
   SELECT url, entry_pos, kind, li_pos, isie || '|' || coalesce(datePublication, 'null') AS key,
-         {PARENT_JSON} || ',\"traitement\":' || {_step_json(MACHINE_ORDER)} || '}}' AS value
+         {_html_safe(PARENT_JSON + " || ',\"traitement\":' || " + _step_json(MACHINE_ORDER) + " || '}'")} AS value
   FROM mp
   UNION ALL
   SELECT url, entry_pos, kind, li_pos, isie || '|' || coalesce(datePublication, 'null'),
-         {PARENT_JSON} || ',\"traitement\":' || {_step_json(MANUAL_ORDER)} || '}}'
+         {_html_safe(PARENT_JSON + " || ',\"traitement\":' || " + _step_json(MANUAL_ORDER) + " || '}'")}
   FROM hp)"""
 
 LAST_JSON = f"""
@@ -305,10 +309,10 @@ SELECT url, entry_pos, isie,
 FROM ent LEFT JOIN lineitem ON o_orderkey = l_orderkey
 GROUP BY url, entry_pos, isie""",
     "addresses": f"""WITH {ROUND_TRIP}
-SELECT url, entry_pos, isie, 1 AS addr_pos, 'OCR' AS originAdresse, c_name AS CodeAdresse,
+SELECT url, entry_pos, isie, 1 AS addr_pos, 'SCAN' AS originAdresse, c_name AS CodeAdresse,
        n_name || '-' || CAST(c_nationkey AS VARCHAR) AS codeAcheDistri,
        CAST(c_custkey AS VARCHAR) AS idRao, c_mktsegment AS typeRao,
-       CAST(n_regionkey AS VARCHAR) AS idRaoLivraison, 'points' AS typeRaoLivraison
+       CAST(n_regionkey AS VARCHAR) AS idRaoLivraison, 'stops' AS typeRaoLivraison
 FROM ent WHERE c_custkey IS NOT NULL""",
     "blank_to_null": f"""WITH {ROUND_TRIP}
 SELECT url, entry_pos, kind, li_pos, isie, updated, published, debutTraitement, date,

@@ -26,8 +26,6 @@ BASE_URL = paging.DEFAULT_BASE_URL
 SUBSCRIBED = "click,view,purchase"
 PARTITIONS = 8
 MISS_SUFFIX = "&retry=1"
-# Edge totals added to the data-derived probes of the page plan.
-EDGE_TOTALS = [0, 1, 1000, 1001, 2001]
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -98,14 +96,10 @@ def q_route_windows(spark, sf):
 
 def _flag_probes(spark, sf) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate")
-    probes = (li.groupBy("l_returnflag", "l_linestatus")
+    return (li.groupBy("l_returnflag", "l_linestatus")
               .agg(iso_minute(F.min("l_shipdate")).alias("start"),
                    iso_minute(F.max("l_shipdate")).alias("end"),
                    F.count(F.lit(1)).alias("total")))
-    edges = spark.createDataFrame([("edge", str(n), "", "", n) for n in EDGE_TOTALS],
-                                  "l_returnflag string, l_linestatus string, start string, "
-                                  "end string, total long")
-    return probes.unionByName(edges)
 
 
 @query
@@ -319,8 +313,14 @@ def q_stream_route(spark, sf):
 
 @query
 def q_stream_window_totals(spark, sf):
+    from mailstream.session import scratch_path
     from mailstream.streaming.jobs import run_window_totals_stream
-    return run_window_totals_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
+    landed = scratch_path(spark, "events-landed")
+    # at least eight files, in no time order, two a batch: the number of
+    # batches grows with the table, their size does not
+    events = _t(spark, sf, "events")
+    events.repartition(max(8, len(events.inputFiles()))).write.parquet(landed)
+    return run_window_totals_stream(spark, landed, files_per_batch=2)
 
 
 def queries() -> dict[str, Query]:

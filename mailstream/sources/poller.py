@@ -4,9 +4,9 @@
   fixed interval per batch: a deterministic clock for replay and tests
   (``start_ms`` sets where the clock starts);
 * ``TickSource`` - a Python streaming data source (``pyspark.sql.datasource``)
-  that emits the wall-clock minute grid since it started; each offset is a
-  minute index, so a restarted query resumes from its checkpoint without
-  skipping or repeating windows.
+  that emits the wall-clock minute grid; an offset is the absolute index of
+  an interval (epoch div length), so a restarted query resumes from its
+  checkpoint without skipping or repeating windows.
 """
 
 from __future__ import annotations
@@ -36,23 +36,22 @@ def tick_stream(spark: SparkSession, interval_ms: int = 60_000, rows_per_batch:
 class _TickReader(SimpleDataSourceStreamReader):
     def __init__(self, options):
         self.interval = int(options.get("intervalSeconds", "60"))
+        # where a query without a checkpoint starts; offsets do not depend on it
         self.origin = int(options.get("originEpochSeconds", str(int(time.time()))))
-        self.origin -= self.origin % self.interval
+
+    def _ticks(self, start: int, end: int):
+        return iter([(dt.datetime.fromtimestamp(i * self.interval, dt.UTC).replace(tzinfo=None),)
+                     for i in range(start, end)])
 
     def initialOffset(self):
-        return {"i": 0}
+        return {"i": self.origin // self.interval}
 
     def read(self, start):
-        now = int(time.time())
-        upto = (now - self.origin) // self.interval
-        i0 = start["i"]
-        rows = [(dt.datetime.fromtimestamp(self.origin + i * self.interval, dt.UTC)
-                 .replace(tzinfo=None),) for i in range(i0, max(i0, upto + 1))]
-        return iter(rows), {"i": i0 + len(rows)}
+        end = max(start["i"], int(time.time()) // self.interval + 1)
+        return self._ticks(start["i"], end), {"i": end}
 
     def readBetweenOffsets(self, start, end):
-        return iter([(dt.datetime.fromtimestamp(self.origin + i * self.interval, dt.UTC)
-                      .replace(tzinfo=None),) for i in range(start["i"], end["i"])])
+        return self._ticks(start["i"], end["i"])
 
     def commit(self, end):
         pass

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailstream.functions.time import instant_to_ntz, iso_minute, ntz_to_instant
+from mailstream.functions.time import iso_minute, minute_floor
 from mailstream.operators import messages as msg
 from mailstream.operators import windows
 from mailstream.operators import wordcount as wc
@@ -151,41 +151,35 @@ EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type
                  "value double, props string")
 
 
-def window_totals_stream(events_stream: DataFrame, watermark: str = "5 minutes") -> DataFrame:
-    """Count per 1-minute window of ``ts`` (UTC wall clock), tolerating rows
-    up to ``watermark`` late."""
-    t = events_stream.select(ntz_to_instant("ts").alias("t"))
-    agg = t.withWatermark("t", watermark).groupBy(F.window("t", "1 minute").alias("w")).count()
-    return agg.select(iso_minute(instant_to_ntz(F.col("w.start"))).alias("start"),
-                      iso_minute(instant_to_ntz(F.col("w.end"))).alias("end"),
-                      F.col("count").alias("total"))
+def batch_window_totals(events: DataFrame) -> DataFrame:
+    """Count per 1-minute window of ``ts`` (UTC wall clock) in one batch: a
+    map-side combine, no state."""
+    minute = minute_floor("ts")
+    end = F.col("m") + F.make_interval(mins=F.lit(1))
+    return (events.filter(F.col("ts").isNotNull()).groupBy(minute.alias("m")).agg(F.count(F.lit(1)).alias("total"))
+            .select(iso_minute("m").alias("start"), iso_minute(end).alias("end"), "total"))
 
 
 def run_window_totals_stream(spark: SparkSession, events_path: str,
                              files_per_batch: int | None = None) -> DataFrame:
-    """Update mode: a batch emits only the windows it changed, each with its
-    running total, and writes them to its own batch folder (replay-safe).
-    Windows older than the watermark leave the state store, so state stays
-    bounded by the watermark, not by the history. The table view is the
-    latest update per window."""
+    """Each micro-batch writes its own counts per minute to its own batch
+    folder (replay-safe); the view adds them up. Exact in any file order and
+    however the files fall into batches: no watermark, so no row is late."""
     reader = spark.readStream.schema(EVENTS_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     out = scratch_path(spark, "window-totals")
-    q = (window_totals_stream(reader.parquet(events_path)).writeStream.outputMode("update")
-         .foreachBatch(lambda batch, batch_id: write_batch(batch, out, batch_id))
+    q = (reader.parquet(events_path).writeStream
+         .foreachBatch(lambda batch, batch_id: write_batch(batch_window_totals(batch), out, batch_id))
          .option("checkpointLocation", scratch_path(spark, "window-totals-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_window_totals(spark, out)
+    return total_over_batches(spark, out)
 
 
-def latest_window_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The last update of every window across the written batches (a
-    per-minute partial aggregate)."""
-    updates = spark.read.parquet(path)
-    best = F.max_by(F.col("total"), F.col("batch_id")).alias("total")
-    return updates.groupBy("start", "end").agg(best)
+def total_over_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Sum of every window's counts over the written batches."""
+    return spark.read.parquet(path).groupBy("start", "end").agg(F.sum("total").alias("total"))
 
 
 def window_router(ticks: DataFrame, totals: DataFrame, base_url: str | None = None) -> DataFrame:
