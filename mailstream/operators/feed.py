@@ -1,6 +1,8 @@
 """Parse Atom feed pages: a header-only ``from_xml`` per page (well-formed
 check and ``totalResults``), then one ``from_xml`` per entry cut from the
-page at its entry tags.
+page at its entry tags, so parse memory is bounded by an entry. Comments,
+instructions and CDATA are resolved before the cut, and prefixes of other
+namespaces do not count. A prefix declared twice, once for Atom, counts as Atom.
 
 The schema is explicit and all-string: inference would turn a lone repeated
 child into a struct and ids into numbers. Prefixes (``a:``,
@@ -16,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailstream.functions.text import xml_escape
+
 
 def _s(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
@@ -64,11 +68,12 @@ HEADER = T.StructType([T.StructField("totalResults", T.StringType()),
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
 
-# An entry starts at ``<entry`` or ``<prefix:entry`` followed by a space,
-# ``/`` or ``>``. The prefix is read once per page from the first entry tag;
-# the split then uses that literal tag (a literal-led pattern the regex
-# engine scans with Boyer-Moore instead of trying every position).
-ENTRY_TAG = r"<([A-Za-z_][\w.\-]*:)?entry[\s/>]"
+# Fixed value: the namespace of feed entries.
+ATOM = "http://www.w3.org/2005/Atom"
+_NAME = r"[A-Za-z_][\w.\-]*"
+_DECLARED = rf"""xmlns:({_NAME})\s*=\s*["']([^"']*)["']"""
+_CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
+_HIDDEN = r"(?s)<!--.*?-->|<\?.*?\?>|(<!\[CDATA\[.*?\]\]>)"
 
 
 def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
@@ -82,45 +87,52 @@ def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
             .drop("_h"))
 
 
-def entry_tag(body) -> Column:
-    """The entry start tag used by this page, e.g. ``<a:entry``."""
-    b = F.col(body) if isinstance(body, str) else body
-    return F.concat(F.lit("<"), F.regexp_extract(b, ENTRY_TAG, 1), F.lit("entry"))
+def plain_markup(body: Column) -> Column:
+    """The page without comments and processing instructions, and with CDATA
+    sections as escaped text, so that every ``<`` left opens or closes a tag.
+    Pages without any of these are passed through."""
+    b = F.regexp_replace(body, _HIDDEN, "$1")
+    inside = F.transform(F.regexp_extract_all(b, F.lit(_CDATA), F.lit(1)), xml_escape)
+    flat = F.array_join(F.zip_with(F.split(b, _CDATA, -1), inside,
+                                   lambda out, text: F.concat(out, F.coalesce(text, F.lit("")))), "")
+    return F.when(F.contains(body, F.lit("<!")) | F.contains(body, F.lit("<?")), flat).otherwise(body)
 
 
-def entry_tails(body, tag) -> Column:
-    """Entry texts without their start tag (split on the literal tag)."""
-    b = F.col(body) if isinstance(body, str) else body
-    t = F.col(tag) if isinstance(tag, str) else tag
-    pattern = F.concat(F.lit("\\Q"), t, F.lit("\\E(?=[\\s/>])"))
-    parts = F.split(b, pattern, -1)
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+def entry_start(body: Column) -> Column:
+    """Pattern of an entry's start tag in this page: ``entry`` by local name,
+    but for prefixes the page declares for another namespace than Atom."""
+    prefixes, uris = (F.regexp_extract_all(body, F.lit(_DECLARED), F.lit(g)) for g in (1, 2))
+    declared = F.arrays_zip(prefixes.alias("p"), uris.alias("u"))
+    atom = F.transform(F.filter(declared, lambda d: d["u"] == F.lit(ATOM)), lambda d: d["p"])
+    foreign = F.transform(F.array_except(prefixes, atom), lambda p: F.concat(F.lit(r"\Q"), p, F.lit(r":\E")))
+    no_foreign = F.when(F.size(foreign) > 0, F.concat(F.lit("(?!"), F.array_join(foreign, "|"), F.lit(")")))
+    return F.concat(F.lit("<"), F.coalesce(no_foreign, F.lit("")), F.lit(rf"(?:{_NAME}:)?entry(?=[\s/>])"))
 
 
 def explode_entries(pages: DataFrame, body_col: str, keep: tuple[str, ...] | list,
                     outer: bool = False, when: Column | None = None) -> DataFrame:
     """One row per entry: ``keep..., entry_pos (1-based), fragment``.
 
-    The page's tag is computed once per page; tails are exploded and the tag
-    is put back per row. ``when`` limits splitting to some pages; with
-    ``outer`` the other pages stay as one row with null position/fragment.
+    The page is cut before each entry's start tag (the last fragment still
+    holds the page's end, which the parser does not read). ``when`` limits
+    cutting to some pages; with ``outer`` the other pages stay as one row
+    with null position/fragment.
     """
-    tails = entry_tails(body_col, "_etag")
+    parts = F.split(F.col("_b"), F.concat(F.lit("(?="), entry_start(F.col("_b")), F.lit(")")), -1)
+    cut = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     if when is not None:
-        tails = F.when(when, tails)
+        cut = F.when(when, cut)
     gen = F.posexplode_outer if outer else F.posexplode
-    return (pages.withColumn("_etag", entry_tag(body_col))
-            .select(*keep, "_etag", gen(tails).alias("_p", "_tail"))
-            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"),
-                    F.concat(F.col("_etag"), F.col("_tail")).alias("fragment")))
+    return (pages.withColumn("_b", plain_markup(F.col(body_col)))
+            .select(*keep, gen(cut).alias("_p", "fragment"))
+            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"), "fragment"))
 
 
 def entry_count(body) -> Column:
-    """Number of entries in a page: matches of the page's literal entry tag,
-    counted without cutting the page into pieces."""
-    b = F.col(body) if isinstance(body, str) else body
-    pattern = F.concat(F.lit("\\Q"), entry_tag(b), F.lit("\\E(?=[\\s/>])"))
-    return F.regexp_count(b, pattern).cast("int")
+    """Number of entries in a page: start tags counted without cutting the
+    page into pieces."""
+    b = plain_markup(F.col(body) if isinstance(body, str) else body)
+    return F.regexp_count(b, entry_start(b)).cast("int")
 
 
 def parse_entry(fragment, schema: T.StructType = ENTRY_DOC) -> Column:
@@ -132,15 +144,10 @@ def parse_entry(fragment, schema: T.StructType = ENTRY_DOC) -> Column:
 
 # -- selection helpers: XPath ``x[@class='c']`` on parsed arrays -------------
 
-def first_by_class(arr: Column, cls: str, attr: str = "_VALUE",
-                   case_insensitive: bool = False) -> Column:
+def first_by_class(arr: Column, cls: str, attr: str = "_VALUE") -> Column:
     """First element of ``arr`` whose ``_class`` is ``cls``; its ``attr``
     (null when none: ``get`` is out-of-range safe under ANSI)."""
-    if case_insensitive:
-        hit = F.filter(arr, lambda x: F.lower(x["_class"]) == F.lit(cls.lower()))
-    else:
-        hit = F.filter(arr, lambda x: x["_class"] == F.lit(cls))
-    return F.get(hit, 0)[attr]
+    return F.get(F.filter(arr, lambda x: x["_class"] == F.lit(cls)), 0)[attr]
 
 
 def classes(arr: Column, lower: bool = False) -> Column:

@@ -10,12 +10,10 @@ Mapping (fixed, mirrored by the SQL oracles):
 * one address per entry from the order's customer and nation;
 * page = ``o_orderkey div 1000``: at most 1000 entries, ordered by key.
 
-Scale: steps are grouped per (order, chunk) where an order with more
-than ``max_steps`` lineitems is split into ``ceil(n/max_steps)`` chunks by a
-hash of the step key, and chunk ``c > 0`` goes to its own page series; so no
-entry or page grows with one hot order. Counts come from a partial
-aggregate; all string building is JVM-side expressions, done after the one
-shuffle of raw rows by (page, chunk).
+One rule at every size: an order is one entry on one page, however many
+steps it has (a feed cannot cut an entry, so a page row is as large as its
+orders). All string building is JVM-side expressions, done after the one
+shuffle of raw rows by page.
 """
 
 from __future__ import annotations
@@ -28,7 +26,6 @@ from mailstream.functions.time import iso_minute, iso_second
 from mailstream.operators.paging import DEFAULT_BASE_URL, page_url
 
 PAGE_ENTRIES = 1000
-MAX_STEPS = 256
 
 # Namespaces of the feed document.
 FEED_OPEN = ('<feed xmlns="http://www.w3.org/1999/xhtml" '
@@ -136,28 +133,6 @@ def manual_li() -> Column:
         F.lit("</div></li>"))
 
 
-# A hot-order table up to this many rows (16 bytes each) is broadcast;
-# beyond it the lineitem join goes through a shuffle.
-HOT_BROADCAST_ROWS = 1_000_000
-
-
-def hot_orders(lineitem: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
-    """Orders with more than ``max_steps`` lineitems and their chunk count.
-
-    The count is a partial aggregate (a hot order is combined map-side).
-    The result is cached and its row count checked: it is broadcast only
-    under ``HOT_BROADCAST_ROWS`` rows, otherwise marked for a shuffle join.
-    """
-    counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    hot = (counts.filter(F.col("_n") > max_steps)
-           .select(F.col("l_orderkey").alias("_hk"),
-                   F.ceil(F.col("_n") / max_steps).cast("int").alias("_chunks"))
-           .persist())
-    if hot.limit(HOT_BROADCAST_ROWS + 1).count() <= HOT_BROADCAST_ROWS:
-        return F.broadcast(hot)
-    return hot.hint("merge")
-
-
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -169,33 +144,25 @@ def _page(key: str, page_entries: int) -> Column:
     return F.floor(F.col(key) / page_entries).cast("long")
 
 
-def step_rows(lineitem: DataFrame, hot: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
-    """Raw lineitem columns per step with ``(page, chunk, okey)``; the chunk
-    of a hot order comes from a hash of the step key."""
+def step_rows(lineitem: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """Raw lineitem columns per step with ``(page, okey)``."""
     li = _escaped(lineitem.select(*LI_COLS), ["l_returnflag", "l_linestatus"])
-    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*LI_ORDER), F.col("_chunks"))).cast("int")
-    return (li.join(hot, F.col("l_orderkey") == F.col("_hk"), "left")
-            .select(_page("l_orderkey", page_entries).alias("page"), chunk.alias("chunk"),
-                    F.col("l_orderkey").alias("okey"), *LI_COLS[1:]))
+    return li.select(_page("l_orderkey", page_entries).alias("page"),
+                     F.col("l_orderkey").alias("okey"), *LI_COLS[1:])
 
 
-def order_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame, hot: DataFrame,
+def order_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                page_entries: int = PAGE_ENTRIES) -> DataFrame:
-    """Order, customer and nation columns per entry with ``(page, chunk,
-    okey)``; a hot order gets one row per chunk."""
+    """Order, customer and nation columns per entry with ``(page, okey)``."""
     cust = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     o = (orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        "o_orderdate", "o_orderpriority")
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(nat, "c_nationkey", "left")
-         .join(hot, F.col("o_orderkey") == F.col("_hk"), "left"))
+         .join(nat, "c_nationkey", "left"))
     o = _escaped(o, ["o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "n_name"])
-    chunks = F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)
     return o.select(_page("o_orderkey", page_entries).alias("page"),
-                    F.explode(chunks).alias("chunk"), F.col("o_orderkey").alias("okey"),
-                    *ORDER_COLS)
+                    F.col("o_orderkey").alias("okey"), *ORDER_COLS)
 
 
 def _join_steps(steps: Column, machine: bool) -> Column:
@@ -244,57 +211,50 @@ def entry_xml() -> Column:
 
 
 def entry_rows(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
-               nation: DataFrame, max_steps: int = MAX_STEPS,
-               page_entries: int = PAGE_ENTRIES, hot: DataFrame | None = None) -> DataFrame:
-    """``(page, chunk, o_orderkey, o_orderdate, xml)`` per entry.
+               nation: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """``(page, o_orderkey, o_orderdate, xml)`` per entry.
 
     Order rows and step rows (raw columns, compact) are unioned and
-    shuffled once by ``(page, chunk)``. Grouping per entry ``(page, chunk,
-    okey)`` and, downstream, per page ``(page, chunk)`` reuse that
-    partitioning, so the rendered XML never crosses a shuffle and no join
-    sorts the steps. Steps whose order is missing are dropped (as a left
-    join from orders would).
+    shuffled once by page. Grouping per entry ``(page, okey)`` and,
+    downstream, per page reuse that partitioning, so the rendered XML never
+    crosses a shuffle and no join sorts the steps. Steps whose order is
+    missing are dropped (as a left join from orders would).
     """
-    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
     # pages are few, large rows whose consumers (XML parsing) are CPU-heavy:
     # place them by count so AQE does not merge them into fewer tasks than
     # cores; every grouping below reuses this placement
     n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = (order_rows(orders, customer, nation, hot, page_entries)
+    both = (order_rows(orders, customer, nation, page_entries)
             .withColumn("_is_step", F.lit(False))
-            .unionByName(step_rows(lineitem, hot, page_entries).withColumn("_is_step", F.lit(True)),
+            .unionByName(step_rows(lineitem, page_entries).withColumn("_is_step", F.lit(True)),
                          allowMissingColumns=True)
-            .repartition(n, "page", "chunk"))
+            .repartition(n, "page"))
     is_step = F.col("_is_step")
     machine = (F.col("l_linenumber") % 2) == 0
     step = F.when(is_step, F.struct(*[F.col(c) for c in LI_ORDER], machine.alias("machine"),
                                     F.when(machine, machine_li()).otherwise(manual_li()).alias("xml")))
     order = F.when(~is_step, F.struct(*[F.col(c) for c in ORDER_COLS]))
-    grouped = (both.groupBy("page", "chunk", "okey")
+    grouped = (both.groupBy("page", "okey")
                .agg(F.first(order, ignorenulls=True).alias("_o"),
                     F.array_sort(F.collect_list(step)).alias("steps"))
                .filter(F.col("_o").isNotNull())
-               .select("page", "chunk", "steps", "_o.*"))
-    return grouped.select("page", "chunk", "o_orderkey", "o_orderdate", entry_xml().alias("xml"))
+               .select("page", "steps", "_o.*"))
+    return grouped.select("page", "o_orderkey", "o_orderdate", entry_xml().alias("xml"))
 
 
 def _page_url(base_url: str, page_entries: int) -> Column:
-    """The URL of page ``(page, chunk)`` covering order dates ``lo..hi``."""
+    """The URL of a page covering order dates ``lo..hi``."""
     start_index = F.col("page") * page_entries + 1
-    return F.concat(page_url(iso_minute("lo"), iso_minute("hi"), start_index,
-                             F.lit(page_entries), base_url),
-                    F.when(F.col("chunk") > 0, F.concat(F.lit("&part="), _s("chunk")))
-                    .otherwise(F.lit("")))
+    return page_url(iso_minute("lo"), iso_minute("hi"), start_index, F.lit(page_entries), base_url)
 
 
 def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                  nation: DataFrame, base_url: str = DEFAULT_BASE_URL,
-                 page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS,
-                 hot: DataFrame | None = None) -> DataFrame:
-    """Feed pages ``(url, status, body, page, chunk, n_entries)``; one row
-    per page with at most ``page_entries`` entries."""
-    ent = entry_rows(orders, lineitem, customer, nation, max_steps, page_entries, hot)
-    grouped = (ent.groupBy("page", "chunk")
+                 page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """Feed pages ``(url, status, body, page, n_entries)``; one row per page
+    with at most ``page_entries`` entries."""
+    ent = entry_rows(orders, lineitem, customer, nation, page_entries)
+    grouped = (ent.groupBy("page")
                .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "xml"))).alias("es"),
                     F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
                     F.count(F.lit(1)).alias("n_entries")))
@@ -303,24 +263,17 @@ def render_pages(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                     F.array_join(F.transform(F.col("es"), lambda x: x["xml"]), ""),
                     F.lit(FEED_CLOSE))
     return grouped.select(_page_url(base_url, page_entries).alias("url"), F.lit(200).alias("status"),
-                          body.alias("body"), "page", "chunk",
+                          body.alias("body"), "page",
                           F.col("n_entries").cast("long").alias("n_entries"))
 
 
-def page_index(orders: DataFrame, lineitem: DataFrame, base_url: str = DEFAULT_BASE_URL,
-               page_entries: int = PAGE_ENTRIES, max_steps: int = MAX_STEPS,
-               hot: DataFrame | None = None) -> DataFrame:
-    """``(page, chunk, url, n_entries)`` of every rendered page, from the
-    order keys and dates alone (plus the hot-order chunk counts): the
-    request list, without rendering. A partial aggregate per page."""
-    hot = hot if hot is not None else hot_orders(lineitem, max_steps)
-    chunks = F.sequence(F.lit(0), F.coalesce(F.col("_chunks"), F.lit(1)) - 1)
-    rows = (orders.select("o_orderkey", "o_orderdate")
-            .join(hot, F.col("o_orderkey") == F.col("_hk"), "left")
-            .select(_page("o_orderkey", page_entries).alias("page"), F.explode(chunks).alias("chunk"),
-                    "o_orderdate"))
-    g = (rows.groupBy("page", "chunk")
-         .agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
-              F.count(F.lit(1)).alias("n_entries")))
-    return g.select("page", "chunk", _page_url(base_url, page_entries).alias("url"),
+def page_index(orders: DataFrame, base_url: str = DEFAULT_BASE_URL,
+               page_entries: int = PAGE_ENTRIES) -> DataFrame:
+    """``(page, url, n_entries)`` of every rendered page, from the order keys
+    and dates alone: the request list, without rendering. A partial aggregate
+    per page."""
+    rows = orders.select(_page("o_orderkey", page_entries).alias("page"), "o_orderdate")
+    g = rows.groupBy("page").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"),
+                                 F.count(F.lit(1)).alias("n_entries"))
+    return g.select("page", _page_url(base_url, page_entries).alias("url"),
                     F.col("n_entries").cast("long").alias("n_entries"))

@@ -238,17 +238,22 @@ SELECT j.url, j.key, j.value FROM json j
 JOIN lastp l ON j.url = l.url AND j.key = l.key AND j.entry_pos = l.entry_pos
              AND j.kind = l.kind AND j.li_pos = l.li_pos"""
 
+DEAD_URLS = """
+(SELECT url || '&retry=1' AS url, 'http_404' AS reason FROM pu
+ UNION ALL SELECT url || '&retry=2', 'http_503' FROM pu
+ UNION ALL SELECT url || '&retry=3', 'parse_error' FROM pu)"""
+
 ROUTE_PAGES = f"""
 WITH {ROUND_TRIP}, {JSON_SELECT}, lj AS ({LAST_JSON})
 SELECT 'JsonTopic' AS topic, key, value, CAST(NULL AS VARCHAR) AS reason FROM lj
 UNION ALL
-SELECT 'catchingTopicUrls', url || '&retry=1', url || '&retry=1', 'http_404' FROM pu"""
+SELECT 'catchingTopicUrls', url, url, reason FROM {DEAD_URLS}"""
 
 EGRESS = f"""
 WITH {ROUND_TRIP}, {JSON_SELECT}, lj AS ({LAST_JSON}),
 m AS (SELECT 'JsonTopic' AS topic, key, value FROM lj
       UNION ALL
-      SELECT 'catchingTopicUrls', url || '&retry=1', url || '&retry=1' FROM pu)
+      SELECT 'catchingTopicUrls', url, url FROM {DEAD_URLS})
 SELECT topic, key, value,
        {_partition("CASE WHEN key = '' THEN value ELSE key END")} AS partition
 FROM m"""
@@ -321,7 +326,7 @@ SELECT url, entry_pos, kind, li_pos, isie, updated, published, debutTraitement,
     "route_pages": ROUTE_PAGES,
     "egress_messages": EGRESS,
     "replay_dead_letters": f"""WITH {ROUND_TRIP}
-SELECT 'urls' AS topic, '' AS key, url || '&retry=1' AS value, 'http_404' AS retry_reason FROM pu""",
+SELECT 'urls' AS topic, '' AS key, url AS value, reason AS retry_reason FROM {DEAD_URLS}""",
     "map_explode": f"WITH {ROUND_TRIP}, {JSON_SELECT} {LAST_JSON}",
     "partition_assign": f"""
 SELECT c_custkey, c_name AS key, CAST({_java_hash('c_name')} AS INTEGER) AS hash,

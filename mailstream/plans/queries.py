@@ -17,7 +17,7 @@ from mailstream.functions.time import iso_minute, iso_second, minute_floor
 from mailstream.operators import feed as feedops
 from mailstream.operators import messages as msg
 from mailstream.operators import paging, parcels as P, windows, wordcount as wc
-from mailstream.plans.atom_fixture import hot_orders, page_index, render_pages
+from mailstream.plans.atom_fixture import page_index, render_pages
 from mailstream.sources import lines, topics
 from mailstream.sources.fetch import fetch_lookup
 from mailstream.sources.tables import table
@@ -25,7 +25,10 @@ from mailstream.sources.tables import table
 BASE_URL = paging.DEFAULT_BASE_URL
 SUBSCRIBED = "click,view,purchase"
 PARTITIONS = 8
-MISS_SUFFIX = "&retry=1"
+# Added to a page's URL: requests without a response, with an error status,
+# and with a body that is not well-formed.
+MISS_SUFFIX, BUSY_SUFFIX, BROKEN_SUFFIX = "&retry=1", "&retry=2", "&retry=3"
+BROKEN_BODY = "<feed><entry><id>cut off"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -136,17 +139,33 @@ def q_fetch_lookup(spark, sf):
 
 # -- Atom round trip ---------------------------------------------------------
 
-def rendered_pages(spark, sf, hot: DataFrame | None = None) -> DataFrame:
+def rendered_pages(spark, sf) -> DataFrame:
     return render_pages(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"),
-                        _t(spark, sf, "customer"), _t(spark, sf, "nation"), BASE_URL, hot=hot)
+                        _t(spark, sf, "customer"), _t(spark, sf, "nation"), BASE_URL)
 
 
-def page_requests(spark, sf, hot: DataFrame | None = None) -> DataFrame:
-    """Every rendered page's URL plus one that misses per page, from the
-    orders alone (the pages are not rendered to list them)."""
-    urls = page_index(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"), BASE_URL, hot=hot)
-    return urls.select(F.explode(F.array(F.col("url"), F.concat("url", F.lit(MISS_SUFFIX))))
-                       .alias("url"))
+def _page_urls(spark, sf) -> DataFrame:
+    """Every rendered page's URL, from the orders alone (the pages are not
+    rendered to list them)."""
+    return page_index(_t(spark, sf, "orders"), BASE_URL).select("url")
+
+
+def page_requests(spark, sf) -> DataFrame:
+    """Every page's URL and, for each, three that fail in their own way."""
+    suffixes = F.array(*[F.lit(s) for s in ("", MISS_SUFFIX, BUSY_SUFFIX, BROKEN_SUFFIX)])
+    return (_page_urls(spark, sf).withColumn("_s", F.explode(suffixes))
+            .select(F.concat("url", "_s").alias("url")))
+
+
+def page_responses(spark, sf) -> DataFrame:
+    """``(url, status, body)``: the rendered pages, and for each a refused and
+    a broken response."""
+    urls = _page_urls(spark, sf)
+    busy = urls.select(F.concat("url", F.lit(BUSY_SUFFIX)).alias("url"), F.lit(503).alias("status"),
+                       F.lit("busy").alias("body"))
+    broken = urls.select(F.concat("url", F.lit(BROKEN_SUFFIX)).alias("url"), F.lit(200).alias("status"),
+                         F.lit(BROKEN_BODY).alias("body"))
+    return rendered_pages(spark, sf).select("url", "status", "body").unionByName(busy).unionByName(broken)
 
 
 def _entries(spark, sf) -> DataFrame:
@@ -159,11 +178,8 @@ def _key_entries(spark, sf) -> DataFrame:
 
 
 def fetched_round_trip(spark, sf) -> DataFrame:
-    """Requests = every rendered page URL plus one miss per page; responses
-    = the rendered pages; fetched with the lookup join."""
-    hot = hot_orders(_t(spark, sf, "lineitem"))
-    pages = rendered_pages(spark, sf, hot).select("url", "body")
-    return fetch_lookup(page_requests(spark, sf, hot), pages)
+    """All requests, fetched with the lookup join."""
+    return fetch_lookup(page_requests(spark, sf), page_responses(spark, sf), status_col="status")
 
 
 @query
@@ -255,7 +271,7 @@ def q_egress_messages(spark, sf):
 
 @query
 def q_map_explode(spark, sf):
-    kv = msg.page_messages(fetched_round_trip(spark, sf).filter(F.col("status") == 200))
+    kv = msg.page_messages(fetched_round_trip(spark, sf)).filter(F.col("topic") == msg.PARCELS_TOPIC)
     return msg.explode_result_map(msg.page_result_map(kv.select("url", "key", "value")))
 
 
@@ -307,8 +323,7 @@ def q_stream_wordcount(spark, sf):
 @query
 def q_stream_route(spark, sf):
     from mailstream.streaming.jobs import run_route_stream
-    pages = rendered_pages(spark, sf).select("url", "body")
-    return run_route_stream(spark, pages, MISS_SUFFIX).select("topic", "key", "value", "reason")
+    return run_route_stream(spark, page_responses(spark, sf), page_requests(spark, sf)).select("topic", "key", "value", "reason")
 
 
 @query

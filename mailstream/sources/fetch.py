@@ -30,21 +30,15 @@ def fetch_lookup(requests: DataFrame, responses: DataFrame, url_col: str = "url"
     and a null body.
 
     Response bodies grow with the data and are large per row, so by default
-    the join is a shuffled hash join built on the requests; pass ``small_responses=True``
-    only for a response table known to be small, to let the planner
-    broadcast it by size."""
+    the join is a shuffled hash join built on the requests (URLs only; the bodies
+    are streamed past them and never sorted). Its placement is left to the
+    planner, so AQE can split a URL that is requested very often. Pass
+    ``small_responses=True`` only for a response table known to be small, to
+    let the planner broadcast it by size."""
     resp = responses.select(F.col(url_col).alias("_rurl"), F.col(body_col).alias("body"),
                             (F.col(status_col) if status_col else F.lit(200)).cast("int").alias("_rstatus"))
     if not small_responses:
-        # Fetched bodies feed CPU-heavy parsing: place both sides by count
-        # on the URL (AQE keeps the count, so parsing is not squeezed into
-        # fewer tasks than cores); the join reuses the placement.
-        n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        resp = resp.repartition(n, "_rurl")
-        # each task hashes its requests (URLs only) and streams the bodies
-        # past them: a shuffled hash join building the outer side, so the
-        # large rows are never sorted
-        requests = requests.repartition(n, url_col).hint("shuffle_hash")
+        requests = requests.hint("shuffle_hash")
     joined = requests.join(resp, requests[url_col] == resp["_rurl"], "left")
     status = F.when(F.col("_rurl").isNull(), F.lit(miss_status)).otherwise(F.col("_rstatus"))
     return joined.withColumn("status", status.cast("int")).drop("_rurl", "_rstatus")

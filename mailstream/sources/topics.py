@@ -42,12 +42,6 @@ def kafka_sink_options(bootstrap: str, acks: str = "1") -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap, "kafka.acks": acks}
 
 
-def from_kafka_records(df: DataFrame) -> DataFrame:
-    """Connector rows (binary key/value) -> string envelope."""
-    return df.select("topic", F.col("key").cast("string").alias("key"),
-                     F.col("value").cast("string").alias("value"))
-
-
 def read_topics(spark: SparkSession, path: str, topics: str | list[str],
                 streaming: bool = False, files_per_batch: int | None = None) -> DataFrame:
     """Subscribe to ``topics`` of a file-backed topic directory; returns
@@ -65,10 +59,11 @@ def read_topics(spark: SparkSession, path: str, topics: str | list[str],
 
 
 def write_topics(msgs: DataFrame, path: str, files_per_topic: int | None = None,
-                 order_col: str | None = None) -> None:
+                 order_col: str | None = None, rows_per_file: int | None = None) -> None:
     """Append messages to a file-backed topic directory. ``seq`` keeps the
     producer's order; ``files_per_topic`` splits each topic into several
-    files (a file stream then reads them as successive batches)."""
+    files (a file stream then reads them as successive batches), each of at
+    most ``rows_per_file`` rows."""
     out = msgs
     if "partition" not in out.columns:
         out = out.withColumn("partition", F.lit(None).cast("int"))
@@ -78,7 +73,10 @@ def write_topics(msgs: DataFrame, path: str, files_per_topic: int | None = None,
     out = out.select("topic", "key", "value", "partition", "seq")
     if files_per_topic:
         out = out.repartitionByRange(files_per_topic, "topic", "seq")
-    out.write.mode("append").partitionBy("topic").parquet(path)
+    writer = out.write.mode("append").partitionBy("topic")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
 
 
 def events_as_messages(events: DataFrame) -> DataFrame:

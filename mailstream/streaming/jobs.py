@@ -14,6 +14,8 @@ Checkpoints and outputs live under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +29,20 @@ from mailstream.sources.fetch import fetch_lookup
 from mailstream.streaming.sinks import write_batch
 
 LINES_TOPIC = "lines"
-# A published topic log gets at least MIN_TOPIC_FILES files and at most
-# ROWS_PER_FILE rows per file; the replay reads it in about
-# MIN_TOPIC_FILES micro-batches whatever the volume.
-MIN_TOPIC_FILES = 4
+# Rows in a file of a published topic log, at most.
 ROWS_PER_FILE = 1_000_000
 
 
 def publish(spark: SparkSession, msgs: DataFrame, topic: str) -> tuple[str, int]:
-    """Write messages as an ordered, file-backed topic log sized by row
-    count; returns the folder and the files-per-trigger for its replay."""
+    """Write messages as an ordered, file-backed topic log; returns the
+    folder and the files-per-trigger for its replay. A file holds at most
+    ``ROWS_PER_FILE`` rows and a micro-batch a quarter as many files as the
+    session has shuffle partitions, so more messages mean more batches, not
+    larger ones."""
     path = scratch_path(spark, f"topic-{topic}")
-    rows = msgs.count()
-    files = max(MIN_TOPIC_FILES, -(-rows // ROWS_PER_FILE))
-    topics.write_topics(msgs, path, files_per_topic=files)
-    return path, max(1, -(-files // MIN_TOPIC_FILES))
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    topics.write_topics(msgs, path, files_per_topic=files, rows_per_file=ROWS_PER_FILE)
+    return path, files // 4
 
 
 def wordcount_query(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
@@ -93,7 +94,8 @@ def url_bucket(url) -> "F.Column":
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
-    """Write fetched/landed pages ``(url, body)`` partitioned by URL bucket.
+    """Write fetched/landed pages ``(url, status, body)`` partitioned by URL
+    bucket.
 
     Rows are range-partitioned by ``(bucket, url)`` first, so each task
     holds a contiguous slice and writes one or two bucket folders: about
@@ -101,7 +103,7 @@ def land_pages(pages: DataFrame, path: str) -> None:
     bucket. Slices are sized by sampling, so a large bucket spreads over
     several tasks."""
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (pages.select("url", "body").withColumn("url_bucket", url_bucket("url"))
+    (pages.select("url", "status", "body").withColumn("url_bucket", url_bucket("url"))
      .repartitionByRange(n, "url_bucket", "url")
      .write.partitionBy("url_bucket").parquet(path))
 
@@ -112,15 +114,17 @@ def lookup_landed(spark: SparkSession, landed_path: str, requests: DataFrame) ->
     partitions, then the lookup join."""
     buckets = [r[0] for r in requests.select(url_bucket("url").alias("b")).distinct().collect()]
     landed = spark.read.parquet(landed_path).filter(F.col("url_bucket").isin(buckets))
-    return fetch_lookup(requests, landed.select("url", "body"))
+    return fetch_lookup(requests, landed.select("url", "status", "body"), status_col="status")
 
 
-def route_query(stream: DataFrame, landed_path: str, out_path: str, checkpoint: str,
+def route_query(stream: DataFrame, fetch: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
                 available_now: bool = True, interval: str = "60 seconds"):
-    """Requests (``value`` = URL) -> fetch -> messages, per micro-batch."""
+    """Requests (``value`` = URL) -> ``fetch`` -> messages, per micro-batch.
+    ``fetch`` turns ``(url)`` into ``(url, status, body)``: ``fetch_live``, or
+    ``lookup_landed`` over a landed table. A URL requested several times in a
+    batch is fetched once; its messages would be the same."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        requests = batch.select(F.col("value").alias("url"))
-        fetched = lookup_landed(batch.sparkSession, landed_path, requests)
+        fetched = fetch(batch.select(F.col("value").alias("url")).distinct())
         write_batch(msg.page_messages(fetched), out_path, batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
@@ -128,21 +132,19 @@ def route_query(stream: DataFrame, landed_path: str, out_path: str, checkpoint:
     return w.start()
 
 
-def run_route_stream(spark: SparkSession, pages: DataFrame, miss_suffix: str) -> DataFrame:
-    """Land the pages as a table, publish one request per page plus one
-    that misses, route the request stream, return every message."""
+def run_route_stream(spark: SparkSession, responses: DataFrame, requests: DataFrame) -> DataFrame:
+    """Land the responses ``(url, status, body)`` as a table, publish the
+    requests, route the request stream, return every message."""
     landed_dir = scratch_path(spark, "landed-pages")
-    land_pages(pages, landed_dir)
-    landed = spark.read.parquet(landed_dir)
-    urls = landed.select("url").unionByName(
-        landed.select(F.concat("url", F.lit(miss_suffix)).alias("url")))
-    reqs = urls.select(F.lit(msg.URLS_TOPIC).alias("topic"), F.lit("").alias("key"),
+    land_pages(responses, landed_dir)
+    reqs = requests.select(F.lit(msg.URLS_TOPIC).alias("topic"), F.lit("").alias("key"),
                        F.col("url").alias("value"))
     req_dir, per_batch = publish(spark, reqs, msg.URLS_TOPIC)
     stream = topics.read_topics(spark, req_dir, msg.URLS_TOPIC, streaming=True,
                                 files_per_batch=per_batch)
     out = scratch_path(spark, "routed-batches")
-    q = route_query(stream, landed_dir, out, scratch_path(spark, "route-ckpt"))
+    q = route_query(stream, lambda urls: lookup_landed(spark, landed_dir, urls), out,
+                    scratch_path(spark, "route-ckpt"))
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 

@@ -200,6 +200,25 @@ def test_prefixes_are_matched_by_local_name(spark):
     assert got == ["P1", "P2"]
 
 
+def test_entries_are_elements_of_the_feed(spark):
+    """Comments, CDATA and instructions hold no entries; every Atom prefix
+    counts, and a foreign namespace's ``entry`` does not."""
+    one, two = entry("N1", machines=[machine()]), entry("N2", machines=[machine()])
+    ghost = entry("GHOST", machines=[machine()])
+    commented = feed(one, "<!-- " + ghost + " -->", two)
+    cdata = feed(one.replace("<a:id>", "<a:id><![CDATA[" + ghost + " & more]]>"), two)
+    told = feed(one, "<?note " + ghost + "?>", two)
+    nested = feed(one, "<!-- <![CDATA[ -->", two, "<!-- ]]> -->")
+    second = feed(one, two.replace("a:", "b:")).replace("<feed ", '<feed xmlns:b="http://www.w3.org/2005/Atom" ')
+    foreign = feed(ghost.replace("a:", "x:"), one, two).replace("<feed ", "<feed xmlns:x='urn:other' ")
+    df = pages(spark, commented, cdata, told, nested, second, foreign)
+    got = sorted((r["url"], r["entry_pos"], r["isie"]) for r in P.parcels(P.entries(df)).collect())
+    assert got == [(f"u{i}", k, f"N{k}") for i in range(6) for k in (1, 2)]
+    assert [r["n"] for r in df.select(fd.entry_count("body").alias("n")).collect()] == [2] * 6
+    out = msg.page_messages(df).collect()
+    assert len(out) == 12 and {r["topic"] for r in out} == {msg.PARCELS_TOPIC}
+
+
 def test_json_layout(spark):
     df = pages(spark, feed(entry("J", machines=[machine()])))
     v = msg.page_messages(df).first()["value"]

@@ -172,7 +172,7 @@ def test_landed_pages_file_count_is_bounded(spark, sf_small):
     import os
 
     from mailstream.plans.queries import rendered_pages
-    pages = rendered_pages(spark, sf_small).select("url", "body")
+    pages = rendered_pages(spark, sf_small).select("url", "status", "body")
     out = scratch_path(spark, "t-landed")
     jobs.land_pages(pages, out)
     files = [f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")]
