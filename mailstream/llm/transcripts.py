@@ -20,8 +20,6 @@ ignored.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,16 +147,8 @@ def decode(blocks: DataFrame, model: dict, span: int = SPAN) -> DataFrame:
     elems = seen.join(lows, "conv").withColumn("first", F.col("pos") == F.col("low"))
     levels = [written(elems.select("conv", "pos", "ord", _block_matrix(model).alias("mat")), "hmm-blocks")]
     high = levels[0].agg(F.max("pos")).first()[0] or 0
-    ship_package(blocks.sparkSession)
-
-    def fold(pdf):
-        pdf = pdf.sort_values(["pos", "ord"])
-        m = product(np.stack([np.reshape(x, (_K, _K)) for x in pdf["mat"]]))
-        return pdf.iloc[:1].assign(pos=pdf["pos"].iloc[0] // span, mat=[m.ravel().tolist()])[["conv", "pos", "mat"]]
-
     while high >= span:
-        up = levels[-1].withColumn("g", F.floor(F.col("pos") / span)).groupBy("conv", "g").applyInPandas(
-            lambda pdf: fold(pdf.drop(columns="g")), _MAT)
+        up = _each_span(levels[-1].withColumn("g", F.floor(F.col("pos") / span)), _fold, _MAT)
         levels.append(written(up.withColumn("ord", F.lit(0).cast("long")).select("conv", "pos", "ord", "mat"), "hmm-spans"))
         high //= span
     known = None
@@ -169,21 +159,55 @@ def decode(blocks: DataFrame, model: dict, span: int = SPAN) -> DataFrame:
         else:
             k = known.select("conv", F.col("pos").alias("g"), "came", F.col("state").alias("end"))
             lv = lv.join(k, ["conv", "g"])
-        known = written(lv.groupBy("conv", "g").applyInPandas(_walk, _STATES), "hmm-states")
+        known = written(_each_span(lv, _walk, _STATES), "hmm-states")
     role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), F.col("state") + 1)
     # equal blocks at one position are alike: they take the position's states in turn
     n = lambda d: d.groupBy("conv", "pos", "ord").agg(F.min("state").alias("state"))
     return (seen.join(n(known), ["conv", "pos", "ord"]).select("conv_id", "turn", role.alias("role"), "body"))
 
 
-def _walk(pdf):
+def _each_span(rows: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """``fn`` of the rows of every span (conv, g), in order. A task streams
+    through many sorted spans and holds one of them and one Arrow batch."""
+    ship_package(rows.sparkSession)
+    cols = ["conv", "g", "pos", "ord", "mat", *[c for c in ("came", "end") if c in rows.columns]]
+    names = schema.fieldNames()
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        to = to_arrow_schema(schema)
+        out = lambda found: pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in found], schema=to)
+        key, held = None, []
+        for batch in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:2] != key:
+                    found += fn(held) if held else []
+                    key, held = row[:2], []
+                held.append(row)
+            yield out(found)
+        if held:
+            yield out(fn(held))
+
+    return (rows.select(*cols).repartition("conv", "g").sortWithinPartitions("conv", "g", "pos", "ord")
+            .mapInArrow(run, schema))
+
+
+def _matrices(held: list) -> np.ndarray:
+    return np.array([r[4] for r in held]).reshape(-1, _K, _K)
+
+
+def _fold(held: list) -> list:
+    """One matrix for a span; its position is the span's number."""
+    return [(held[0][0], held[0][1], product(_matrices(held)).ravel().tolist())]
+
+
+def _walk(held: list) -> list:
     """Path inside one span; ``came`` is the state before each element."""
-    pdf = pdf.sort_values(["pos", "ord"])
-    mats = np.stack([np.reshape(x, (_K, _K)) for x in pdf["mat"]])
-    came, end = pdf["came"].iloc[0], pdf["end"].iloc[0]
-    none = lambda x: None if x is None or (isinstance(x, float) and math.isnan(x)) else int(x)
-    path = best_path(mats, none(came), none(end))
-    return pdf.assign(state=path, came=[none(came) or 0] + path[:-1])[["conv", "pos", "ord", "state", "came"]]
+    came, end = held[0][5:]
+    path = best_path(_matrices(held), came, end)
+    return [(r[0], r[2], r[3], s, c) for r, s, c in zip(held, path, [came or 0] + path[:-1])]
 
 
 def render(turns: DataFrame) -> DataFrame:
