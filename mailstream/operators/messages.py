@@ -69,8 +69,8 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
 
     One pass: each page is checked once, its entries are parsed one by one,
     and failed pages ride the same explode as a single null-entry row.
-    The per-key choice is a partial aggregate (duplicates of a page meet in
-    the map-side buffer; only survivors are shuffled).
+    The per-key choice is a sort aggregate by (url, key), as its buffer holds
+    strings; it needs no shuffle after the fetch join.
     """
     st = F.col("status")
     pages = fetched.withColumn("body", F.when(st == 200, F.col("body")))
