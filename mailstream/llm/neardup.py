@@ -24,7 +24,11 @@ Steps:
    candidates) plus the shared rare ones: pairs that share rare shingles are
    found by them, each meeting ``RARE`` classes at most; pairs that frequent
    shingles alone could link are compared in their buckets, at once where
-   that is little work, else hub by hub. Two edited copies of one original share its
+   that is little work, else hub by hub. A hub is done with its bucket. When
+   a round does not halve the work, what is left is compared too, but for
+   members out of reach of a component: the frequent shingles that a member
+   shares with all of a component together bound its overlap with each of
+   them. Two edited copies of one original share its
    text but not their edits, and go apart without a comparison, so a group of
    n copies costs about n comparisons. Nothing is capped.
 5. Components; labels go back to every row through its class.
@@ -55,6 +59,8 @@ STAR = 32
 AT_ONCE = 16
 #: A shingle that more candidates share than this counts as frequent.
 RARE = 48
+#: Components of this many open members are bounded as one.
+WIDE = 32
 
 _SIG = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
                      T.StructField("digest", T.BinaryType()), T.StructField("cols", T.ArrayType(T.LongType()))])
@@ -169,12 +175,14 @@ def _hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
             .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
 
 
-def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _open_members(members: DataFrame, labels: DataFrame, used: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component, with ``label``,
     and the bucket's most frequent label (``main``), size and smallest set.
     ``outside`` marks members of other components than the main one that some
-    member could still match."""
-    m = members.drop("label").join(labels, members["rep"] == labels["node"], "left")
+    member could still match. Hubs (``used``) were compared with their whole
+    bucket and are not among its members any more."""
+    m = members.join(used, (members["key"] == used["key"]) & (members["rep"] == used["hub"]), "left_anti").drop("label")
+    m = m.join(labels, m["rep"] == labels["node"], "left")
     m = m.select("key", "rep", "n", "bound", "score", F.coalesce("label", "rep").alias("label"))
     per = m.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
     open_ = written(per.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("top"),
@@ -185,14 +193,38 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return m.join(open_, "key").withColumn("outside", (F.col("label") != F.col("main")) & fits)
 
 
-def _cross_pairs(open_: DataFrame) -> DataFrame:
+def _near_components(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(a, bl)``: members outside and the components of their buckets that
+    they could match by frequent shingles. One of ``WIDE`` members is left out
+    when the shingles a member shares with any of them are too few; small
+    components all stay."""
+    seen = _shingle_rows(texts)
+    often = written(seen.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > RARE).select("s"), "nd-often")
+    who = written(open_.select("rep", "n", "label").distinct(), "nd-who")
+    parts = written(who.groupBy(F.col("label").alias("bl")).agg(F.min("n").alias("least"),
+                                                                (F.count(F.lit(1)) >= WIDE).alias("wide")), "nd-parts")
+    met = open_.filter("outside").select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
+    met = met.join(open_.select("key", F.col("label").alias("bl")).distinct(), "key").filter("al <> bl")
+    asked = written(met.select("a", "an", "bl").distinct().join(parts, "bl"), "nd-asked")
+    rows = written(seen.join(often, "s").join(who.select("rep", "label"), "rep"), "nd-frequent")
+    held = rows.join(parts.filter("wide"), F.col("label") == F.col("bl"), "left_semi").select("s", F.col("label").alias("bl"))
+    shared = (rows.select("s", F.col("rep").alias("a"), F.col("label").alias("al")).join(held.distinct(), "s")
+              .filter("al <> bl").groupBy("a", "bl").agg(F.count(F.lit(1)).alias("shared")))
+    one = F.coalesce("shared", F.lit(0))
+    reach = _reach(one, one, F.col("an"), F.greatest("least", F.ceil(F.col("an") * PERCENT / 100)))
+    return written(asked.join(shared, ["a", "bl"], "left").filter(~F.col("wide") | reach).select("a", "bl"), "nd-near")
+
+
+def _cross_pairs(open_: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """All pairs across components that could match: members outside the main
-    component with every member of another component."""
+    component with every member of another component (of ``near`` ones only,
+    if given)."""
     x = open_.filter("outside").select("key", F.col("rep").alias("a"), F.col("n").alias("an"),
                                        F.col("bound").alias("ac"), F.col("label").alias("al"))
     y = open_.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("bound").alias("bc"),
                      F.col("label").alias("bl"))
-    p = x.join(y, "key").filter((F.col("al") != F.col("bl")) & _reach(F.col("ac"), F.col("bc"), F.col("an"), F.col("bn")))
+    both = x.join(y, "key") if near is None else x.join(near, "a").join(y, ["key", "bl"])
+    p = both.filter((F.col("al") != F.col("bl")) & _reach(F.col("ac"), F.col("bc"), F.col("an"), F.col("bn")))
     return p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -268,10 +300,12 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     hubs = written(_hubs(members).filter("size > 1"), "nd-hubs")
     tested = written(_hub_pairs(members, hubs), "nd-pairs")
     links = written(_confirm(tested, texts, percent), "nd-links")
-    left = written(_open_members(members, components(links)), "nd-left")
+    used = hubs.select("key", "hub")
+    left = written(_open_members(members, components(links), used), "nd-left")
 
     # pairs that share rare shingles, for the classes outside
-    rare = _rare_shingles(texts.join(left.select("rep").distinct(), texts["doc_id"] == F.col("rep"), "left_semi"))
+    still = texts.join(left.select("rep").distinct(), texts["doc_id"] == F.col("rep"), "left_semi")
+    rare = _rare_shingles(still)
     count = rare.groupBy(F.col("rep").alias("id")).agg(F.count(F.lit(1)).alias("rare"))
     sizes = written(sizes.join(count, sizes["rep"] == count["id"], "left").withColumn(
         "bound", F.when(F.col("bound") > F.col("n"), F.col("bound")).otherwise(F.col("bound") - F.coalesce("rare", F.lit(0))))
@@ -282,24 +316,25 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     tested = written(tested.union(pairs), "nd-tested")
 
     # pairs whose frequent shingles alone could be enough
-    members, used = _members(sizes), hubs.select("key", "hub")
+    members, before = _members(sizes), None
     budget = AT_ONCE * (hubs.agg(F.sum("size")).first()[0] or 0)
     while True:
-        left = written(_open_members(members, components(links)), "nd-left")
+        left = written(_open_members(members, components(links), used), "nd-left")
         outside = left.filter("outside")
-        at_once = (outside.agg(F.sum("size")).first()[0] or 0) <= budget
-        if at_once:
-            more = _cross_pairs(left)
-        else:  # one more hub for each open bucket, among those that were none
-            fresh = outside.join(used, (outside["key"] == used["key"]) & (outside["rep"] == used["hub"]), "left_anti")
-            hubs = written(_hubs(fresh), "nd-hubs")
+        work = outside.agg(F.sum("size")).first()[0] or 0
+        slow = before is not None and 2 * work > before
+        last = work <= budget or slow
+        if last:
+            more = _cross_pairs(left, _near_components(left, still) if work > budget else None)
+        else:  # one more hub for each open bucket
+            hubs = written(_hubs(outside), "nd-hubs")
             more = _hub_pairs(left, hubs)
             used = written(used.union(hubs.select("key", "hub")), "nd-used")
         pairs = written(_without(more, tested), "nd-pairs")
         links = written(links.union(_confirm(pairs, texts, percent)), "nd-links")
-        if at_once:
+        if last:
             return links
-        tested = written(tested.union(pairs), "nd-tested")
+        tested, before = written(tested.union(pairs), "nd-tested"), work
 
 
 def _without(pairs: DataFrame, tested: DataFrame) -> DataFrame:

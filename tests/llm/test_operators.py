@@ -108,6 +108,39 @@ def test_near_duplicate_star_and_hub_rounds(spark, monkeypatch):
         assert {k: r["component_id"] for k, r in by_id(neardup.near_duplicates(d)).items()} == want
 
 
+@pytest.mark.parametrize("at_once", [16, 1, 0])
+def test_near_duplicate_template_with_unlinked_categories(spark, monkeypatch, at_once):
+    """A template's categories share 70 % of their text and never link: the
+    hub rounds must end, and compare few pairs across the categories."""
+    shared, texts = prose(140, 21).split(), {}
+    for c in range(4):
+        block = [f"cat{c}w{k}" for k in range(50)]
+        for i in range(24):
+            own = [f"own{c}x{i}x{k}" for k in range(10)]
+            texts[1000 * c + i] = " ".join(shared + block + own)
+    monkeypatch.setattr(neardup, "AT_ONCE", at_once)
+    monkeypatch.setattr(neardup, "RARE", 6)
+    monkeypatch.setattr(neardup, "WIDE", 8)
+    rounds, hubs, asked, confirm = [], neardup._hubs, [], neardup._confirm
+
+    def counted(m):
+        rounds.append(1)
+        assert len(rounds) < 12, "the hub rounds do not end"
+        return hubs(m)
+
+    def confirmed(pairs, *rest):
+        asked.append(pairs.count())
+        return confirm(pairs, *rest)
+    monkeypatch.setattr(neardup, "_hubs", counted)
+    monkeypatch.setattr(neardup, "_confirm", confirmed)
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want, _ = brute_components(texts)
+    assert len(set(want.values())) == 4
+    assert {k: r["component_id"] for k, r in by_id(neardup.near_duplicates(d)).items()} == want
+    if at_once == 0:
+        assert asked[-1] == 0                       # all pairs across were out of reach by components
+
+
 def test_keep_one_keeps_columns_and_null_ids(docs, rows):
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
