@@ -96,17 +96,36 @@ def _shared_collections(classes: DataFrame) -> DataFrame:
         .filter((F.size("us") > 0) & (F.size("vs") > 0)), "nd-profiles")
 
 
+def _several(sig: DataFrame) -> DataFrame:
+    """``(id, least, most, mixed)`` of the doc_ids that more than one row has;
+    ``mixed`` when their sets differ."""
+    return written(sig.filter("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id"))
+                   .agg(F.count(F.lit(1)).alias("k"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"),
+                        (F.min("digest") != F.max("digest")).alias("mixed")).filter("k > 1").drop("k"), "nd-several")
+
+
+def _candidate_texts(own: DataFrame, profiles: DataFrame, several: DataFrame) -> DataFrame:
+    """``(doc_id, text, again)``: each text of every class that shares a table,
+    once; ``again`` marks the doc_ids that more than one row has."""
+    reps = profiles.select("rep").join(several, profiles["rep"] == several["id"], "left")
+    reps = reps.select("rep", F.col("id").isNotNull().alias("again"))
+    of = lambda again: own.join(reps.filter(F.col("again") == again), own["doc_id"] == F.col("rep")) \
+        .select("doc_id", "text", "again")
+    return written(of(False).union(of(True).distinct()), "nd-texts")
+
+
 _SHINGLES = T.StructType([T.StructField("rep", T.LongType()), T.StructField("s", T.ArrayType(T.LongType()))])
 
 
 def _shingle_rows(texts: DataFrame) -> DataFrame:
-    """``(s, rep)``: every shingle of every candidate class."""
+    """``(s, rep)``: every shingle of every candidate class, once."""
     def rows(batch):
         from mailstream.llm.shingles import shingle_set
         for r in batch:
             yield {"rep": r["doc_id"], "s": shingle_set(r["text"]).view("int64").tolist()}
 
-    return map_rows(texts.select("doc_id", "text"), _SHINGLES, rows).select(F.explode("s").alias("s"), "rep")
+    of = lambda t: map_rows(t.select("doc_id", "text"), _SHINGLES, rows).select(F.explode("s").alias("s"), "rep")
+    return of(texts.filter(~F.col("again"))).union(of(texts.filter("again")).distinct())
 
 
 def _common_sizes(profiles: DataFrame, texts: DataFrame) -> DataFrame:
@@ -275,7 +294,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .agg(F.min(F.struct("doc_id", "n_shingles", "cols")).alias("m"))
              .select("digest", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), "m.cols"))
     classes = written(first, "nd-classes")
-    labels = components(_links(docs, classes, percent))
+    labels = components(_links(docs, classes, _several(sig), percent))
     named = written(classes.select("digest", "rep").join(labels, classes["rep"] == labels["node"], "left")
                     .select("digest", F.coalesce("label", "rep").alias("component_id")), "nd-named")
     # rows of one class are many when a text is copied often; classes are
@@ -287,14 +306,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, several: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between class representatives, complete for the index:
     every pair that shares a table bucket is linked, lies in one component
     already, is out of reach, or was tested."""
     profiles = _shared_collections(classes)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # the text of every class that shares a table, written once for all rounds
-    texts = written(own.join(profiles, own["doc_id"] == profiles["rep"], "left_semi"), "nd-texts")
+    texts = _candidate_texts(own, profiles, several)
+    # a doc_id with different texts has no one size: its bound stays loose
+    profiles = profiles.join(several.filter("mixed"), profiles["rep"] == F.col("id"), "left").select(
+        "rep", F.coalesce("least", "lo").alias("lo"), F.coalesce(F.col("most") + 1, "hi").alias("hi"), "score", "us", "vs")
     sizes = _common_sizes(profiles, texts)
     members = _members(sizes)
     hubs = written(_hubs(members).filter("size > 1"), "nd-hubs")

@@ -141,6 +141,25 @@ def test_near_duplicate_template_with_unlinked_categories(spark, monkeypatch, at
         assert asked[-1] == 0                       # all pairs across were out of reach by components
 
 
+def test_near_duplicate_chain_with_a_repeated_row(spark, monkeypatch):
+    """Versions in a chain, one of them repeated: its shingles count once, so
+    no bound cuts the links beside it."""
+    words = [f"v{k}" for k in range(600)]
+    texts = {i: " ".join(words[i * 16:i * 16 + 120]) for i in range(12)}     # neighbours share 100 of 132
+    assert len(set(brute_components(texts)[0].values())) == 1
+    rows = list(texts.items()) + [(i, t) for i, t in texts.items() if i % 3 == 1 for _ in range(3)]
+    rows += [(4, texts[4].upper()), (50, texts[3]), (50, prose(80, 30))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in neardup.near_duplicates(d).collect()}
+    assert all(got[i, 116] == 0 for i in texts) and got[50, 116] == 0
+    monkeypatch.setattr(neardup, "written", lambda df, name: df.cache())
+    several = neardup._several(neardup.signatures(d))
+    own = neardup._candidate_texts(d, spark.createDataFrame([(i,) for i in [*texts, 50]], "rep long"), several)
+    assert own.groupBy("doc_id", "text").count().filter("count > 1").count() == 0
+    shingle_rows = neardup._shingle_rows(own)
+    assert shingle_rows.count() == shingle_rows.distinct().count()
+
+
 def test_keep_one_keeps_columns_and_null_ids(docs, rows):
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
