@@ -143,21 +143,22 @@ def context_spans(found: DataFrame) -> DataFrame:
                    .filter(F.length(F.col("c.context")) > 0), "pii-instances")
     edges = written(rows.groupBy("pattern", "m").agg(F.max("seed").alias("seed"),
                                                      F.count_distinct("doc_id").alias("docs")), "pii-edges")
-    # only patterns that seeds support can ever be accepted
-    live = written(edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"),
-                                                F.count(F.lit(1)).alias("size"), F.sum("docs").alias("docs"))
-                   .filter((F.col("seeds") >= PATTERN_SUPPORT) & (F.col("docs") >= PATTERN_SUPPORT))
+    # smaller patterns cannot reach the support, whatever is believed
+    live = written(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"), F.sum("docs").alias("docs"))
+                   .filter((F.col("size") >= PATTERN_SUPPORT) & (F.col("docs") >= PATTERN_SUPPORT))
                    .select("pattern", "size"), "pii-patterns")
-    graph = written(edges.join(live, "pattern"), "pii-graph")
-    belief = graph.select("m", F.col("seed").cast("double").alias("score")).groupBy("m").agg(F.max("score").alias("score"))
+    graph = written(edges.join(live, "pattern").select("pattern", "m", "size"), "pii-graph")
+    seeds = written(edges.filter("seed").select("m", F.lit(1.0).alias("score")).distinct(), "pii-seeds")
+    belief = seeds
     for _ in range(ROUNDS):
+        believed = F.sum((F.col("score") >= INSTANCE_MIN).cast("int"))
         scored = (graph.join(belief, "m").groupBy("pattern")
-                  .agg((F.sum("score") / (F.first("size") + 1)).alias("conf")).filter(F.col("conf") >= PATTERN_MIN))
+                  .agg((F.sum("score") / (F.first("size") + 1)).alias("conf"), believed.alias("support"))
+                  .filter((F.col("conf") >= PATTERN_MIN) & (F.col("support") >= PATTERN_SUPPORT)).select("pattern", "conf"))
         accepted = written(scored, "pii-accepted")
-        belief = written(graph.join(accepted, "pattern", "left").groupBy("m").agg(F.greatest(
-            F.max(F.col("seed").cast("double")),
-            1 - F.exp(F.sum(F.log1p(-F.least(F.coalesce("conf", F.lit(0.0)), F.lit(0.999)))))).alias("score")),
-            "pii-belief")
+        either = graph.join(accepted, "pattern").groupBy("m").agg(
+            (1 - F.exp(F.sum(F.log1p(-F.least("conf", F.lit(0.999)))))).alias("score"))
+        belief = written(seeds.union(either).groupBy("m").agg(F.max("score").alias("score")), "pii-belief")
     new = (rows.filter("not seed").join(accepted, "pattern").join(belief.filter(F.col("score") >= INSTANCE_MIN), "m")
            .select("doc_id", "h", F.struct("s", F.lit(len(KINDS)).alias("k"), "e").alias("span")).distinct())
     return new.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("span")).alias("extra"))

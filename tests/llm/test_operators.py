@@ -283,6 +283,20 @@ def test_context_finds_what_patterns_miss(spark):
     assert got[300]["spans"] == ""
 
 
+def test_context_reaches_patterns_without_seeds(spark):
+    """Seeds -> "the node" -> unseen numbers -> "spare unit" (no base match)
+    -> further numbers."""
+    rows = [(i, f"on the node 10.0.{i // 200}.{i % 200} today") for i in range(300)]
+    rows += [(1000 + j, f"on the node 900-{1000 + j} today") for j in range(40)]
+    rows += [(2000 + j, f"a spare unit 900-{1000 + j} today") for j in range(40)]
+    rows += [(3000 + j, f"a spare unit 900-{5000 + j} today") for j in range(2)]
+    rows += [(4000 + j, f"a sold item 900-{7000 + j} today") for j in range(40)]
+    got = by_id(pii.op10_personal_data(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[1000 + j]["spans"] == "context:12:20" for j in range(40))
+    assert all(got[k]["spans"] == "context:13:21" for k in [*range(2000, 2040), 3000, 3001])
+    assert all(got[4000 + j]["spans"] == "" for j in range(40))
+
+
 def test_redact(docs):
     out = pii.redact(docs)
     assert out.columns == docs.columns
