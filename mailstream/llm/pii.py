@@ -6,7 +6,7 @@ matcher, so pieces and matches alternate and offsets are running sums.
 
 The bootstrap looks for identifiers the patterns miss. Every identifier-like
 token (it holds a digit) is an instance with its lexical context: the
-two words before it. Base matches are the seeds. A pattern (context x the
+two words before it, where an identifier starts a word and stands as its shape. Base matches are the seeds. A pattern (context x the
 token's shape) is scored by the weight of its instances that are
 believed, an instance by the noisy-or of its accepted patterns, and
 the two scores are iterated over the pattern-instance graph. Instances that accepted patterns
@@ -86,7 +86,7 @@ def _matches(text: Column, pattern: str) -> Column:
 def _located(pairs: Column) -> Column:
     """Add code point offsets to (piece, match) pairs; the last piece, after
     the last match, is left out."""
-    kind = "array<struct<s:bigint,e:bigint,m:string,before:string>>"
+    kind = "array<struct<s:bigint,e:bigint,m:string>>"
     walk = F.aggregate(
         F.filter(pairs, lambda x: x["m"].isNotNull()),
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out")),
@@ -95,7 +95,26 @@ def _located(pairs: Column) -> Column:
             F.array_append(acc["out"], F.struct(
                 (acc["at"] + F.length(x["piece"])).cast("long").alias("s"),
                 (acc["at"] + F.length(x["piece"]) + F.length(x["m"])).cast("long").alias("e"),
-                x["m"].alias("m"), x["piece"].alias("before"))).alias("out")))
+                x["m"].alias("m"))).alias("out")))
+    return walk["out"]
+
+
+def _last_words(text: Column, words: str) -> Column:
+    """The words at the end of a text, found from its reverse so that long
+    runs stay linear."""
+    return F.reverse(F.regexp_extract(F.reverse(text), rf"^\s*+({words})", 1))
+
+
+def _contexts(pairs: Column) -> Column:
+    """The two words before each match of (piece, match) pairs: ``tail`` holds
+    the last words so far, the match before as its shape."""
+    full = lambda acc, x: F.concat(acc["tail"], x["piece"])
+    walk = F.aggregate(
+        F.filter(pairs, lambda x: x["m"].isNotNull()),
+        F.struct(F.lit("").alias("tail"), F.array().cast("array<string>").alias("out")),
+        lambda acc, x: F.struct(
+            F.concat(_last_words(full(acc, x), r"\S++(?:\s++\S++)?"), F.lit(" "), _shape(x["m"])).alias("tail"),
+            F.array_append(acc["out"], F.lower(_last_words(full(acc, x), r"\S++\s++\S++"))).alias("out")))
     return walk["out"]
 
 
@@ -126,9 +145,9 @@ def _shape(m: Column) -> Column:
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``cand``: identifier-like tokens, ``array<struct<s,e,m,context>>``."""
     t = F.coalesce(F.col(text_col), F.lit(""))
-    found = F.transform(_located(_matches(t, CANDIDATE)), lambda x: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), F.lower(x["m"]).alias("m"),
-        F.lower(F.regexp_extract(F.right(x["before"], F.lit(80)), r"(\S+\s+\S+)\s*$", 1)).alias("context")))
+    pairs = _matches(t, CANDIDATE)
+    found = F.zip_with(_located(pairs), _contexts(pairs), lambda x, c: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), F.lower(x["m"]).alias("m"), c.alias("context")))
     return docs.withColumn("cand", F.when(t.rlike("[0-9]"), found))
 
 

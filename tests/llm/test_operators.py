@@ -297,6 +297,18 @@ def test_context_reaches_patterns_without_seeds(spark):
     assert all(got[4000 + j]["spans"] == "" for j in range(40))
 
 
+def test_context_is_the_two_words_before_in_the_whole_text(spark):
+    far = "x" * 100 + " " + "y" * 100
+    texts = ["Open acct AB123456 ref CD987654", "the ids A10001, B20002, C30003", "see ids A10001,B20002,C30003",
+             f"{far} AB123456", "AB123456 CD987654 EF123456", "z" * 30000 + " is AB123456"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(texts[r["doc_id"]][c["s"]:c["e"]].lower() == c["m"], c["context"]) for c in r["cand"]]
+           for r in pii.candidates(d).collect()}
+    want = [["open acct", "a9 ref"], ["the ids", "ids a9,", "a9, a9,"], ["see ids", "ids a9,", "a9, a9,"], [far],
+            ["", "", "a9 a9"], ["z" * 30000 + " is"]]
+    assert got == {i: [(True, c) for c in w] for i, w in enumerate(want)}
+
+
 def test_redact(docs):
     out = pii.redact(docs)
     assert out.columns == docs.columns
