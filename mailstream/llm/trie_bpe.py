@@ -47,8 +47,8 @@ TRIE_DOCS = 2048
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 END = "</w>"
 
-# A text of characters below this needs only lower-casing before the word
-# pattern, and the pattern's letters and numbers can be listed.
+# A text of characters below this, also when lower-cased, needs only that
+# before the word pattern, and the pattern's letters and numbers can be listed.
 _PLAIN_LIMIT = 0x250
 
 
@@ -56,6 +56,11 @@ def _listed(category: str) -> str:
     return "".join(f"\\u{c:04x}" for c in range(_PLAIN_LIMIT) if unicodedata.category(chr(c))[0] == category)
 
 
+def _plain() -> str:
+    """Characters below the limit that stay below it when lower-cased."""
+    return "".join(f"\\u{c:04x}" for c in range(_PLAIN_LIMIT) if all(ord(x) < _PLAIN_LIMIT for x in chr(c).lower()))
+
+
 def plain_words() -> re.Pattern:
     """The vocabulary's word pattern for plain texts: contractions, letter
     runs, single numbers, runs of other signs."""
@@ -182,7 +187,7 @@ class TextEncoder:
 
         self.trie = TrieEncoder(path)
         self.words = plain_words()
-        self.beyond = re.compile(f"[^\x00-{chr(_PLAIN_LIMIT - 1)}]")
+        self.beyond = re.compile(f"[^{_plain()}]")
         self.marks = re.compile("(" + "|".join(map(re.escape, self.trie.special)) + ")")
         self.library = Tokenizer.from_file(path)
         self.back = {c: b for b, c in enumerate(self.trie.letters)}

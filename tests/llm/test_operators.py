@@ -350,6 +350,17 @@ def test_bpe_matches_the_library(docs):
         assert got[i]["decoded_sha256"] == hashlib.sha256(back.encode()).hexdigest()
 
 
+def test_bpe_capitals_that_lower_case_beyond_the_listed_letters():
+    enc = trie_bpe.TextEncoder(trie_bpe.default_path())
+    capitals = [chr(c) for c in range(0x250) if any(ord(x) >= 0x250 for x in chr(c).lower())]
+    assert len(capitals) >= 23
+    texts = ["Ɗan", "ƏDƏBİYYAT", "Ɓɔ Ɖe Ɛwe"] + [f"a{c}n x{c} {c}" for c in capitals] + [chr(c) + "ab" for c in range(0x250)]
+    for t, (ids, decoded) in zip(texts, enc.encode_batch(texts)):
+        want = enc.library.encode(t, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, want)), t
+        assert decoded == enc.library.decode(want, skip_special_tokens=False), t
+
+
 def test_chunk_fingerprints(docs, rows):
     out = [r for r in chunk_prints.op3_chunk_fingerprints(docs).collect()]
     assert len(out) == len(rows)
