@@ -8,9 +8,9 @@ aggregate each, as large as the tables). Viterbi then recovers the roles, and
 each turn is rendered in one canonical form.
 
 Viterbi runs on (max, +) products: a conversation is cut into spans of
-``SPAN`` positions, each span becomes one 3 x 3 matrix, spans of spans likewise,
+``SPAN`` rows, each span becomes one 3 x 3 matrix, spans of spans likewise,
 and the best path is then handed down level by level. So no task holds more
-than one span, however long a conversation is.
+than one span, however long a conversation is and however many rows tie.
 
 Defined cases: a null text is empty; null conv_ids form one conversation; a
 null turn comes first (position 0); blocks that tie in (conv_id, turn) go by text; a repeated row is a
@@ -33,7 +33,7 @@ ROLES = ["system", "user", "assistant"]
 MARKERS = {"system": ["System:", "### System", "[SYS]"], "user": ["User:", "Human:", "### Instruction", "[Q]"],
            "assistant": ["Assistant:", "AI:", "### Response", "[A]"]}
 
-#: Positions in one span.
+#: Rows in one span.
 SPAN = 512
 LENGTHS, LINES = 10, 6
 _FEATURES = {"marker": len(ROLES) + 1, "length": LENGTHS, "asks": 2, "lines": LINES}
@@ -142,10 +142,11 @@ def decode(blocks: DataFrame, model: dict, span: int = SPAN) -> DataFrame:
     seen = observe(blocks)
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
     seen = seen.withColumn("conv", conv).withColumn("pos", F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long")) + 1)
-    seen = seen.withColumn("ord", F.xxhash64("block"))
-    lows = seen.groupBy("conv").agg(F.min("pos").alias("low"))
-    elems = seen.join(lows, "conv").withColumn("first", F.col("pos") == F.col("low"))
-    levels = [written(elems.select("conv", "pos", "ord", _block_matrix(model).alias("mat")), "hmm-blocks")]
+    seen = _ranked(seen.withColumn("ord", F.xxhash64("block")))
+    lows = seen.groupBy("conv").agg(F.min("rank").alias("low"))
+    elems = seen.drop("pos", "block", "body").join(lows, "conv").withColumn("pos", F.col("rank") - F.col("low"))
+    elems = elems.withColumn("first", F.col("pos") == 0)
+    levels = [written(elems.select("conv", "pos", F.col("rank").alias("ord"), _block_matrix(model).alias("mat")), "hmm-blocks")]
     high = levels[0].agg(F.max("pos")).first()[0] or 0
     while high >= span:
         up = _each_span(levels[-1].withColumn("g", F.floor(F.col("pos") / span)), _fold, _MAT)
@@ -161,9 +162,26 @@ def decode(blocks: DataFrame, model: dict, span: int = SPAN) -> DataFrame:
             lv = lv.join(k, ["conv", "g"])
         known = written(_each_span(lv, _walk, _STATES), "hmm-states")
     role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), F.col("state") + 1)
-    # equal blocks at one position are alike: they take the position's states in turn
-    n = lambda d: d.groupBy("conv", "pos", "ord").agg(F.min("state").alias("state"))
-    return (seen.join(n(known), ["conv", "pos", "ord"]).select("conv_id", "turn", role.alias("role"), "body"))
+    states = known.select(F.col("ord").alias("rank"), "state")
+    return seen.join(states, "rank").select("conv_id", "turn", role.alias("role"), "body")
+
+
+def _ranked(seen: DataFrame) -> DataFrame:
+    """Add ``rank``: a row's number in the order (conv, pos, ord), without gaps.
+    Rows are range-sorted, equal ones apart by where they were read, and each
+    partition's numbers start after the rows of those before it."""
+    keys = ["conv", "pos", "ord", "_tie"]
+    rows = seen.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the upper bits hold the partition, the lower 33 the row in it
+    rows = written(rows.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "hmm-ordered")
+    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_row", F.col("_at") - F.shiftleft("_part", 33))
+    starts, at = [], 0
+    for part, n in sorted(tuple(r) for r in rows.groupBy("_part").agg(F.count(F.lit(1))).collect()):
+        starts.append((part, at))
+        at += n
+    starts = rows.sparkSession.createDataFrame(starts, "_part long, _start long")
+    return (rows.join(F.broadcast(starts), "_part").withColumn("rank", F.col("_start") + F.col("_row"))
+            .drop("_at", "_part", "_row", "_start"))
 
 
 def _each_span(rows: DataFrame, fn, schema: T.StructType) -> DataFrame:

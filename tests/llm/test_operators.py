@@ -429,6 +429,29 @@ def test_transcript_roles(spark):
     assert transcripts.decode(transcripts.raw_transcript(odd), model).count() >= 4
 
 
+def test_transcript_spans_hold_few_rows_whatever_ties(spark, monkeypatch):
+    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    model = transcripts.train(conv)
+    rows = [(None, None, "Human: hi?")] * 30 + [(None, 4, f"so {i}") for i in range(30)] + [(1, 0, "[A] x")] * 9
+    blocks = spark.createDataFrame(rows, "conv_id long, turn int, block string").repartition(3)
+    whole = transcripts.decode(blocks, model)
+    fold, walk = transcripts._fold, transcripts._walk
+
+    def small(fn):
+        def of(held):
+            assert len(held) <= 4, len(held)
+            return fn(held)
+        return of
+    expected = sorted(map(str, whole.select("conv_id", "turn", "body").collect()))
+    roles = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(transcripts, "_fold", small(fold))
+    monkeypatch.setattr(transcripts, "_walk", small(walk))
+    got = transcripts.decode(blocks, model, span=4)
+    assert got.count() == len(rows)
+    assert sorted(map(str, got.select("conv_id", "turn", "body").collect())) == expected
+    assert sorted(map(str, got.collect())) == roles
+
+
 def test_empty_tables(spark, empty):
     for op in (pivotal.op2_mixed_sources, chunk_prints.op3_chunk_fingerprints, neardup.op4_near_duplicates, trie_bpe.op6_bpe,
                host_rules.op8_host_rules, blob_ledger.op9_secrets, pii.op10_personal_data, host_rules.filter_documents,
