@@ -63,3 +63,51 @@ def map_rows(df: DataFrame, schema: T.StructType,
                     yield pa.RecordBatch.from_pylist(rows, schema=out_schema)
 
     return df.mapInArrow(run, schema)
+
+
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with neutral column names, and which of them stands for a name:
+    the column of exactly that name, else the first that differs by letter
+    case only. Keeps columns whose names clash apart."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    at: dict[str, str] = {}
+    for c, n in zip(df.columns, names):
+        at.setdefault(c.lower(), n)
+    at.update(zip(df.columns, names))
+    return df.toDF(*names), at
+
+
+def only(df: DataFrame, *names: str) -> DataFrame:
+    """Just the columns ``names``, whatever else ``df`` holds."""
+    own, at = renamed(df)
+    return own.select(*[own[at[n]].alias(n) for n in names])
+
+
+def slices_of(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose ``column`` holds at most ``most_bytes``
+    together (a longer text is a run of its own)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most_bytes, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def arrow_map(df: DataFrame, schema: T.StructType, fn) -> DataFrame:
+    """``fn`` maps a task's batches to dicts of columns of ``schema``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship_package(df.sparkSession)
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in fn(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) if not isinstance(cols[f.name], pa.Array)
+                                              else cols[f.name].cast(f.type) for f in out], schema=out)
+
+    return df.mapInArrow(run, schema)

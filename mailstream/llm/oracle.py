@@ -60,5 +60,69 @@ FROM x JOIN ok ON x.source IS NOT DISTINCT FROM ok.source
 """
 
 
+# CRC-32 (the reflected polynomial 0xEDB88320) of a string's UTF-8 bytes; the
+# table of 256 values comes from the rule.
+_CRC_TABLE = """tab AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+    FROM range(256) r(i)))"""
+
+
+def _crc(x: str) -> str:
+    byte = f"list_transform(range(0, strlen({x})), lambda i: CAST('0x' || substr(hex(encode({x})), 2 * i + 1, 2) AS BIGINT))"
+    return (f"xor(list_reduce({byte}, lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1]), CAST(4294967295 AS BIGINT)), "
+            f"4294967295)")
+
+
+_OP11 = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+f AS (SELECT rid, unnest(w) AS w FROM d),
+e AS (SELECT unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+k AS (SELECT w, {_crc('w')} % 10000 AS b FROM (SELECT w FROM f UNION SELECT w FROM e), tab),
+s AS (SELECT b, count(*) AS s FROM f JOIN k USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM e JOIN k USING (w) GROUP BY b),
+g AS (SELECT s.b, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM f) + 10000)
+        / ((s + 1.0::DOUBLE) * ((SELECT count(*) FROM e) + 10000)))) AS gain FROM s LEFT JOIN t ON s.b = t.b),
+p AS (SELECT rid, count(*) AS n, floor(sum(gain) / count(*)) AS weight FROM f JOIN k USING (w) JOIN g USING (b) GROUP BY rid),
+x AS (SELECT doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN p USING (rid)),
+y AS (SELECT doc_id, n_features, weight,
+        weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+z AS (SELECT *, CASE WHEN n_features >= 20
+        THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM y)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) FROM y WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM z
+"""
+
+_OP13 = f"""
+WITH {_CRC_TABLE},
+own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+               ORDER BY turn NULLS FIRST, role, text) AS t
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, t, conv_id - conv_id % 100 AS base, {_crc('CAST(conv_id AS VARCHAR)')} % 6 AS h FROM own, tab),
+c AS (SELECT h.conv_id, list_concat(coalesce(b.t, [])[1:h.h], h.t[h.h + 1:]) AS t FROM h LEFT JOIN own b ON b.conv_id = h.base),
+m AS (SELECT conv_id, t[1:d] AS p, d, d = len(t) AS last FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM c)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends
+      FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+a AS (SELECT n.p, n.d, n_convs, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.p = k.p),
+u AS (SELECT p[1:e] AS p, sum(CAST(n_children = 0 AS INT)) AS n_leaves,
+             sum((n_convs - 1) * CASE WHEN d > 0 THEN length(p[d].x) ELSE 0 END) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM a) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, n.n_convs,
+       CAST(a.n_children AS BIGINT) AS n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves,
+       CAST(u.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN a ON n.p = a.p JOIN u ON n.p = u.p LEFT JOIN n o ON n.d > 0 AND o.p = n.p[1:n.d - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_host_rules": _op8()}
+    return {"op8_host_rules": _op8(), "op11_importance": _OP11, "op13_prefix_trie": _OP13}

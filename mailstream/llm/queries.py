@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mailstream.llm import (
-    blob_ledger, chunk_prints, host_rules, neardup, oracle, pii, pivotal, quality, transcripts, trie_bpe, url_filter,
+    blob_ledger, chunk_prints, host_rules, importance, kd_shards, neardup, oracle, pii, pivotal, prefix_trie, quality,
+    transcripts, trie_bpe, url_filter,
 )
 from mailstream.llm.common import table
 
@@ -28,6 +29,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_rules": _over("documents", host_rules.op8_host_rules),
         "op9_secrets": _over("documents", blob_ledger.op9_secrets),
         "op10_personal_data": _over("documents", pii.op10_personal_data),
+        "op11_importance": importance.op11_importance,
+        "op12_kd_shards": _over("documents", kd_shards.op12_shards),
+        "op13_prefix_trie": _over("conversations", prefix_trie.op13_prefix_trie),
     }
 
 
