@@ -234,17 +234,26 @@ def _near_components(open_: DataFrame, texts: DataFrame) -> DataFrame:
     return written(asked.join(shared, ["a", "bl"], "left").filter(~F.col("wide") | reach).select("a", "bl"), "nd-near")
 
 
-def _cross_pairs(open_: DataFrame, near: DataFrame | None = None) -> DataFrame:
-    """All pairs across components that could match: members outside the main
-    component with every member of another component (of ``near`` ones only,
-    if given)."""
-    x = open_.filter("outside").select("key", F.col("rep").alias("a"), F.col("n").alias("an"),
-                                       F.col("bound").alias("ac"), F.col("label").alias("al"))
-    y = open_.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("bound").alias("bc"),
-                     F.col("label").alias("bl"))
-    both = x.join(y, "key") if near is None else x.join(near, "a").join(y, ["key", "bl"])
-    p = both.filter((F.col("al") != F.col("bl")) & _reach(F.col("ac"), F.col("bc"), F.col("an"), F.col("bn")))
-    return p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _cross_pairs(open_: DataFrame, sizes: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """All pairs across components that share a table and could match: members
+    outside the main component with members of another component (of ``near``
+    ones only, if given). Members meet by the collections of one side, 16 a
+    member instead of 256 tables, and a pair is made in the smallest one that
+    it shares, so once, however many tables hold it."""
+    who = open_.groupBy("rep").agg(F.max("outside").alias("out"), F.max("label").alias("label"))
+    m = written(who.join(sizes.select("rep", "n", "bound", "us", "vs"), "rep"), "nd-across")
+    of = lambda p: [F.col("rep").alias(p), *[F.col(c).alias(p + c) for c in ("n", "bound", "label", "out", "us", "vs")],
+                    F.explode("us").alias("u")]
+    x, y = m.filter("out").select(*of("a")), m.select(*of("b"))
+    if near is not None:
+        x = x.join(near, "a")
+    once = (F.array_min(F.array_intersect("aus", "bus")) == x["u"]) & F.arrays_overlap("avs", "bvs")
+    fits = (F.col("alabel") != F.col("blabel")) & _reach(F.col("abound"), F.col("bbound"), F.col("an"), F.col("bn"))
+    if near is not None:
+        fits = (F.col("bl") == F.col("blabel")) & fits
+    met = x.join(y, (x["u"] == y["u"]) & fits & (~F.col("bout") | (F.col("a") < F.col("b")) | F.lit(near is not None)) & once)
+    p = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return p if near is None else p.distinct()
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +356,7 @@ def _links(docs: DataFrame, classes: DataFrame, several: DataFrame, percent: int
         slow = before is not None and 2 * work > before
         last = work <= budget or slow
         if last:
-            more = _cross_pairs(left, _near_components(left, still) if work > budget else None)
+            more = _cross_pairs(left, sizes, _near_components(left, still) if work > budget else None)
         else:  # one more hub for each open bucket
             hubs = written(_hubs(outside), "nd-hubs")
             more = _hub_pairs(left, hubs)
