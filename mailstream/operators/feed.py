@@ -1,15 +1,20 @@
-"""Parse Atom feed pages: a header-only ``from_xml`` per page (well-formed
-check and ``totalResults``), then one ``from_xml`` per entry cut from the
-page at its entry tags, so parse memory is bounded by an entry. Comments,
-instructions and CDATA are resolved before the cut, and prefixes of other
-namespaces do not count. A prefix declared twice, once for Atom, counts as Atom.
+"""Parse Atom feed pages with one ``from_xml`` per page: well-formedness,
+``totalResults`` and the entries come from the same parse.
+
+An entry is an ``entry`` element of the Atom namespace directly below the
+feed. Position is the parser's business: the schema lists only the feed's own
+children, so elements of that name deeper in the tree, in comments or in CDATA
+are never read. The namespace of a child of the feed depends on two tags, the
+feed's and its own, so it is settled on the few distinct entry start tags of a
+page; tags of another namespace get an attribute that the schema reads, and
+only pages that have such tags are rewritten.
 
 The schema is explicit and all-string: inference would turn a lone repeated
-child into a struct and ids into numbers. Prefixes (``a:``,
-``openSearch:``, the default XHTML namespace) are matched by local name.
-Only the fields listed here are materialised, which is the column pruning
-for XML (``KEY_ENTRY_DOC`` is the narrower schema for key-only readers).
-Unparseable pages keep their text in ``_corrupt_record``.
+child into a struct and ids into numbers. All other elements are matched by
+local name, whatever their prefix. Only the fields listed here are
+materialised, which is the column pruning for XML (``KEY_ENTRY`` is the
+narrower schema for key-only readers). Unparseable pages keep their text in
+``_corrupt_record``.
 """
 
 from __future__ import annotations
@@ -45,7 +50,6 @@ ENTRY = T.StructType([
     T.StructField("content", T.StructType([T.StructField("div", T.StructType([
         T.StructField("span", T.ArrayType(SPAN)), T.StructField("ul", T.ArrayType(UL))]))])),
 ])
-ENTRY_DOC = T.StructType(ENTRY.fields + [T.StructField("_corrupt_record", T.StringType())])
 
 # A pruned entry for consumers that read only classes and text: the title
 # spans, and per list item its spans and its divs' spans. Spark does not
@@ -55,13 +59,14 @@ _CV = T.StructType(_s("_class", "_VALUE"))
 KEY_LI = T.StructType([T.StructField("span", T.ArrayType(_CV)),
                        T.StructField("div", T.ArrayType(T.StructType(
                            _s("_class") + [T.StructField("span", T.ArrayType(_CV))])))])
-KEY_ENTRY_DOC = T.StructType([
+KEY_ENTRY = T.StructType([
     T.StructField("title", T.StructType([T.StructField("div", T.StructType([
         T.StructField("span", T.ArrayType(_CV))]))])),
     T.StructField("content", T.StructType([T.StructField("div", T.StructType([
         T.StructField("ul", T.ArrayType(T.StructType(
-            _s("_class") + [T.StructField("li", T.ArrayType(KEY_LI))])))]))])),
-    T.StructField("_corrupt_record", T.StringType())])
+            _s("_class") + [T.StructField("li", T.ArrayType(KEY_LI))])))]))]))])
+# For readers that only count entries.
+COUNT_ENTRY = T.StructType(_s("id"))
 HEADER = T.StructType([T.StructField("totalResults", T.StringType()),
                        T.StructField("_corrupt_record", T.StringType())])
 
@@ -71,20 +76,43 @@ XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
 # Fixed value: the namespace of feed entries.
 ATOM = "http://www.w3.org/2005/Atom"
 _NAME = r"[A-Za-z_][\w.\-]*"
-_DECLARED = rf"""xmlns:({_NAME})\s*=\s*["']([^"']*)["']"""
+_QUOTED = r"""(?:[^<>"']|"[^"]*"|'[^']*')*"""
+_ROOT = rf"(?s)<{_NAME}(?::{_NAME})?(?=[\s/>]){_QUOTED}>"
+_DECLARED = rf"""\sxmlns(?::({_NAME}))?\s*=\s*["']([^"']*)["']"""
+_ENTRY_TAG = rf"(?s)<(?:{_NAME}:)?entry(?=[\s/>]){_QUOTED}>"
 _CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
 _HIDDEN = r"(?s)<!--.*?-->|<\?.*?\?>|(<!\[CDATA\[.*?\]\]>)"
+#: Attribute that marks an entry tag of another namespace.
+_OTHER = "other-namespace"
 
 
 def parse_header(pages: DataFrame, body_col: str = "body") -> DataFrame:
     """Add ``total_results`` (``openSearch:totalResults`` as int) and
     ``parse_ok`` (body present and well-formed). The header schema has no
     entries, so the parser checks the whole page but builds nothing big."""
-    head = F.from_xml(F.col(body_col), HEADER, XML_OPTIONS)
-    return (pages.withColumn("_h", head)
-            .withColumn("total_results", F.col("_h.totalResults").try_cast("int"))
-            .withColumn("parse_ok", F.col(body_col).isNotNull() & F.col("_h._corrupt_record").isNull())
-            .drop("_h"))
+    return parse_feed(pages, None, body_col).drop("entries")
+
+
+def parse_feed(pages: DataFrame, schema: T.StructType | None = ENTRY, body_col: str = "body") -> DataFrame:
+    """Add ``total_results``, ``parse_ok`` and ``entries``, the page's Atom
+    entries in order as an array of ``schema`` (null for a page that is not
+    well-formed; without a schema always null)."""
+    if schema is None:
+        read = pages.withColumn("_f", F.from_xml(F.col(body_col), HEADER, XML_OPTIONS))
+        found = F.lit(None)
+    else:
+        entry = T.StructType([*schema.fields, *_s(f"_{_OTHER}")])
+        doc = T.StructType([HEADER["totalResults"], T.StructField("entry", T.ArrayType(entry)), HEADER["_corrupt_record"]])
+        plain = pages.withColumn("_plain", plain_markup(F.col(body_col)))
+        others = plain.withColumn("_others", foreign_entry_tags(F.col("_plain")))
+        text = F.when(F.size("_others") > 0, _marked(F.col("_plain"), F.col("_others"))).otherwise(F.col(body_col))
+        read = others.withColumn("_f", F.from_xml(text, doc, XML_OPTIONS)).drop("_plain", "_others")
+        mine = F.filter(F.col("_f.entry"), lambda e: e[f"_{_OTHER}"].isNull())
+        empty = F.array().cast(T.ArrayType(entry))
+        found = F.when(F.col(body_col).isNotNull() & F.col("_f._corrupt_record").isNull(), F.coalesce(mine, empty))
+    return (read.withColumn("total_results", F.col("_f.totalResults").try_cast("int"))
+            .withColumn("parse_ok", F.col(body_col).isNotNull() & F.col("_f._corrupt_record").isNull())
+            .withColumn("entries", found).drop("_f"))
 
 
 def plain_markup(body: Column) -> Column:
@@ -98,48 +126,50 @@ def plain_markup(body: Column) -> Column:
     return F.when(F.contains(body, F.lit("<!")) | F.contains(body, F.lit("<?")), flat).otherwise(body)
 
 
-def entry_start(body: Column) -> Column:
-    """Pattern of an entry's start tag in this page: ``entry`` by local name,
-    but for prefixes the page declares for another namespace than Atom."""
-    prefixes, uris = (F.regexp_extract_all(body, F.lit(_DECLARED), F.lit(g)) for g in (1, 2))
-    declared = F.arrays_zip(prefixes.alias("p"), uris.alias("u"))
-    atom = F.transform(F.filter(declared, lambda d: d["u"] == F.lit(ATOM)), lambda d: d["p"])
-    foreign = F.transform(F.array_except(prefixes, atom), lambda p: F.concat(F.lit(r"\Q"), p, F.lit(r":\E")))
-    no_foreign = F.when(F.size(foreign) > 0, F.concat(F.lit("(?!"), F.array_join(foreign, "|"), F.lit(")")))
-    return F.concat(F.lit("<"), F.coalesce(no_foreign, F.lit("")), F.lit(rf"(?:{_NAME}:)?entry(?=[\s/>])"))
-
-
-def explode_entries(pages: DataFrame, body_col: str, keep: tuple[str, ...] | list,
-                    outer: bool = False, when: Column | None = None) -> DataFrame:
-    """One row per entry: ``keep..., entry_pos (1-based), fragment``.
-
-    The page is cut before each entry's start tag (the last fragment still
-    holds the page's end, which the parser does not read). ``when`` limits
-    cutting to some pages; with ``outer`` the other pages stay as one row
-    with null position/fragment.
-    """
-    parts = F.split(F.col("_b"), F.concat(F.lit("(?="), entry_start(F.col("_b")), F.lit(")")), -1)
-    cut = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    if when is not None:
-        cut = F.when(when, cut)
-    gen = F.posexplode_outer if outer else F.posexplode
-    return (pages.withColumn("_b", plain_markup(F.col(body_col)))
-            .select(*keep, gen(cut).alias("_p", "fragment"))
-            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"), "fragment"))
+def _atom_prefixes(tag: Column) -> Column:
+    """Prefixes that a start tag binds to Atom (``""``: the default)."""
+    prefixes, uris = (F.regexp_extract_all(tag, F.lit(_DECLARED), F.lit(g)) for g in (1, 2))
+    bound = F.filter(F.arrays_zip(prefixes.alias("p"), uris.alias("u")), lambda d: d["u"] == F.lit(ATOM))
+    return F.transform(bound, lambda d: d["p"])
+
+
+def foreign_entry_tags(body: Column) -> Column:
+    """The page's distinct ``entry`` start tags that are not of the Atom
+    namespace: a tag's prefix counts as the tag itself declares it, else as the
+    feed does."""
+    feed = _atom_prefixes(F.regexp_extract(body, _ROOT, 0))
+
+    def is_atom(tag: Column) -> Column:
+        prefix = F.regexp_extract(tag, rf"^<(?:({_NAME}):)?entry", 1)
+        own = F.array_contains(F.regexp_extract_all(tag, F.lit(_DECLARED), F.lit(1)), prefix)
+        return F.when(own, F.array_contains(_atom_prefixes(tag), prefix)).otherwise(F.array_contains(feed, prefix))
+
+    tags = F.array_distinct(F.regexp_extract_all(body, F.lit(_ENTRY_TAG), F.lit(0)))
+    return F.filter(tags, lambda t: ~is_atom(t))
+
+
+def _marked(body: Column, tags: Column) -> Column:
+    """``body`` with an attribute added to each of the start tags ``tags``."""
+    name = rf"^(<(?:{_NAME}:)?entry)"
+    return F.aggregate(tags, body, lambda text, t: F.replace(
+        text, t, F.regexp_replace(t, F.lit(name), F.lit(f'$1 {_OTHER}="1"'))))
 
 
 def entry_count(body) -> Column:
-    """Number of entries in a page: start tags counted without cutting the
-    page into pieces."""
+    """Number of Atom entries of a page, from a parse that builds their ids
+    only (0 when the page is not well-formed)."""
     b = plain_markup(F.col(body) if isinstance(body, str) else body)
-    return F.regexp_count(b, entry_start(b)).cast("int")
+    doc = T.StructType([T.StructField("entry", T.ArrayType(T.StructType(_s("id", f"_{_OTHER}"))))])
+    found = F.from_xml(_marked(b, foreign_entry_tags(b)), doc, XML_OPTIONS)["entry"]
+    return F.coalesce(F.size(F.filter(found, lambda e: e[f"_{_OTHER}"].isNull())), F.lit(0)).cast("int")
 
 
-def parse_entry(fragment, schema: T.StructType = ENTRY_DOC) -> Column:
-    """One entry fragment -> ``schema`` struct (prefixes matched by local
-    name, so the fragment needs no namespace declarations)."""
-    f = F.col(fragment) if isinstance(fragment, str) else fragment
-    return F.from_xml(f, schema, XML_OPTIONS)
+def explode_entries(parsed: DataFrame, keep: tuple[str, ...] | list) -> DataFrame:
+    """One row per entry of parsed pages: ``keep..., entry_pos (1-based),
+    entry``. An outer explode and a filter on the position: an inner one would
+    push a size test below the parse and so parse twice."""
+    return (parsed.select(*keep, F.posexplode_outer("entries").alias("_p", "entry")).filter(F.col("_p").isNotNull())
+            .select(*keep, (F.col("_p") + 1).cast("int").alias("entry_pos"), "entry"))
 
 
 # -- selection helpers: XPath ``x[@class='c']`` on parsed arrays -------------

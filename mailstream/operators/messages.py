@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
-from mailstream.operators.feed import explode_entries, parse_entry, parse_header
+from mailstream.operators.feed import classes, parse_feed, pick
 from mailstream.operators.parcels import (
-    with_lookups, parcel_json, parcel_key, parcel_projection, step_array,
+    li_lookups, parcel_columns, parcel_json, parcel_key, step_array, step_columns, step_id,
 )
 
 # Topic names.
@@ -56,6 +56,28 @@ def route_windows(totals: DataFrame, base_url: str = paging.DEFAULT_BASE_URL,
     return main.unionByName(catch)
 
 
+def page_steps(entries: Column) -> Column:
+    """All steps of a page in document order, as ``(key, parent, _k, li)``;
+    ``parent`` holds the entry's own fields."""
+    def of(e: Column) -> Column:
+        parent = F.struct(*[c.alias(n) for n, c in parcel_columns(e).items()])
+        title = e["title"]["div"]["span"]
+        isie = pick(title, classes(title), "id")
+        return F.transform(step_array(e), lambda s: F.struct(
+            parcel_key(isie, step_id(s["_k"], s["li"])).alias("key"), parent.alias("parent"), s["_k"].alias("_k"), s["li"].alias("li")))
+
+    return F.flatten(F.transform(entries, of))
+
+
+def last_places(steps: Column) -> Column:
+    """Places (0-based, ascending) of the last step of every key of a page:
+    places sorted by key, of which those stay that another key follows."""
+    by_key = F.array_sort(F.transform(steps, lambda s, i: F.struct(s["key"].alias("key"), i.alias("i"))))
+    ends = F.zip_with(by_key, F.slice(by_key, 2, F.greatest(F.size(by_key), F.lit(1))),
+                      lambda a, b: F.when(b.isNull() | (a["key"] != b["key"]), a["i"]))
+    return F.array_sort(F.filter(ends, lambda i: i.isNotNull()))
+
+
 def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
     """Fetched pages ``(url, status, body)`` -> messages
     ``(topic, key, value, reason, url)``.
@@ -67,41 +89,29 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
       ``parse_error`` (nothing is lost silently);
     * any other status: the URL on the catch topic, reason ``http_<status>``.
 
-    One pass: each page is checked once, its entries are parsed one by one,
-    and failed pages ride the same explode as a single null-entry row.
-    The per-key choice is a sort aggregate by (url, key), as its buffer holds
-    strings; it needs no shuffle after the fetch join.
+    Narrow: a page is parsed once, the last step of each of its keys is chosen
+    inside the page's own row by sorting its keys, and only the survivors
+    become rows and JSON. A URL fetched twice gives its messages twice, as two
+    responses do. Failed pages ride the same explode as one row.
     """
     st = F.col("status")
     pages = fetched.withColumn("body", F.when(st == 200, F.col("body")))
-    checked = parse_header(pages, "body")
-    reason = (F.when(st.isNull() | (st != 200),
-                     F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
-              .when(~F.col("parse_ok"), F.lit("parse_error")))
-    frags = explode_entries(checked.withColumn("reason", reason), "body", ["url", "reason"],
-                            outer=True, when=F.col("reason").isNull())
-    ents = frags.select("url", "reason", "entry_pos", parse_entry("fragment").alias("entry"))
-    rows = (ents.select("url", "reason", "entry_pos", "entry",
-                        F.explode_outer(step_array(F.col("entry"))).alias("_s"))
+    failed = F.when(st.isNull() | (st != 200), F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
+    parsed = parse_feed(pages).withColumn("reason", failed.when(~F.col("parse_ok"), F.lit("parse_error")))
+    whole = parsed.select("url", "reason", F.when(F.col("reason").isNull(), page_steps(F.col("entries"))).alias("_steps"))
+    if dedupe:
+        whole = whole.withColumn("_last", last_places(F.col("_steps")))
+        kept = F.transform("_last", lambda i: F.get(F.col("_steps"), i))
+    else:
+        kept = F.col("_steps")
+    rows = (whole.select("url", "reason", F.explode_outer(kept).alias("_s"))
             .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull())
-            .withColumn("li", F.col("_s.li")))
-    rows = with_lookups(rows)
-    proj = parcel_projection(F.col("_s._k"), F.col("li"), F.col("entry"), lookups=True)
-    parcel = rows.select("url", "reason", "entry_pos", F.col("_s._k").alias("_k"),
-                         F.col("_s.li_pos").alias("li_pos"),
-                         *[c.alias(n) for n, c in proj.items()])
+            .select("url", "reason", "_s.key", "_s._k", "_s.li", "_s.parent.*"))
+    parcel = step_columns(rows.withColumns(li_lookups(F.col("li"))))
     ok = F.col("reason").isNull()
-    out = parcel.select(
-        "url", "reason",
-        F.when(ok, F.lit(PARCELS_TOPIC)).otherwise(F.lit(CATCH_URLS_TOPIC)).alias("topic"),
-        F.when(ok, parcel_key()).otherwise(F.col("url")).alias("key"),
-        F.when(ok, parcel_json(parcel)).otherwise(F.col("url")).alias("value"),
-        F.struct(F.coalesce("entry_pos", F.lit(0)), F.coalesce("_k", F.lit(0)),
-                 F.coalesce("li_pos", F.lit(0))).alias("_order"))
-    if dedupe:
-        best = F.max_by(F.struct("topic", "value", "reason"), F.col("_order")).alias("_w")
-        out = out.groupBy("url", "key").agg(best).select("url", "key", "_w.*")
-    return out.select("topic", "key", "value", "reason", "url")
+    return parcel.select(F.when(ok, F.lit(PARCELS_TOPIC)).otherwise(F.lit(CATCH_URLS_TOPIC)).alias("topic"),
+                         F.when(ok, F.col("key")).otherwise(F.col("url")).alias("key"),
+                         F.when(ok, parcel_json(parcel)).otherwise(F.col("url")).alias("value"), "reason", "url")
 
 
 def replay_dead_letters(msgs: DataFrame, request_topic: str = URLS_TOPIC) -> DataFrame:

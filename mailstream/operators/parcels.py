@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 
 from mailstream.functions.text import blank_to_null, java_concat
 from mailstream.operators.feed import (
-    KEY_ENTRY_DOC, LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_entry, parse_header,
-    pick, ul_items,
+    ENTRY, KEY_ENTRY, LI, classes, client_spans, dd_for, explode_entries, first_by_class, parse_feed, pick, ul_items,
 )
 
 MACHINE, MANUAL = "machine", "manuel"
@@ -41,23 +40,16 @@ BLANK_IS_NULL = {"updated", "published", "debutTraitement", "date", "datePublica
 
 
 def entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str = "body",
-            checked: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """One row per feed entry with its 1-based position in the page.
-
-    Pages that are not well-formed yield no entries (a page is all or
-    nothing). Entries are cut from the page text and parsed one by one, so
-    parse memory is bounded by an entry, not by a page.
-    """
-    ok = pages if checked else parse_header(pages, body_col)
-    frags = explode_entries(ok.filter(F.col("parse_ok")), body_col, keep)
-    return frags.select(*keep, "entry_pos",
-                        parse_entry("fragment", *([schema] if schema else [])).alias("entry"))
+            schema: T.StructType = ENTRY) -> DataFrame:
+    """One row per feed entry with its 1-based position in the page. Pages
+    that are not well-formed yield no entries (a page is all or nothing)."""
+    return explode_entries(parse_feed(pages, schema, body_col), keep)
 
 
 def key_entries(pages: DataFrame, keep: tuple[str, ...] = ("url",), body_col: str = "body") -> DataFrame:
-    """``entries`` parsed with the pruned ``KEY_ENTRY_DOC``: enough for
+    """``entries`` parsed with the pruned ``KEY_ENTRY``: enough for
     keys, step counts and addresses."""
-    return entries(pages, keep, body_col, schema=KEY_ENTRY_DOC)
+    return entries(pages, keep, body_col, schema=KEY_ENTRY)
 
 
 def entry_lookups(entry: Column) -> dict[str, Column]:
@@ -245,6 +237,23 @@ def parcel_projection(k: Column, li: Column, entry: Column,
     return out
 
 
+def step_columns(st: DataFrame) -> DataFrame:
+    """Rows with ``_k``, ``li`` and its lookup arrays get ``kind``,
+    ``machine`` and ``manuel``."""
+    mc, hc = machine_columns(F.col("li"), _lk(LI_LK)), manual_columns(F.col("li"), _lk(LI_LK))
+    return st.withColumns({
+        "kind": _kind(F.col("_k")),
+        "machine": F.when(F.col("_k") == 0, F.struct(*[c.alias(n) for n, c in mc.items()])),
+        "manuel": F.when(F.col("_k") == 1, F.struct(*[c.alias(n) for n, c in hc.items()]))})
+
+
+def step_id(k: Column, li: Column) -> Column:
+    """Publication date of a step, where its kind has it."""
+    client = client_spans(li)
+    return blank_to_null(F.when(k == 0, pick(li["span"], classes(li["span"]), "datePublication"))
+                         .otherwise(pick(client, classes(client), "datePublication")))
+
+
 def parcels(ents: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Machine steps then manual steps of every entry, one row each."""
     st = with_lookups(steps(ents, keep))
@@ -310,16 +319,35 @@ def with_keys(p: DataFrame) -> DataFrame:
     return p.withColumn("key", parcel_key())
 
 
+# Bits of a step's place in its list.
+_STEP_BITS = 32
+
+
+def packed_position(entry_pos: Column, is_manual: Column, li_pos: Column) -> Column:
+    """A step's place in its page as one long: entry, then machine before
+    manual, then the step's place in its list."""
+    kind = F.when(is_manual, F.lit(1 << _STEP_BITS)).otherwise(0)
+    return F.shiftleft(entry_pos.cast("long"), _STEP_BITS + 1) + kind + li_pos.cast("long")
+
+
 def last_per_key(keyed: DataFrame, scope: tuple[str, ...] = ("url",)) -> DataFrame:
     """Last-value-wins per key within a page (a map filled in document
     order: entries in order, machine steps before manual ones, steps in
-    order). ``max_by`` is a partial aggregate: duplicates from one page are
-    collapsed map-side, only survivors cross the shuffle."""
-    order = F.struct(F.col("entry_pos"), F.when(F.col("kind") == F.lit(MACHINE), 0).otherwise(1),
-                     F.col("li_pos"))
-    rest = [c for c in keyed.columns if c not in (*scope, "key")]
-    best = F.max_by(F.struct(*rest), order).alias("_w")
-    return keyed.groupBy(*scope, "key").agg(best).select(*scope, "key", "_w.*")
+    order). The last place is a long, so a hash aggregate finds it, combined
+    before the shuffle; other columns are fetched for the survivors only."""
+    place = packed_position(F.col("entry_pos"), F.col("kind") == F.lit(MANUAL), F.col("li_pos"))
+    last = keyed.groupBy(*scope, "key").agg(F.max(place).alias("_place"))
+    step = F.col("_place").bitwiseAND(F.lit((1 << _STEP_BITS) - 1)).cast("int")
+    kind = F.when(F.shiftright("_place", _STEP_BITS).bitwiseAND(F.lit(1)) == 1, F.lit(MANUAL)).otherwise(F.lit(MACHINE))
+    last = last.select(*scope, "key", F.shiftright("_place", _STEP_BITS + 1).cast("int").alias("entry_pos"),
+                       kind.alias("kind"), step.alias("li_pos"))
+    if set(keyed.columns) <= set(last.columns):
+        return last
+    on = [*scope, "key", "entry_pos", "kind", "li_pos"]
+    same = [keyed[c].eqNullSafe(last[c]) for c in on]
+    from functools import reduce
+    return keyed.join(last, reduce(lambda a, b: a & b, same), "left_semi").select(
+        *scope, "key", *[c for c in keyed.columns if c not in (*scope, "key")])
 
 
 def _json_struct(names: list[str], src: str) -> Column:

@@ -184,9 +184,8 @@ def fetched_round_trip(spark, sf) -> DataFrame:
 
 @query
 def q_feed_total(spark, sf):
-    parsed = feedops.parse_header(rendered_pages(spark, sf).select("url", "body"))
-    return parsed.select("url", "total_results",
-                         feedops.entry_count("body").alias("n_entries"))
+    parsed = feedops.parse_feed(rendered_pages(spark, sf).select("url", "body"), feedops.COUNT_ENTRY)
+    return parsed.select("url", "total_results", F.size("entries").alias("n_entries"))
 
 
 @query

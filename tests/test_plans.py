@@ -46,8 +46,8 @@ def test_no_large_broadcast_in_round_trip(spark, name):
     sizes = [_mib(float(v), u) for v, u in
              re.findall(r"BroadcastQueryStage \(\d+\), Statistics\(sizeInBytes=([\d.]+) (B|KiB|MiB|GiB)", plan)]
     assert all(s <= 8 for s in sizes), sizes
-    # pages are rendered from one shuffle of raw order and step rows by
-    # (page, chunk): no exchange of the rendering carries XML text
+    # pages are rendered from one shuffle of raw order and step rows by page:
+    # no exchange of the rendering carries XML text
     inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
     render = [i for i in inputs if "okey#" in i]
     assert render and any("l_partkey#" in i and "o_custkey#" in i for i in render)
@@ -67,3 +67,11 @@ def test_key_queries_parse_the_pruned_schema(spark, sf_small):
     assert entry_parses
     for p in entry_parses:
         assert "StructField(link" not in p and "StructField(abbr" not in p and "StructField(dl" not in p
+
+
+@pytest.mark.parametrize("name", ["parcels", "parcels_last", "route_pages"])
+def test_a_page_is_parsed_once_and_nothing_is_sorted_to_be_grouped(spark, sf_small, name):
+    plan = final_plan(queries()[name](spark, sf_small))
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("from_xml(") == 1
+    assert not re.search(r"\) SortAggregate", plan)
