@@ -5,6 +5,6 @@ from mailstream.functions.text import (  # noqa: F401
     parse_int, pmod_partition, printf_json, xml_escape,
 )
 from mailstream.functions.time import (  # noqa: F401
-    iso_minute, iso_second, lagged_window, minute_floor, ntz_to_instant,
+    iso_minute, iso_second, lagged_window, minute_floor, minute_start,
     instant_to_ntz,
 )

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # The feed API's date formats (UTC, minute grid).
 MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mm':00Z'"
 SECOND_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-MILLI_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 _EPOCH = _dt.datetime(1970, 1, 1)
 
@@ -34,6 +33,12 @@ def minute_floor(ts) -> Column:
     return F.window(_c(ts), "1 minute").start
 
 
+def minute_start(ts) -> Column:
+    """``minute_floor`` as a plain expression: rows without a time stay (the
+    window function filters them out)."""
+    return _c(ts) - F.make_interval(secs=F.date_part(F.lit("SECOND"), _c(ts)))
+
+
 def lagged_window(tick, lag_minutes: int = 5, length_minutes: int = 1):
     """The window a poll at ``tick`` asks for: ``[tick-lag-len, tick-lag)``
     on the minute grid. Returns ``(start, end)`` NTZ columns."""
@@ -43,14 +48,8 @@ def lagged_window(tick, lag_minutes: int = 5, length_minutes: int = 1):
     return start, end
 
 
-def ntz_to_instant(ts) -> Column:
-    """Read a UTC wall-clock ``timestamp_ntz`` as an instant (``timestamp``)
-    without consulting the session time zone; needed by ``withWatermark``."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), _c(ts))
-    return F.timestamp_micros(micros)
-
-
 def instant_to_ntz(ts) -> Column:
-    """Inverse of :func:`ntz_to_instant`."""
+    """An instant (``timestamp``) as UTC wall clock, without consulting the
+    session time zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)),
                            F.lit(_EPOCH).cast("timestamp_ntz"))

@@ -8,12 +8,14 @@ did, with the empty-key hot spot removed (see ``assign_partition``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
-from mailstream.operators.feed import classes, parse_feed, pick
+from mailstream.operators.feed import classes, parse_feed, parse_header, pick
 from mailstream.operators.parcels import (
     li_lookups, parcel_columns, parcel_json, parcel_key, step_array, step_columns, step_id,
 )
@@ -28,32 +30,54 @@ MESSAGE_COLUMNS = ["topic", "key", "value"]
 
 
 def assign_partition(msgs: DataFrame, n: int, key_col: str = "key",
-                     spread_col: str = "value") -> DataFrame:
+                     spread_col: str = "value", seq_col: str | None = None) -> DataFrame:
     """``partition = hashCode(key) mod n`` (non-negative). The URL lanes
     use an empty key, which would send every message to partition 0; an
-    empty key is therefore placed by ``spread_col`` instead."""
-    k = F.when(F.col(key_col) == F.lit(""), F.col(spread_col)).otherwise(F.col(key_col))
-    return msgs.withColumn("partition", pmod_partition(k, n))
+    empty key is therefore placed by ``spread_col`` instead. A null key goes
+    round the partitions by the message's place in its log (``seq_col``), so
+    the spread is even and a replayed batch places its rows alike; without
+    ``seq_col`` it is placed by ``spread_col`` too."""
+    key = F.col(key_col)
+    spread = pmod_partition(spread_col, n)
+    turn = F.pmod(F.col(seq_col), F.lit(n)).cast("int") if seq_col else spread
+    place = F.when(key.isNull(), turn).when(key == F.lit(""), spread).otherwise(pmod_partition(key, n))
+    return msgs.withColumn("partition", place)
 
 
 def route_windows(totals: DataFrame, base_url: str = paging.DEFAULT_BASE_URL,
                   step: int = paging.STEP, inclusive: bool = True) -> DataFrame:
-    """Window totals -> messages. A non-zero total becomes one page request
-    per ``step`` rows on the ``urls`` topic; a zero (or missing) total
-    becomes one count probe on the catch topic, with a ``reason``."""
-    t = totals.select("start", "end", F.col("total").cast("long").alias("total"))
-    live = t.filter(F.col("total") != 0)
-    plan = paging.page_urls(paging.page_plan(live, "total", step, inclusive), base_url)
-    main = plan.select(F.lit(URLS_TOPIC).alias("topic"), F.lit("").alias("key"),
-                       F.col("url").alias("value"), F.lit(None).cast("string").alias("reason"),
-                       "start", "end", "total")
-    catch = (t.filter(F.col("total").isNull() | (F.col("total") == 0))
-             .select(F.lit(CATCH_WINDOWS_TOPIC).alias("topic"), F.lit("").alias("key"),
-                     paging.probe_url(F.col("start"), F.col("end"), base_url).alias("value"),
-                     F.when(F.col("total").isNull(), F.lit("failed")).otherwise(F.lit("empty"))
-                     .alias("reason"),
-                     "start", "end", "total"))
-    return main.unionByName(catch)
+    """Window totals -> messages, in one pass. A positive total becomes one
+    page request per ``step`` rows on the ``urls`` topic; a zero total, or none
+    (null or negative), becomes one count probe on the catch topic, with a
+    ``reason``. Other columns of ``totals`` are kept."""
+    total = F.col("total").cast("long")
+    live = F.coalesce(total > 0, F.lit(False))
+    # a window without pages has one row all the same: its probe
+    plan = paging.page_plan(totals.withColumn("_n", F.when(live, total).otherwise(1 if inclusive else 2)), "_n", step, inclusive)
+    start, end = F.col("start"), F.col("end")
+    url = F.when(live, paging.page_url(start, end, F.col("start_index"), F.col("count"), base_url)).otherwise(
+        paging.probe_url(start, end, base_url))
+    return plan.select(F.when(live, F.lit(URLS_TOPIC)).otherwise(F.lit(CATCH_WINDOWS_TOPIC)).alias("topic"),
+                       F.lit("").alias("key"), url.alias("value"),
+                       F.when(~live, F.when(total == 0, F.lit("empty")).otherwise(F.lit("failed"))).alias("reason"), *totals.columns)
+
+
+def probe_windows(windows: DataFrame, fetch: Callable[[DataFrame], DataFrame],
+                  base_url: str = paging.DEFAULT_BASE_URL) -> DataFrame:
+    """The count probe of each window: ``windows(start, end)`` -> ``start, end,
+    total, cause``. ``fetch`` turns ``(url)`` into ``(url, status, body)``; the
+    total is what the fetched count page says. ``cause`` tells why there is
+    none: ``http_<status>``, ``parse_error`` or ``no_total``. A window is read
+    off its URL, so nothing is joined back."""
+    urls = windows.select(paging.probe_url(F.col("start"), F.col("end"), base_url).alias("url"))
+    page = parse_header(fetch(urls))
+    st, total = F.col("status"), F.col("total_results")
+    cause = (F.when(st.isNull() | (st != 200), F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
+             .when(~F.col("parse_ok"), F.lit("parse_error")).when(total.isNull() | (total < 0), F.lit("no_total")))
+    of = lambda name: F.regexp_extract("url", rf"[?&]{name}([^&]*)", 1)
+    return (page.withColumn("cause", cause)
+            .select(of(paging.BEGIN).alias("start"), of(paging.END).alias("end"),
+                    F.when(F.col("cause").isNull(), total).cast("long").alias("total"), "cause"))
 
 
 def page_steps(entries: Column) -> Column:

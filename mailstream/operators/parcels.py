@@ -33,8 +33,6 @@ MACHINE_FIELDS = ["debutTraitement", "idPlateforme", "idMachineTri", "entreeMach
                   "service", "datePublication"]
 MANUAL_FIELDS = ["date", "type", "etat", "idCentreVideocodage", "duree", "nomOperateur",
                  "datePublication", "status", "raisonFin", "sequenceFrappe"]
-ADDRESS_FIELDS = ["originAdresse", "CodeAdresse", "codeAcheDistri", "idRao", "typeRao",
-                  "idRaoLivraison", "typeRaoLivraison"]
 # Fields where an empty value means "absent" (null, omitted from JSON).
 BLANK_IS_NULL = {"updated", "published", "debutTraitement", "date", "datePublication"}
 
@@ -378,7 +376,8 @@ def parcel_json(p: DataFrame) -> Column:
 
 # Characters that the outbound JSON writes as escapes. None of
 # them occurs in JSON's own signs, so the text can be rewritten as a whole.
-HTML_ESCAPES = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", "=": "\\u003d", "'": "\\u0027"}
+HTML_ESCAPES = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", "=": "\\u003d", "'": "\\u0027",
+                "\u2028": "\\u2028", "\u2029": "\\u2029"}
 
 
 def html_safe(json: Column) -> Column:

@@ -76,6 +76,34 @@ SELECT 'urls' AS topic, '' AS key, {_url('start', '"end"', 'si', '1000')} AS val
 UNION ALL
 SELECT 'catchingTopic', '', {_url('start', '"end"', '1', '1')}, 'empty' FROM wt WHERE total = 0"""
 
+# Probed windows: the minutes' totals, but for the probes that fail by the
+# minute's number.
+PROBED = f"""
+WITH wt AS ({WINDOW_TOTALS}),
+n AS (SELECT *, CAST(epoch(strptime(start, '%Y-%m-%dT%H:%M:%SZ')) AS BIGINT) // 60 AS k FROM wt),
+f AS (SELECT *, CASE WHEN k % 17 = 7 THEN 'http_404' WHEN k % 11 = 3 THEN 'http_503'
+                     WHEN k % 13 = 5 THEN 'parse_error' WHEN k % 19 = 11 THEN 'no_total' END AS cause FROM n),
+pg AS (SELECT start, "end", unnest(range(1, total + 1, 1000)) AS si FROM f WHERE cause IS NULL AND total > 0)
+SELECT 'urls' AS topic, '' AS key, {_url('start', '"end"', 'si', '1000')} AS value,
+       CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS cause FROM pg
+UNION ALL
+SELECT 'catchingTopic', '', {_url('start', '"end"', '1', '1')}, CASE WHEN cause IS NULL THEN 'empty' ELSE 'failed' END, cause
+FROM f WHERE cause IS NOT NULL OR total = 0"""
+
+LATE_LANE = f"""
+WITH a AS (SELECT event_id, ts, ts + to_hours(CAST(event_id % 11 AS INTEGER)) AS came FROM events),
+s AS (SELECT min(came) AS lo, max(came) AS hi FROM a),
+b AS (SELECT event_id, ts, least(CAST(floor(date_sub('second', lo, came) * 12 / greatest(date_sub('second', lo, hi), 1)) AS INT), 11)
+             AS batch FROM a, s),
+w AS (SELECT batch, max(ts) AS latest FROM b GROUP BY batch),
+p AS (SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM w),
+l AS (SELECT event_id, date_trunc('minute', ts) AS m,
+             coalesce(date_trunc('minute', ts) + INTERVAL 1 MINUTE <= before - INTERVAL 5 MINUTE, false) AS late
+      FROM b JOIN p USING (batch))
+SELECT 'total' AS lane, strftime(m, {ISO_M}) AS start, CAST(NULL AS BIGINT) AS event_id, count(*) AS total
+FROM l WHERE NOT late GROUP BY m
+UNION ALL SELECT 'late', strftime(m, {ISO_M}), event_id, 1 FROM l WHERE late"""
+
 # -- Atom round trip prelude -------------------------------------------------
 
 PCT = "CAST(CAST(round({c} * 100) AS INTEGER) AS VARCHAR)"
@@ -351,6 +379,20 @@ SELECT word, count(*) AS count
 FROM (SELECT unnest({_split("concat_ws(' ', event_type, props)")}) AS word FROM events)
 GROUP BY word""",
     "stream_route": ROUTE_PAGES,
+    "probe_route": PROBED,
+    "stream_replay": f"""
+WITH {ROUND_TRIP}, {JSON_SELECT}, lj AS ({LAST_JSON})
+SELECT 'JsonTopic' AS topic, key, value, CAST(NULL AS VARCHAR) AS reason, 2 AS attempts FROM lj
+UNION ALL
+SELECT 'finalLane', url, url, reason, 3 FROM {DEAD_URLS} WHERE reason <> 'http_503'""",
+    "stream_probe_route": f"""
+WITH m AS ({PROBED})
+SELECT * FROM m UNION ALL SELECT 'recovery', '', value, NULL, NULL FROM m WHERE topic = 'catchingTopic'""",
+    "stream_late_lane": LATE_LANE,
+    "null_key_lane": f"""
+SELECT event_type AS topic, event_id AS seq, key, props AS value,
+       CASE WHEN key IS NULL THEN CAST(event_id % 8 AS INTEGER) ELSE {_partition('key')} END AS partition
+FROM (SELECT *, CASE WHEN event_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END AS key FROM events)""",
     "stream_window_totals": f"""
 SELECT strftime(date_trunc('minute', ts), {ISO_M}) AS start,
        strftime(date_trunc('minute', ts) + INTERVAL 1 MINUTE, {ISO_M}) AS "end",

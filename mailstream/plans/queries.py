@@ -17,6 +17,7 @@ from mailstream.functions.time import iso_minute, iso_second, minute_floor
 from mailstream.operators import feed as feedops
 from mailstream.operators import messages as msg
 from mailstream.operators import paging, parcels as P, windows, wordcount as wc
+from mailstream.plans import count_fixture
 from mailstream.plans.atom_fixture import page_index, render_pages
 from mailstream.sources import lines, topics
 from mailstream.sources.fetch import fetch_lookup
@@ -97,6 +98,17 @@ def q_route_windows(spark, sf):
     return msg.route_windows(totals, BASE_URL).select("topic", "key", "value", "reason")
 
 
+@query
+def q_probe_route(spark, sf):
+    """Every window of the polled span: count probe, fetched count page, then
+    its page requests or its place on the catch lane."""
+    ev = _t(spark, sf, "events").select("ts")
+    polls = windows.poll_windows(count_fixture.poll_ticks(ev)).select("start", "end")
+    pages = count_fixture.count_pages(ev, BASE_URL)
+    probed = msg.probe_windows(polls, lambda urls: fetch_lookup(urls, pages, status_col="status"), BASE_URL)
+    return msg.route_windows(probed, BASE_URL).select("topic", "key", "value", "reason", "cause")
+
+
 def _flag_probes(spark, sf) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate")
     return (li.groupBy("l_returnflag", "l_linestatus")
@@ -284,6 +296,14 @@ def q_partition_assign(spark, sf):
                     pmod_partition("c_name", PARTITIONS).alias("partition"))
 
 
+@query
+def q_null_key_lane(spark, sf):
+    """The event log with every third message without a key."""
+    log = topics.events_as_messages(_t(spark, sf, "events"))
+    keyed = log.withColumn("key", F.when(F.col("seq") % 3 != 0, F.col("key")))
+    return msg.assign_partition(keyed, PARTITIONS, seq_col="seq").select("topic", "seq", "key", "value", "partition")
+
+
 @query
 def q_post_payload(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "event_type", "value", "props")
@@ -337,5 +357,50 @@ def q_stream_window_totals(spark, sf):
     return run_window_totals_stream(spark, landed, files_per_batch=2)
 
 
+@query
+def q_stream_probe_route(spark, sf):
+    from mailstream.streaming.jobs import run_probe_stream
+    ev = _t(spark, sf, "events").select("ts")
+    return run_probe_stream(spark, count_fixture.poll_ticks(ev), count_fixture.count_pages(ev, BASE_URL))
+
+
+ARRIVAL_BATCHES = 12
+
+
+@query
+def q_stream_late_lane(spark, sf):
+    """Events arrive up to ten hours late, in twelve batches of equal time."""
+    from mailstream.streaming.jobs import run_late_lane_stream
+    ev = _t(spark, sf, "events").select("event_id", "ts")
+    came = ev.withColumn("_at", F.col("ts") + F.make_interval(hours=(F.col("event_id") % 11).cast("int")))
+    lo, hi = came.agg(F.min("_at"), F.max("_at")).first()
+    since = lambda t: F.timestamp_diff("SECOND", F.lit(lo).cast("timestamp_ntz"), t)
+    length = F.greatest(since(F.lit(hi).cast("timestamp_ntz")), F.lit(1))
+    batch = F.least(F.floor(since(F.col("_at")) * ARRIVAL_BATCHES / length), F.lit(ARRIVAL_BATCHES - 1))
+    arrivals = came.select("event_id", "ts", batch.cast("int").alias("batch"))
+    return run_late_lane_stream(spark, arrivals, ARRIVAL_BATCHES)
+
+
+@query
+def q_stream_replay(spark, sf):
+    """The failed requests of the round trip, tried again: a busy page is
+    there at the second attempt, the others are given up after the third."""
+    from mailstream.session import scratch_path
+    from mailstream.streaming.jobs import run_replay_stream
+    landed = scratch_path(spark, "replay-pages")
+    page_responses(spark, sf).write.parquet(landed)
+    bad = page_requests(spark, sf).filter(F.col("url").rlike(r"&retry=\d$"))
+
+    def fetch(todo: DataFrame) -> DataFrame:
+        ready = F.col("url").endswith(BUSY_SUFFIX) & (F.col("attempt") > 1)
+        asked = todo.select(F.col("url").alias("_asked"), F.when(ready, F.regexp_replace("url", r"&retry=\d$", ""))
+                            .otherwise(F.col("url")).alias("url"))
+        got = fetch_lookup(asked, spark.read.parquet(landed), status_col="status")
+        return got.select(F.col("_asked").alias("url"), "status", "body")
+
+    first = msg.page_messages(fetch(bad.withColumn("attempt", F.lit(1))))
+    return run_replay_stream(spark, first.select("url", "reason"), fetch)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -76,13 +76,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names durable shared storage and is always
-    used as-is. Only when it is unset (local tests) do we create a private
-    folder and register it, so lineage cuts and written tables still work.
+    used as-is; without it a job on a cluster is refused. Only a local session
+    (``local[..]``) gets a private folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="mailstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -4,8 +4,10 @@
   batches), each batch's counts written idempotently;
 * page routing: request URLs from a topic -> fetch (lookup join against
   landed responses) -> parcels -> keyed messages / dead letters;
-* window totals: events by 1-minute window with a 5-minute watermark;
-* window routing: poll ticks -> lagged windows -> totals -> page requests.
+* window totals: events per minute and micro-batch, added up on read;
+* window probing: poll ticks -> lagged windows -> fetched count pages -> page
+  requests, catch lane and recovery log;
+* late lane: event-time totals with a watermark, late rows diverted.
 
 All sources are file-backed topics here (no broker in tests); swapping in
 the Kafka source changes only the reader (see ``sources.topics``).
@@ -19,14 +21,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailstream.functions.time import iso_minute, minute_floor
+from mailstream.functions.time import iso_minute, minute_floor, minute_start
 from mailstream.operators import messages as msg
 from mailstream.operators import windows
 from mailstream.operators import wordcount as wc
 from mailstream.session import scratch_path
 from mailstream.sources import topics
 from mailstream.sources.fetch import fetch_lookup
-from mailstream.streaming.sinks import write_batch
+from mailstream.streaming.sinks import append_recovery_log, batch_dir, read_recovery_log, write_batch
 
 LINES_TOPIC = "lines"
 # Rows in a file of a published topic log, at most.
@@ -64,7 +66,6 @@ def wordcount_query(stream: DataFrame, out_path: str, checkpoint: str, available
 
 def spark_read_batch(batch: DataFrame, out_path: str, batch_id: int) -> DataFrame:
     """A batch's written output (read back instead of recomputing it)."""
-    from mailstream.streaming.sinks import batch_dir
     return batch.sparkSession.read.parquet(batch_dir(out_path, batch_id))
 
 
@@ -83,37 +84,48 @@ def run_wordcount_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.read.parquet(out).groupBy("word").agg(F.sum("count").alias("count"))
 
 
-# Landed pages are stored partitioned by a hash bucket of the URL, so a
-# micro-batch reads only the buckets its requests fall into.
-LANDED_BUCKETS = 256
+# Landed pages are stored partitioned by a hash bucket of the URL. There are so
+# many buckets that each holds about this many pages, so a micro-batch reads
+# files in proportion to its own URLs, however large the table is.
+PAGES_PER_BUCKET = 32
 
 
-def url_bucket(url) -> "F.Column":
+def url_bucket(url, buckets: int) -> "F.Column":
     u = F.col(url) if isinstance(url, str) else url
-    return F.pmod(F.xxhash64(u), F.lit(LANDED_BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int")
 
 
-def land_pages(pages: DataFrame, path: str) -> None:
-    """Write fetched/landed pages ``(url, status, body)`` partitioned by URL
-    bucket.
+def _layout(path: str) -> str:
+    return f"{path.rstrip('/')}-layout"
+
 
-    Rows are range-partitioned by ``(bucket, url)`` first, so each task
-    holds a contiguous slice and writes one or two bucket folders: about
-    one file per task plus one per bucket, instead of one per task and
-    bucket. Slices are sized by sampling, so a large bucket spreads over
-    several tasks."""
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (pages.select("url", "status", "body").withColumn("url_bucket", url_bucket("url"))
-     .repartitionByRange(n, "url_bucket", "url")
-     .write.partitionBy("url_bucket").parquet(path))
+def land_pages(pages: DataFrame, path: str, rows: int | None = None) -> int:
+    """Write fetched/landed pages ``(url, status, body)`` partitioned by URL
+    bucket; returns the number of buckets, which is kept beside the pages.
+    ``rows`` is their number where it is known (about), else they are counted.
+    A bucket is written by one task, so it is one file, and the hash placement
+    needs no sampling pass over the pages."""
+    spark = pages.sparkSession
+    buckets = max(1, -(-(pages.count() if rows is None else rows) // PAGES_PER_BUCKET))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (pages.select("url", "status", "body").withColumn("url_bucket", url_bucket("url", buckets))
+     .repartition(n, "url_bucket").write.partitionBy("url_bucket").parquet(path))
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(_layout(path))
+    return buckets
+
+
+def landed_for(spark: SparkSession, landed_path: str, requests: DataFrame) -> DataFrame:
+    """The landed pages of the buckets that a batch's requests fall into: a
+    partition filter on at most as many buckets as the batch has URLs."""
+    buckets = spark.read.parquet(_layout(landed_path)).first()["buckets"]
+    hit = [r[0] for r in requests.select(url_bucket("url", buckets).alias("b")).distinct().collect()]
+    return spark.read.parquet(landed_path).filter(F.col("url_bucket").isin(hit))
 
 
 def lookup_landed(spark: SparkSession, landed_path: str, requests: DataFrame) -> DataFrame:
-    """Fetch by lookup for one batch of requests: collect the batch's
-    distinct buckets (at most ``LANDED_BUCKETS`` ints), read only those
-    partitions, then the lookup join."""
-    buckets = [r[0] for r in requests.select(url_bucket("url").alias("b")).distinct().collect()]
-    landed = spark.read.parquet(landed_path).filter(F.col("url_bucket").isin(buckets))
+    """Fetch by lookup for one batch of requests: only the buckets of its URLs
+    are read, then the lookup join."""
+    landed = landed_for(spark, landed_path, requests)
     return fetch_lookup(requests, landed.select("url", "status", "body"), status_col="status")
 
 
@@ -136,7 +148,7 @@ def run_route_stream(spark: SparkSession, responses: DataFrame, requests: DataFr
     """Land the responses ``(url, status, body)`` as a table, publish the
     requests, route the request stream, return every message."""
     landed_dir = scratch_path(spark, "landed-pages")
-    land_pages(responses, landed_dir)
+    land_pages(responses, landed_dir, rows=requests.count())
     reqs = requests.select(F.lit(msg.URLS_TOPIC).alias("topic"), F.lit("").alias("key"),
                        F.col("url").alias("value"))
     req_dir, per_batch = publish(spark, reqs, msg.URLS_TOPIC)
@@ -191,3 +203,159 @@ def window_router(ticks: DataFrame, totals: DataFrame, base_url: str | None = No
     joined = polls.join(totals.select("start", "total"), "start", "left")
     kw = {"base_url": base_url} if base_url else {}
     return msg.route_windows(joined, **kw)
+
+
+def probe_query(ticks: DataFrame, fetch: Callable[[DataFrame], DataFrame], out_path: str, log_path: str, checkpoint: str,
+                base_url: str | None = None, available_now: bool = True, interval: str = "60 seconds"):
+    """Poll ticks (stream) -> the window each asks for -> its fetched count
+    page -> messages, per micro-batch. The catch lane's request lines are also
+    appended to the recovery log, from the batch as written, so a probe is
+    fetched once. Both sinks are per batch and replay-safe."""
+    kw = {"base_url": base_url} if base_url else {}
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        polls = windows.poll_windows(batch).select("start", "end").distinct()
+        write_batch(msg.route_windows(msg.probe_windows(polls, fetch, **kw), **kw), out_path, batch_id)
+        append_recovery_log(spark_read_batch(batch, out_path, batch_id), log_path, batch_id)
+
+    w = ticks.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+RECOVERY = "recovery"
+
+
+def run_probe_stream(spark: SparkSession, ticks: DataFrame, responses: DataFrame) -> DataFrame:
+    """Replay a table of ticks through ``probe_query`` against landed count
+    pages, in at least four batches; the messages, and the recovery log's lines
+    as rows of topic ``recovery``."""
+    landed, tick_dir = scratch_path(spark, "landed-counts"), scratch_path(spark, "ticks")
+    responses.write.parquet(landed)
+    ticks.repartition(max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))).write.option(
+        "maxRecordsPerFile", ROWS_PER_FILE).parquet(tick_dir)
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    stream = spark.readStream.schema("tick timestamp_ntz").option("maxFilesPerTrigger", files).parquet(tick_dir)
+    out, log = scratch_path(spark, "probed-batches"), scratch_path(spark, "recovery-log")
+    probe_query(stream, lambda urls: fetch_lookup(urls, spark.read.parquet(landed), status_col="status"), out, log,
+                scratch_path(spark, "probe-ckpt")).awaitTermination()
+    lines = read_recovery_log(spark, log).select(F.lit(RECOVERY).alias("topic"), F.lit("").alias("key"), "value",
+                                                 *[F.lit(None).cast("string").alias(c) for c in ("reason", "cause")])
+    return spark.read.parquet(out).select("topic", "key", "value", "reason", "cause").union(lines)
+
+
+def late_lane_query(events: DataFrame, out_path: str, checkpoint: str, lag_minutes: int = windows.LAG_MINUTES,
+                    available_now: bool = True, interval: str = "60 seconds"):
+    """Events (stream) -> totals per minute, with late rows in a lane of their
+    own instead of being dropped. The watermark before a batch is the latest
+    event time of all batches before it, less ``lag_minutes``; a row is late
+    when its minute had ended by then. Each batch writes its latest time, its
+    totals and its late rows to folders of its own: the state is the folder of the batch before,
+    so a replayed or restarted batch sees the same watermark and writes the
+    same rows. Rows without a time are late."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = batch_dir(f"{out_path}/clock", batch_id - 1)
+        latest = spark.read.parquet(before).first()["latest"] if batch_id else None
+        now = F.greatest(F.max("ts"), F.lit(latest).cast("timestamp_ntz"))      # skips nulls
+        write_batch(batch.agg(now.alias("latest")), f"{out_path}/clock", batch_id)
+        ended = minute_start("ts") + F.make_interval(mins=F.lit(windows.WINDOW_MINUTES))
+        limit = F.lit(latest).cast("timestamp_ntz") - F.make_interval(mins=F.lit(lag_minutes))
+        late = F.col("ts").isNull() | F.coalesce(ended <= limit, F.lit(False))
+        write_batch(batch.filter(late), f"{out_path}/late", batch_id)
+        write_batch(batch_window_totals(batch.filter(~late)), f"{out_path}/totals", batch_id)
+
+    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def run_late_lane_stream(spark: SparkSession, arrivals: DataFrame, batches: int) -> DataFrame:
+    """``arrivals`` are events with the number of the ``batch`` (0..) they
+    arrive in; each batch is landed as files of its own, in order. Returns
+    ``(lane, start, event_id, total)``: on-time totals per minute and late rows."""
+    landed, out = scratch_path(spark, "arrivals"), scratch_path(spark, "late-lane")
+    cols = ["event_id", "ts"]
+    staged = scratch_path(spark, "arrivals-staged")
+    arrivals.select(*cols, "batch").repartition("batch").write.partitionBy("batch").parquet(staged)
+    schema = arrivals.select(*cols).schema
+    for b in range(batches):        # one small job a batch: the arrival order is the order of the files
+        spark.read.parquet(staged).filter(F.col("batch") == b).select(*cols).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    late_lane_query(stream, out, scratch_path(spark, "late-lane-ckpt")).awaitTermination()
+    return late_lane_view(spark, out)
+
+
+def late_lane_view(spark: SparkSession, out_path: str) -> DataFrame:
+    totals = total_over_batches(spark, f"{out_path}/totals")
+    late = spark.read.parquet(f"{out_path}/late")
+    return totals.select(F.lit("total").alias("lane"), "start", F.lit(None).cast("long").alias("event_id"), "total").union(
+        late.select(F.lit("late"), iso_minute("ts"), "event_id", F.lit(1).cast("long")))
+
+
+# Outcomes of a replayed request, and how often it is tried in all.
+ANSWERED, AGAIN, GIVEN_UP = "answered", "again", "given_up"
+MAX_ATTEMPTS = 3
+LETTER_SCHEMA = "url string, reason string"
+
+
+def replay_query(spark: SparkSession, letters_path: str, fetch: Callable[[DataFrame], DataFrame], out_path: str,
+                 checkpoint: str, max_attempts: int = MAX_ATTEMPTS):
+    """One pass over the dead letters that have come since the last one: each
+    URL's page is asked for again, its parcels go out, and a failure becomes a
+    new letter until it has been tried ``max_attempts`` times (the first
+    request counts). ``fetch`` turns ``(url, attempt)`` into ``(url, status,
+    body)``.
+
+    Attempts are kept per URL in ``state``, one folder per batch, and a batch
+    reads the folders before its own only: a replayed batch repeats itself. A
+    URL that several letters name is asked for once a batch, and not any more
+    once it is answered or given up, so it ends in one lane, once."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        urls = batch.select("url").distinct()
+        tries = F.lit(1)
+        if batch_id:
+            state = spark.read.parquet(f"{out_path}/state").filter(F.col("batch_id") < batch_id)
+            known = state.groupBy(F.col("url").alias("_u")).agg(F.max("attempts").alias("_n"),
+                                                               F.max(F.col("outcome") != AGAIN).alias("_closed"))
+            urls = urls.join(known, F.col("url") == F.col("_u"), "left").filter(~F.coalesce("_closed", F.lit(False)))
+            tries = F.coalesce("_n", tries)
+        todo_dir = f"{out_path}/todo"
+        write_batch(urls.select("url", (tries + 1).alias("attempt")), todo_dir, batch_id)
+        todo = spark.read.parquet(batch_dir(todo_dir, batch_id))
+        write_batch(msg.page_messages(fetch(todo)), f"{out_path}/messages", batch_id)
+        failed = (spark.read.parquet(batch_dir(f"{out_path}/messages", batch_id)).filter(F.col("topic") == msg.CATCH_URLS_TOPIC)
+                  .select(F.col("url").alias("_u"), "reason"))
+        outcome = F.when(F.col("_u").isNull(), ANSWERED).when(F.col("attempt") < max_attempts, AGAIN).otherwise(GIVEN_UP)
+        write_batch(todo.join(failed, F.col("url") == F.col("_u"), "left").select(
+            "url", F.col("attempt").alias("attempts"), outcome.alias("outcome"), "reason"), f"{out_path}/state", batch_id)
+        done = spark.read.parquet(batch_dir(f"{out_path}/state", batch_id))
+        write_batch(done.filter(F.col("outcome") == AGAIN).select("url", "reason"), letters_path, batch_id)
+
+    letters = spark.readStream.schema(LETTER_SCHEMA).parquet(letters_path)
+    return (letters.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+FINAL_TOPIC = "finalLane"
+
+
+def replay_view(spark: SparkSession, out_path: str) -> DataFrame:
+    """``(topic, key, value, reason, attempts)``: the parcels of answered
+    requests and, on the final lane, the requests that were given up."""
+    state = spark.read.parquet(f"{out_path}/state").select("url", "attempts", "outcome", F.col("reason").alias("why"))
+    sent = spark.read.parquet(f"{out_path}/messages").filter(F.col("topic") == msg.PARCELS_TOPIC)
+    sent = sent.join(state.filter(F.col("outcome") == ANSWERED), "url").select("topic", "key", "value", "reason", "attempts")
+    lost = state.filter(F.col("outcome") == GIVEN_UP)
+    return sent.union(lost.select(F.lit(FINAL_TOPIC), "url", "url", F.col("why"), "attempts"))
+
+
+def run_replay_stream(spark: SparkSession, letters: DataFrame, fetch: Callable[[DataFrame], DataFrame],
+                      max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Replay a dead-letter table ``(url, reason)`` until every request is
+    answered or given up: a pass for each further attempt."""
+    path, out, ckpt = (scratch_path(spark, f"replay-{n}") for n in ("letters", "out", "ckpt"))
+    letters.select("url", "reason").write.parquet(f"{path}/batch_id=-1")
+    for _ in range(max_attempts - 1):
+        replay_query(spark, path, fetch, out, ckpt, max_attempts).awaitTermination()
+    return replay_view(spark, out)

@@ -287,6 +287,12 @@ def test_json_layout(spark):
     assert j["traitement"]["cedex"] == "non"
 
 
+def test_json_escapes(spark):
+    odd = "a<b>&c='d'\u2028e\u2029f"
+    row = spark.createDataFrame([(odd,)], "v string").select(P.html_safe(F.to_json(F.struct("v"))).alias("j")).first()
+    assert row["j"] == '{"v":"a\\u003cb\\u003e\\u0026c\\u003d\\u0027d\\u0027\\u2028e\\u2029f"}' and json.loads(row["j"])["v"] == odd
+
+
 def test_page_map_round_trip(spark):
     df = pages(spark, feed(entry("M", machines=[machine()], manuals=[manual()])))
     kv = msg.page_messages(df).select("url", "key", "value")

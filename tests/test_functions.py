@@ -84,3 +84,15 @@ def test_time_formats_and_lag(spark):
     assert r["m"] == "2024-01-01T00:09:00Z" and r["s"] == "2024-01-01T00:09:58Z"
     assert r["f"] == dt.datetime(2024, 1, 1, 0, 9)
     assert (r["a"], r["b"]) == ("2024-01-01T00:03:00Z", "2024-01-01T00:04:00Z")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import types
+
+    import pytest
+
+    from mailstream.session import checkpoint_root
+    context = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(conf={}, sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(session)

@@ -181,3 +181,120 @@ def test_landed_pages_file_count_is_bounded(spark, sf_small):
     assert len(files) <= n + len(buckets)
     landed = spark.read.parquet(out)
     assert landed.count() == pages.count() == landed.select("url").distinct().count()
+
+
+def _stop_after_first_batch(query):
+    deadline = time.time() + 90
+    while (query.lastProgress is None or query.lastProgress["batchId"] < 0) and time.time() < deadline:
+        time.sleep(0.2)
+    query.stop()
+
+
+def test_probe_job_routes_three_lanes_and_logs_the_catch_lane(spark):
+    """One fetch per probe; a batch run again replaces its messages and its
+    lines in the recovery log."""
+    import datetime as dt
+
+    from mailstream.operators.paging import probe_url
+    from mailstream.streaming.sinks import read_recovery_log
+    t0 = dt.datetime(2031, 4, 1, 8, 0)
+    said = {0: (200, "1500"), 1: (200, "0"), 2: (503, None), 3: (200, "cut"), 4: (200, None), 5: None, 6: (200, "-4")}
+    minute = lambda k: (t0 + dt.timedelta(minutes=k)).strftime("%Y-%m-%dT%H:%M:00Z")
+    rows = []
+    for k, answer in said.items():
+        if answer:
+            total = answer[1]
+            body = "<feed><a>" if total == "cut" else f"<feed>{f'<totalResults>{total}</totalResults>' if total else ''}</feed>"
+            rows.append((minute(k), minute(k + 1), answer[0], body))
+    pages = spark.createDataFrame(rows, "start string, end string, status int, body string").select(
+        probe_url(F.col("start"), F.col("end"), "b?").alias("url"), "status", "body")
+    ticks = spark.createDataFrame([(t0 + dt.timedelta(minutes=k + 6, seconds=k),) for k in said], "tick timestamp_ntz")
+    src, out, log, ckpt = (scratch_path(spark, f"t-probe-{n}") for n in ("src", "out", "log", "ckpt"))
+    ticks.repartition(7).write.parquet(src)
+    fetch = lambda urls: jobs.fetch_lookup(urls, pages, status_col="status")
+    stream = lambda: spark.readStream.schema("tick timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(src)
+    _stop_after_first_batch(jobs.probe_query(stream(), fetch, out, log, ckpt, "b?", available_now=False, interval="1 second"))
+    jobs.probe_query(stream(), fetch, out, log, ckpt, "b?").awaitTermination()
+    got = spark.read.parquet(out).select("topic", "start", "value", "reason", "cause").collect()
+    lanes = sorted((r["topic"], r["start"], r["reason"], r["cause"]) for r in got if r["topic"] == "catchingTopic")
+    want = {1: ("empty", None), 2: ("failed", "http_503"), 3: ("failed", "parse_error"), 4: ("failed", "no_total"),
+            5: ("failed", "http_404"), 6: ("failed", "no_total")}
+    assert lanes == [("catchingTopic", minute(k), *want[k]) for k in sorted(want)]
+    asked = sorted(r["value"] for r in got if r["topic"] == "urls")
+    assert [u.split("startIndex=")[1] for u in asked] == ["1&count=1000", "1001&count=1000"]
+    lines = sorted(r["value"] for r in read_recovery_log(spark, log).collect())
+    assert lines == sorted(r["value"] for r in got if r["topic"] == "catchingTopic") and len(lines) == 6
+
+
+def test_late_lane_holds_every_row_once_and_survives_a_restart(spark):
+    """Totals and late rows against a plain loop over the batches, with a
+    stop after the first of six batches; nothing is dropped."""
+    import datetime as dt
+    import random
+    rnd, t0 = random.Random(2), dt.datetime(2031, 4, 1)
+    rows = [(i, None if i % 97 == 0 else t0 + dt.timedelta(seconds=rnd.randrange(7200) + 1200 * (i % 6) - 3000 * (i % 11 == 0)), i % 6)
+            for i in range(600)]
+    src, out, ckpt = (scratch_path(spark, f"t-late-{n}") for n in ("src", "out", "ckpt"))
+    schema = "event_id long, ts timestamp_ntz"
+    for b in range(6):
+        spark.createDataFrame([r[:2] for r in rows if r[2] == b], schema).coalesce(1).write.mode("append").parquet(src)
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    _stop_after_first_batch(jobs.late_lane_query(stream(), out, ckpt, available_now=False, interval="1 second"))
+    jobs.late_lane_query(stream(), out, ckpt).awaitTermination()
+    latest, late, totals = None, set(), {}
+    for b in range(6):
+        mine = [r for r in rows if r[2] == b]
+        for i, ts, _ in mine:
+            m = ts and ts.replace(second=0)
+            if ts is None or (latest and m + dt.timedelta(minutes=1) <= latest - dt.timedelta(minutes=5)):
+                late.add(i)
+            else:
+                key = m.strftime("%Y-%m-%dT%H:%M:00Z")
+                totals[key] = totals.get(key, 0) + 1
+        latest = max([r[1] for r in mine if r[1]] + ([latest] if latest else []))
+    got = jobs.late_lane_view(spark, out).collect()
+    assert {r["event_id"] for r in got if r["lane"] == "late"} == late and len(late) > 20
+    assert {r["start"]: r["total"] for r in got if r["lane"] == "total"} == totals
+    assert sum(r["total"] for r in got) == len(rows)
+
+
+def test_a_batch_reads_landed_files_in_proportion_to_its_urls(spark):
+    seen = []
+    for n in (300, 6000):
+        path = scratch_path(spark, "t-landed")
+        pages = spark.range(n).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.lit(200).alias("status"),
+                                      F.lit("body").alias("body"))
+        jobs.land_pages(pages, path)
+        asked = spark.createDataFrame([("u3",), ("u77",), ("u250",), ("nowhere",)], "url string")
+        files = jobs.landed_for(spark, path, asked).select(F.input_file_name()).distinct().count()
+        seen.append((n // jobs.PAGES_PER_BUCKET, files))
+        got = {r["url"]: r["status"] for r in jobs.lookup_landed(spark, path, asked).collect()}
+        assert got == {"u3": 200, "u77": 200, "u250": 200, "nowhere": 404}
+    assert all(files <= 4 for _, files in seen) and seen[1][0] > 10 * seen[0][0] > 40
+
+
+def test_null_keys_spread_evenly_and_alike_on_replay(spark):
+    from mailstream.operators.messages import assign_partition
+    rows = spark.range(4000).select(F.col("id").alias("seq"), F.when(F.col("id") % 4 == 0, F.lit("k")).alias("key"), F.lit("v").alias("value"))
+    first = {r["seq"]: r["partition"] for r in assign_partition(rows, 7, seq_col="seq").collect()}
+    again = {r["seq"]: r["partition"] for r in assign_partition(rows.repartition(5, "seq"), 7, seq_col="seq").collect()}
+    assert first == again and len({p for s, p in first.items() if s % 4 == 0}) == 1
+    spread = [sum(1 for s, p in first.items() if s % 4 and p == k) for k in range(7)]
+    assert max(spread) - min(spread) <= 3
+
+
+def test_every_dead_letter_is_answered_or_given_up_once(spark):
+    """Repeated letters for one URL, a page without parcels, one that answers
+    at the third attempt, one that never does; each pass is a restart."""
+    letters = spark.createDataFrame([("slow", "http_503"), ("slow", "http_503"), ("never", "http_500"), ("bare", "parse_error")],
+                                    jobs.LETTER_SCHEMA)
+    asked = []
+
+    def fetch(todo):
+        asked.extend((r["url"], r["attempt"]) for r in todo.collect())
+        ok = (F.col("url") == "bare") | ((F.col("url") == "slow") & (F.col("attempt") == 3))
+        return todo.select("url", F.when(ok, 200).otherwise(500).alias("status"), F.lit("<feed/>").alias("body"))
+
+    got = [tuple(r) for r in jobs.run_replay_stream(spark, letters, fetch).collect()]
+    assert got == [(jobs.FINAL_TOPIC, "never", "never", "http_500", 3)]
+    assert sorted(set(asked)) == [("bare", 2), ("never", 2), ("never", 3), ("slow", 2), ("slow", 3)]
