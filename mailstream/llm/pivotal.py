@@ -15,7 +15,8 @@ partitioning.
 
 Defined cases: a null text has size 0 and nothing taken; a null source is a
 source of its own, last in order; rows that agree in doc_id, source and size
-are one unit and share their number of copies; all sizes 0 give targets 0; an
+are one unit, whose copies are dealt evenly to its rows (they differ by at most
+one, and only one row's worth is drawn by chance); all sizes 0 give targets 0; an
 empty table gives an empty result; extra columns are ignored (kept by
 ``materialise_mix``).
 """
@@ -110,7 +111,7 @@ def _round_bins(rows: DataFrame, level: int, seed: int) -> DataFrame:
     def one(pdf):
         pdf = pdf.sort_values(["turn", "doc_id", "size"], kind="stable")
         p = pdf["p"].tolist()
-        rest = pivot(p, (pdf["size"] * pdf["rows"]).tolist(), pdf["draw"].tolist())
+        rest = pivot(p, pdf["size"].tolist(), pdf["draw"].tolist())
         return pdf.assign(p=p, open=[k == rest for k in range(len(p))]).drop(columns=["turn", "draw"])
 
     return (rows.withColumn("turn", _draw(seed, 2 * level)).withColumn("draw", _draw(seed, 2 * level + 1))
@@ -119,7 +120,8 @@ def _round_bins(rows: DataFrame, level: int, seed: int) -> DataFrame:
 
 def rounded_units(units: DataFrame, seed: int = SEED, fan: int = BIN) -> DataFrame:
     """``units(source, doc_id, size, rows, expected, units)`` -> the same units with
-    an integral number of ``copies``."""
+    an integral number of ``copies``; ``expected`` and ``copies`` are those of
+    all the unit's rows together, so at most one row of a unit is fractional."""
     whole = F.floor("expected")
     start = units.select("source", "doc_id", "size", "rows", whole.cast("int").alias("whole"),
                          (F.col("expected") - whole).alias("p"),
@@ -142,24 +144,41 @@ def rounded_units(units: DataFrame, seed: int = SEED, fan: int = BIN) -> DataFra
 
 def plan_mix(sized: DataFrame, seed: int = SEED) -> DataFrame:
     """``sized(doc_id, source, size)`` -> units with ``rows`` (how many rows
-    each stands for), ``copies``, ``source_size`` and ``target``."""
+    each stands for), ``copies`` of them together, ``source_size`` and
+    ``target``."""
     units = written(sized.groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("rows")), "mix-units")
     targets = written(source_targets(units), "mix-targets")
     t = targets.select(F.col("source").alias("_s"), "source_size", "units", "target")
     rated = units.join(t, units["source"].eqNullSafe(t["_s"]))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    got = rounded_units(rated.withColumn("expected", F.when(F.col("size") > 0, share).otherwise(0.0)), seed)
+    got = rounded_units(rated.withColumn("expected", F.when(F.col("size") > 0, share * F.col("rows")).otherwise(0.0)), seed)
     return got.join(t.drop("units"), got["source"].eqNullSafe(t["_s"])).drop("_s")
 
 
+def _repeated(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose unit stands for several, with ``copies`` of
+    the row: a unit's copies are dealt out evenly. The rows of a unit follow
+    each other in a distributed numbering, so their numbers modulo ``rows`` are
+    all different and no unit is gathered anywhere."""
+    p = plan.filter("rows > 1").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], F.col("rows").alias("_rows"),
+                                       F.col("copies").alias("_copies"))
+    hit = rows.join(p, rows["doc_id"].eqNullSafe(p["_doc_id"]) & rows["source"].eqNullSafe(p["_source"])
+                    & (rows["size"] == p["_size"])).drop(*[f"_{c}" for c in _UNIT])
+    numbered = page_slices(hit.withColumn("_tie", F.monotonically_increasing_id()), ["source", "doc_id", "size", "_tie"])
+    more = F.col("row_index") % F.col("_rows") < F.col("_copies") % F.col("_rows")
+    return numbered.select(*rows.columns, (F.floor(F.col("_copies") / F.col("_rows")) + more.cast("int")).cast("int").alias("copies"))
+
+
 def op2_mixed_sources(docs: DataFrame) -> DataFrame:
-    """One row per document: size, its source's size and target, words taken.
-    A unit that stands for repeated rows comes back that many times."""
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", count_words(F.col("text")).alias("size"))
-    plan = plan_mix(sized)
-    rows = plan.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
-    return rows.select("doc_id", "size", "source_size", "target",
-                       (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies")
+    """One row per document: size, its source's size and target, words taken."""
+    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
+                                count_words(F.col("text")).alias("size")), "mix-sized")
+    plan = written(plan_mix(sized), "mix-plan")
+    of = plan.groupBy(F.col("source").alias("_s")).agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    many = _repeated(sized, plan)
+    many = many.join(of, many["source"].eqNullSafe(of["_s"])).drop("_s")
+    cols = ["doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies"]
+    return plan.filter("rows = 1").select(*cols).union(many.select(*cols))
 
 
 def materialise_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -169,9 +188,10 @@ def materialise_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     own = docs.toDF(*names)
     sized = own.select("*", own[at["doc_id"]].cast("long").alias("doc_id"), own[at["source"]].alias("source"),
                        count_words(own[at["text"]]).alias("size"))
-    plan = plan_mix(sized.select(*_UNIT), seed).filter("copies > 0")
-    p = plan.select(*[F.col(c).alias(f"_{c}") for c in _UNIT], "copies")
+    plan = written(plan_mix(sized.select(*_UNIT), seed), "mix-plan").filter("copies > 0")
+    p = plan.filter("rows = 1").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], "copies")
     hit = sized.join(p, sized["doc_id"].eqNullSafe(p["_doc_id"]) & sized["source"].eqNullSafe(p["_source"])
-                     & (sized["size"] == p["_size"]))
-    out = hit.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+                     & (sized["size"] == p["_size"])).select(*sized.columns, "copies").unionByName(_repeated(sized, plan))
+    # at most MAX_COPIES of a row
+    out = hit.filter("copies > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(*names).toDF(*docs.columns)

@@ -224,6 +224,24 @@ def test_mix_totals_and_reruns(docs, rows):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_mix_of_repeated_rows_meets_its_target(spark):
+    """One document repeated 400 times is a source of its own: its words come
+    within one document of the target, dealt evenly, also in the pipeline form."""
+    from pyspark.sql import functions as F
+    ten = " ".join("abcdefghij")
+    rows = [(7, ten, "hot")] * 400 + [(i, " ".join(["w"] * (i % 9 + 1)), "b") for i in range(100, 300)] + [(7, ten, "b")] * 3
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pivotal.op2_mixed_sources(d).collect()
+    assert len(got) == len(rows)
+    for s in ("hot", "b"):
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 10
+    hot = [r["copies"] for r in got if r["source"] == "hot"]
+    assert len(hot) == 400 and max(hot) - min(hot) <= 1 and max(hot) <= 2
+    out = pivotal.materialise_mix(d).groupBy("source").agg(F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in out} == {s: sum(r["copies"] for r in got if r["source"] == s) for s in ("hot", "b")}
+
+
 def test_pivot_keeps_words_and_expectation():
     import random
     rng, hits = random.Random(3), [0.0] * 4
