@@ -380,6 +380,9 @@ FROM (SELECT unnest({_split("concat_ws(' ', event_type, props)")}) AS word FROM
 GROUP BY word""",
     "stream_route": ROUTE_PAGES,
     "probe_route": PROBED,
+    "stream_post": """
+SELECT event_id AS id, CAST(CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts, event_id % 7 <> 0 AS delivered
+FROM events""",
     "stream_replay": f"""
 WITH {ROUND_TRIP}, {JSON_SELECT}, lj AS ({LAST_JSON})
 SELECT 'JsonTopic' AS topic, key, value, CAST(NULL AS VARCHAR) AS reason, 2 AS attempts FROM lj

@@ -381,6 +381,18 @@ def q_stream_late_lane(spark, sf):
     return run_late_lane_stream(spark, arrivals, ARRIVAL_BATCHES)
 
 
+def refuse_every_seventh(payloads) -> list[int]:
+    """A stand-in for the POST transport: busy for ids divisible by seven."""
+    import re
+    return [503 if int(re.search(r'"id": "(-?[0-9]+)"', p).group(1)) % 7 == 0 else 200 for p in payloads]
+
+
+@query
+def q_stream_post(spark, sf):
+    from mailstream.streaming.jobs import run_post_stream
+    return run_post_stream(spark, q_post_payload(spark, sf), refuse_every_seventh)
+
+
 @query
 def q_stream_replay(spark, sf):
     """The failed requests of the round trip, tried again: a busy page is

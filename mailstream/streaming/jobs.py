@@ -28,7 +28,9 @@ from mailstream.operators import wordcount as wc
 from mailstream.session import scratch_path
 from mailstream.sources import topics
 from mailstream.sources.fetch import fetch_lookup
-from mailstream.streaming.sinks import append_recovery_log, batch_dir, read_recovery_log, write_batch
+from mailstream.streaming.sinks import (
+    append_recovery_log, batch_dir, http_post, read_recovery_log, send_payloads, write_batch,
+)
 
 LINES_TOPIC = "lines"
 # Rows in a file of a published topic log, at most.
@@ -359,3 +361,46 @@ def run_replay_stream(spark: SparkSession, letters: DataFrame, fetch: Callable[[
     for _ in range(max_attempts - 1):
         replay_query(spark, path, fetch, out, ckpt, max_attempts).awaitTermination()
     return replay_view(spark, out)
+
+
+#: Parts of a batch that are delivered, and entered in the ledger, one by one.
+DELIVERY_PARTS = 4
+LEDGER_SCHEMA = "id long, status int, batch_id long, part int"
+
+
+def post_query(spark: SparkSession, payloads: DataFrame, ledger_path: str, checkpoint: str, client=http_post,
+               parts: int = DELIVERY_PARTS, available_now: bool = True, interval: str = "60 seconds"):
+    """Payloads (stream of ``id, payload``) -> POST through ``client`` inside
+    the tasks, with a ledger of what came of each delivery. A batch leaves out
+    the ids that the ledger already has as delivered (status 2xx) and goes
+    part by part (a hash of the id); a part's statuses are written before the
+    next one starts. So a batch that failed half-way, run again, sends only the
+    parts that are missing; refused ids are tried again when they come again.
+    Repeated ids of a batch are sent once."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.dropDuplicates(["id"])
+        fs = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+        for part in range(parts):
+            mine = batch.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
+            if fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
+                known = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+                done = known.filter((F.col("status").between(200, 299)) | ((F.col("batch_id") == batch_id) & (F.col("part") == part)))
+                mine = mine.join(done.select("id").distinct(), "id", "left_anti")
+            sent = send_payloads(mine, client)
+            sent.write.mode("append").parquet(f"{batch_dir(ledger_path, batch_id)}/part={part}")
+
+    w = payloads.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def run_post_stream(spark: SparkSession, payloads: DataFrame, client) -> DataFrame:
+    """Every payload comes twice, the second time after the first log was
+    worked off; ``(id, attempts, delivered)`` of each."""
+    log, ledger, ckpt = (scratch_path(spark, f"post-{n}") for n in ("log", "ledger", "ckpt"))
+    for _ in range(2):
+        payloads.select("id", "payload").write.mode("append").parquet(log)
+        stream = spark.readStream.schema("id long, payload string").parquet(log)
+        post_query(spark, stream, ledger, ckpt, client).awaitTermination()
+    return (spark.read.schema(LEDGER_SCHEMA).parquet(ledger).groupBy("id")
+            .agg(F.count(F.lit(1)).alias("attempts"), F.max(F.col("status").between(200, 299)).alias("delivered")))

@@ -298,3 +298,41 @@ def test_every_dead_letter_is_answered_or_given_up_once(spark):
     got = [tuple(r) for r in jobs.run_replay_stream(spark, letters, fetch).collect()]
     assert got == [(jobs.FINAL_TOPIC, "never", "never", "http_500", 3)]
     assert sorted(set(asked)) == [("bare", 2), ("never", 2), ("never", 3), ("slow", 2), ("slow", 3)]
+
+
+def test_a_delivery_that_failed_half_way_resends_only_the_rest(spark, tmp_path):
+    """The transport breaks once at the third part; the parts before it are in
+    the ledger and are not sent again. Refused ids are, when they come again."""
+    import pytest
+    broken, log = tmp_path / "broken", tmp_path / "sent"
+    log.mkdir()
+
+    def client(payloads):
+        import os
+        import uuid
+        if len(payloads) and len(os.listdir(log)) >= 2 and not os.path.exists(broken):
+            open(broken, "w").close()
+            raise OSError("transport broke")
+        (log / uuid.uuid4().hex).write_text(",".join(payloads))
+        return [503 if p == "p5" else 200 for p in payloads]
+
+    src, ledger, ckpt = (scratch_path(spark, f"t-post-{n}") for n in ("src", "ledger", "ckpt"))
+    rows = spark.range(40).select("id", F.concat(F.lit("p"), F.col("id").cast("string")).alias("payload"))
+    rows.union(rows).coalesce(1).write.parquet(src)
+    stream = lambda: spark.readStream.schema("id long, payload string").parquet(src)
+    retries = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        with pytest.raises(Exception, match="transport broke"):
+            jobs.post_query(spark, stream(), ledger, ckpt, client).awaitTermination()
+        first = sum(len(f.read_text().split(",")) for f in log.iterdir())
+        assert 0 < first < 40
+        jobs.post_query(spark, stream(), ledger, ckpt, client).awaitTermination()
+        sent = [p for f in log.iterdir() for p in f.read_text().split(",")]
+        assert sorted(sent) == sorted(f"p{i}" for i in range(40))
+        rows.write.mode("append").parquet(src)
+        jobs.post_query(spark, stream(), ledger, ckpt, client).awaitTermination()
+        again = [p for f in log.iterdir() for p in f.read_text().split(",")]
+        assert sorted(again) == sorted([*sent, "p5"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", retries)
