@@ -380,6 +380,9 @@ FROM (SELECT unnest({_split("concat_ws(' ', event_type, props)")}) AS word FROM
 GROUP BY word""",
     "stream_route": ROUTE_PAGES,
     "probe_route": PROBED,
+    "stream_clock": f"""
+SELECT strftime(m, {ISO_S}) AS tick, strftime(m - INTERVAL 6 MINUTE, {ISO_M}) AS start, strftime(m - INTERVAL 5 MINUTE, {ISO_M}) AS "end"
+FROM (SELECT unnest(generate_series(date_trunc('minute', min(ts)), date_trunc('minute', max(ts)), INTERVAL 1 MINUTE)) AS m FROM events)""",
     "stream_post": """
 SELECT event_id AS id, CAST(CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts, event_id % 7 <> 0 AS delivered
 FROM events""",

@@ -381,6 +381,12 @@ def q_stream_late_lane(spark, sf):
     return run_late_lane_stream(spark, arrivals, ARRIVAL_BATCHES)
 
 
+@query
+def q_stream_clock(spark, sf):
+    from mailstream.streaming.jobs import run_clock_stream
+    return run_clock_stream(spark, _t(spark, sf, "events").select("ts"))
+
+
 def refuse_every_seventh(payloads) -> list[int]:
     """A stand-in for the POST transport: busy for ids divisible by seven."""
     import re

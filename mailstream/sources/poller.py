@@ -6,7 +6,8 @@
 * ``TickSource`` - a Python streaming data source (``pyspark.sql.datasource``)
   that emits the wall-clock minute grid; an offset is the absolute index of
   an interval (epoch div length), so a restarted query resumes from its
-  checkpoint without skipping or repeating windows.
+  checkpoint without skipping or repeating windows. ``originEpochSeconds`` and
+  ``lastEpochSeconds`` bound it, so the clock can be replayed over a table's span.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ class _TickReader(SimpleDataSourceStreamReader):
         self.interval = int(options.get("intervalSeconds", "60"))
         # where a query without a checkpoint starts; offsets do not depend on it
         self.origin = int(options.get("originEpochSeconds", str(int(time.time()))))
+        # a bounded clock ends with the interval of this second; ticks in one read
+        last = options.get("lastEpochSeconds")
+        self.last = None if last is None else int(last) // self.interval
+        self.most = int(options.get("ticksPerBatch", str(1 << 62)))
 
     def _ticks(self, start: int, end: int):
         return iter([(dt.datetime.fromtimestamp(i * self.interval, dt.UTC).replace(tzinfo=None),)
@@ -47,7 +52,10 @@ class _TickReader(SimpleDataSourceStreamReader):
         return {"i": self.origin // self.interval}
 
     def read(self, start):
-        end = max(start["i"], int(time.time()) // self.interval + 1)
+        end = int(time.time()) // self.interval + 1
+        if self.last is not None:
+            end = min(end, self.last + 1)
+        end = max(start["i"], min(end, start["i"] + self.most))
         return self._ticks(start["i"], end), {"i": end}
 
     def readBetweenOffsets(self, start, end):

@@ -404,3 +404,35 @@ def run_post_stream(spark: SparkSession, payloads: DataFrame, client) -> DataFra
         post_query(spark, stream, ledger, ckpt, client).awaitTermination()
     return (spark.read.schema(LEDGER_SCHEMA).parquet(ledger).groupBy("id")
             .agg(F.count(F.lit(1)).alias("attempts"), F.max(F.col("status").between(200, 299)).alias("delivered")))
+
+
+#: Minutes of a bounded clock in one micro-batch.
+TICKS_PER_BATCH = 4096
+
+
+def bounded_clock(spark: SparkSession, first_epoch: int, last_epoch: int, per_batch: int = TICKS_PER_BATCH) -> DataFrame:
+    """The poll clock from one second to another, as a stream that ends."""
+    from mailstream.sources.poller import TickSource, register_tick_source
+    register_tick_source(spark)
+    return (spark.readStream.format(TickSource.name()).option("intervalSeconds", 60 * windows.WINDOW_MINUTES)
+            .option("originEpochSeconds", first_epoch).option("lastEpochSeconds", last_epoch).option("ticksPerBatch", per_batch).load())
+
+
+def poll_query(ticks: DataFrame, out_path: str, checkpoint: str):
+    """Ticks (stream) -> the window that each polls, per micro-batch."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch(windows.poll_windows(batch).select("tick", "start", "end"), out_path, batch_id)
+
+    return ticks.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).start()
+
+
+def run_clock_stream(spark: SparkSession, events: DataFrame, per_batch: int = TICKS_PER_BATCH) -> DataFrame:
+    """Replay the clock over the span of ``events``: one window a minute, from
+    the first event's minute to the last one's."""
+    epoch = lambda agg: F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), agg("ts"))
+    first, last = events.agg(epoch(F.min), epoch(F.max)).first()
+    out = scratch_path(spark, "clock-batches")
+    q = poll_query(bounded_clock(spark, first, last, per_batch), out, scratch_path(spark, "clock-ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    return spark.read.parquet(out).drop("batch_id")

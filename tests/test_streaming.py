@@ -336,3 +336,16 @@ def test_a_delivery_that_failed_half_way_resends_only_the_rest(spark, tmp_path):
         assert sorted(again) == sorted([*sent, "p5"])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", retries)
+
+
+def test_a_bounded_clock_restarts_without_a_gap(spark):
+    first = 1_630_000_000
+    last = first + 60 * 99
+    out, ckpt = scratch_path(spark, "t-clock"), scratch_path(spark, "t-clock-ckpt")
+    _stop_after_first_batch(jobs.poll_query(jobs.bounded_clock(spark, first, last, 7), out, ckpt))
+    seen = spark.read.parquet(out).count()
+    q = jobs.poll_query(jobs.bounded_clock(spark, first, last, 7), out, ckpt)
+    q.processAllAvailable()
+    q.stop()
+    ticks = sorted(r["tick"] for r in spark.read.parquet(out).collect())
+    assert 0 < seen and len(ticks) == len(set(ticks)) == 100
