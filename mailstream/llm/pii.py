@@ -41,16 +41,20 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
-#: Identifier-like: a token of 6 or more characters that holds a digit.
-CANDIDATE = (r"(?:\G|(?<![A-Za-z0-9@._+/-]))(?=[A-Za-z@._+/-]{0,64}[0-9])"
-             r"[A-Za-z0-9+][A-Za-z0-9@._+/-]{4,62}[A-Za-z0-9](?![A-Za-z0-9@._+/-])")
+#: Identifier-like: a whole token of 6 or more characters that holds a digit
+#: and ends in a letter or digit. The runs are possessive: a token is read once
+#: however long it is.
+CANDIDATE = (r"(?:\G|(?<![A-Za-z0-9@._+/-]))(?=[A-Za-z@._+/-]*+[0-9])"
+             r"[A-Za-z0-9+][A-Za-z0-9@._+/-]{5,}+(?<=[A-Za-z0-9])")
 
 #: A pattern is accepted with this many distinct believed instances in this
 #: many documents, and this (smoothed) share of believed weight.
 PATTERN_SUPPORT = 8
 PATTERN_MIN = 0.85
 INSTANCE_MIN = 0.8
-ROUNDS = 3
+#: Confidence that all accepted patterns together may still gain when the
+#: rounds end.
+SETTLED = 1e-3
 
 
 def _digits(m: Column) -> Column:
@@ -168,8 +172,8 @@ def context_spans(found: DataFrame) -> DataFrame:
                    .select("pattern", "size"), "pii-patterns")
     graph = written(edges.join(live, "pattern").select("pattern", "m", "size"), "pii-graph")
     seeds = written(edges.filter("seed").select("m", F.lit(1.0).alias("score")).distinct(), "pii-seeds")
-    belief = seeds
-    for _ in range(ROUNDS):
+    belief, before = seeds, (0, 0.0)
+    while True:
         believed = F.sum((F.col("score") >= INSTANCE_MIN).cast("int"))
         scored = (graph.join(belief, "m").groupBy("pattern")
                   .agg((F.sum("score") / (F.first("size") + 1)).alias("conf"), believed.alias("support"))
@@ -178,6 +182,12 @@ def context_spans(found: DataFrame) -> DataFrame:
         either = graph.join(accepted, "pattern").groupBy("m").agg(
             (1 - F.exp(F.sum(F.log1p(-F.least("conf", F.lit(0.999)))))).alias("score"))
         belief = written(seeds.union(either).groupBy("m").agg(F.max("score").alias("score")), "pii-belief")
+        # belief only grows, so accepted patterns stay; the rounds end when none
+        # is new and what is known of the others has settled
+        n, conf = accepted.agg(F.count(F.lit(1)), F.coalesce(F.sum("conf"), F.lit(0.0))).first()
+        if n == before[0] and conf - before[1] < SETTLED:
+            break
+        before = (n, conf)
     new = (rows.filter("not seed").join(accepted, "pattern").join(belief.filter(F.col("score") >= INSTANCE_MIN), "m")
            .select("doc_id", "h", F.struct("s", F.lit(len(KINDS)).alias("k"), "e").alias("span")).distinct())
     return new.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("span")).alias("extra"))

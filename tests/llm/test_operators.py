@@ -315,6 +315,22 @@ def test_context_reaches_patterns_without_seeds(spark):
     assert all(got[4000 + j]["spans"] == "" for j in range(40))
 
 
+def test_context_of_many_generations_and_long_tokens(spark):
+    """Six patterns in a chain, each known only through instances of the one
+    before; tokens of 75 and 3,000 characters, the digit first or last."""
+    rows = [(i, f"on the node 10.{i // 40000}.{i // 200 % 200}.{i % 200} today") for i in range(3000)]
+    rows += [(10_000 + j, f"on the node 900-{j + 1000} today") for j in range(100)]
+    for k in range(5):
+        rows += [(20_000 + 1000 * k + j, f"a spare{k} unit 900-{j + 1000 + 2 * k} today") for j in range(102)]
+    long_ones = ["x" * 74 + "7", "7" + "y" * 74, "q" * 2999 + "1"]
+    rows += [(90_000 + j, f"on the node {t} today") for j, t in enumerate(long_ones)]
+    got = by_id(pii.op10_personal_data(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[20_000 + 1000 * k + j]["spans"] for k in range(5) for j in range(102))
+    seen = {r["doc_id"]: r["cand"] for r in pii.candidates(spark.createDataFrame(rows[-3:], "doc_id long, text string")).collect()}
+    assert [seen[90_000 + j][0]["m"] for j in range(3)] == long_ones
+    assert [seen[90_000 + j][0]["context"] for j in range(3)] == ["the node"] * 3
+
+
 def test_context_is_the_two_words_before_in_the_whole_text(spark):
     far = "x" * 100 + " " + "y" * 100
     texts = ["Open acct AB123456 ref CD987654", "the ids A10001, B20002, C30003", "see ids A10001,B20002,C30003",
