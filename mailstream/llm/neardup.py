@@ -16,9 +16,11 @@ Steps:
    nothing.
 3. A class's shingles that occur in another candidate bound every overlap it
    can have. Pairs out of reach by such exact bounds are never compared.
-4. Candidates. Each table bucket compares its members with one hub (the member
-   that shares most collections: a group's original rather than one of its
-   copies). Links are confirmed on full sets and joined to components. Buckets
+4. Candidates. Tables (u, v) are grouped by their u: a class is one row for
+   each u, and the key (u, v) is formed when two classes of a u meet, so the
+   256 keys of a class are never written out. Each bucket compares its members
+   with one hub (the member that shares most collections: a group's original
+   rather than one of its copies). Links are confirmed on full sets and joined to components. Buckets
    whose members still lie in several components go on. An overlap is at most
    the smaller count of frequent shingles (those of more than ``RARE``
    candidates) plus the shared rare ones: pairs that share rare shingles are
@@ -170,10 +172,18 @@ def _reach(bound_a: Column, bound_b: Column, a: Column, b: Column) -> Column:
 
 
 def _members(profiles: DataFrame) -> DataFrame:
-    """``(key, rep, n, bound, score, label)``: one row per table key of each
-    class; a class is its own label at first."""
-    return (profiles.withColumn("u", F.explode("us")).withColumn("v", F.explode("vs"))
-            .select(F.xxhash64("u", "v").alias("key"), "rep", "n", "bound", "score", F.col("rep").alias("label")))
+    """``(key, rep, n, bound, score, label)``: one row for each collection of
+    the first side that a class has; a class is its own label at first. A row
+    stands for the tables (u, v) of its u: ``_in_a_table`` forms the v part
+    for pairs only, so a class is 16 rows here and not 256."""
+    return profiles.select(F.explode("us").alias("key"), "rep", "n", "bound", "score", F.col("rep").alias("label"))
+
+
+def _in_a_table(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The ``(a, b)`` pairs, which share a u, that share a v as well, so some
+    table key (u, v)."""
+    vs = lambda p: sizes.select(F.col("rep").alias(p), F.col("vs").alias(f"{p}vs"))
+    return pairs.join(vs("a"), "a").join(vs("b"), "b").filter(F.arrays_overlap("avs", "bvs")).select("a", "b")
 
 
 def _hubs(members: DataFrame) -> DataFrame:
@@ -186,12 +196,14 @@ def _hubs(members: DataFrame) -> DataFrame:
                     F.col("h.bound").alias("hub_bound"), F.col("h.label").alias("hub_label")))
 
 
-def _hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Pairs of each bucket's hub with its members of other components."""
-    return (members.join(hubs.drop("size"), "key")
-            .filter((F.col("label") != F.col("hub_label"))
-                    & _reach(F.col("bound"), F.col("hub_bound"), F.col("n"), F.col("hub_n")))
-            .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+def _hub_pairs(members: DataFrame, hubs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of each bucket's hub with its members of other components that
+    share a table with it."""
+    met = (members.join(hubs.drop("size"), "key")
+           .filter((F.col("label") != F.col("hub_label"))
+                   & _reach(F.col("bound"), F.col("hub_bound"), F.col("n"), F.col("hub_n")))
+           .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    return _in_a_table(met, sizes)
 
 
 def _open_members(members: DataFrame, labels: DataFrame, used: DataFrame) -> DataFrame:
@@ -237,9 +249,8 @@ def _near_components(open_: DataFrame, texts: DataFrame) -> DataFrame:
 def _cross_pairs(open_: DataFrame, sizes: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """All pairs across components that share a table and could match: members
     outside the main component with members of another component (of ``near``
-    ones only, if given). Members meet by the collections of one side, 16 a
-    member instead of 256 tables, and a pair is made in the smallest one that
-    it shares, so once, however many tables hold it."""
+    ones only, if given). A pair is made in the smallest collection that it
+    shares, so once, however many tables hold it."""
     who = open_.groupBy("rep").agg(F.max("outside").alias("out"), F.max("label").alias("label"))
     m = written(who.join(sizes.select("rep", "n", "bound", "us", "vs"), "rep"), "nd-across")
     of = lambda p: [F.col("rep").alias(p), *[F.col(c).alias(p + c) for c in ("n", "bound", "label", "out", "us", "vs")],
@@ -329,7 +340,7 @@ def _links(docs: DataFrame, classes: DataFrame, several: DataFrame, percent: int
     sizes = _common_sizes(profiles, texts)
     members = _members(sizes)
     hubs = written(_hubs(members).filter("size > 1"), "nd-hubs")
-    tested = written(_hub_pairs(members, hubs), "nd-pairs")
+    tested = written(_hub_pairs(members, hubs, sizes), "nd-pairs")
     links = written(_confirm(tested, texts, percent), "nd-links")
     used = hubs.select("key", "hub")
     left = written(_open_members(members, components(links), used), "nd-left")
@@ -359,7 +370,7 @@ def _links(docs: DataFrame, classes: DataFrame, several: DataFrame, percent: int
             more = _cross_pairs(left, sizes, _near_components(left, still) if work > budget else None)
         else:  # one more hub for each open bucket
             hubs = written(_hubs(outside), "nd-hubs")
-            more = _hub_pairs(left, hubs)
+            more = _hub_pairs(left, hubs, sizes)
             used = written(used.union(hubs.select("key", "hub")), "nd-used")
         pairs = written(_without(more, tested), "nd-pairs")
         links = written(links.union(_confirm(pairs, texts, percent)), "nd-links")
