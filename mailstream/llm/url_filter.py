@@ -137,7 +137,8 @@ def train(labelled: DataFrame, steps: int = STEPS) -> list[float]:
 
 
 def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, url_col: str = "url", rules=RULES) -> DataFrame:
-    """All columns plus ``host, path, rule, score, verdict``; ``score`` is the
+    """All columns plus ``host, path, rule, score, verdict`` (columns of these
+    names, in any letter case, are replaced); ``score`` is the
     method's probability of block, given to every url."""
     weights = train(labelled if labelled is not None else labelled_urls(pages.sparkSession))
     names = [f"c{i}" for i in range(len(pages.columns))]
@@ -151,8 +152,8 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, url_col: str
         by_rule = F.when(F.col("rule") == rule, verdict).otherwise(by_rule)
     verdict = F.coalesce(by_rule, F.when(F.col("score") >= BLOCK_AT, "block").otherwise("allow"))
     out = d.withColumn("verdict", verdict)
-    own_names = [c for c in pages.columns if c not in ("host", "path", "rule", "score", "verdict")]
-    keep = [F.col(n).alias(c) for c, n in zip(pages.columns, names) if c in own_names]
+    added = {"host", "path", "rule", "score", "verdict"}
+    keep = [F.col(n).alias(c) for c, n in zip(pages.columns, names) if c.lower() not in added]
     return out.select(*keep, "host", "path", "rule", "score", "verdict")
 
 
