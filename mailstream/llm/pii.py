@@ -55,6 +55,9 @@ INSTANCE_MIN = 0.8
 #: Confidence that all accepted patterns together may still gain when the
 #: rounds end.
 SETTLED = 1e-3
+#: Elements folded in one block, and code points of a text cut from in one
+#: block; results do not depend on them.
+BLOCK, CUT = 256, 4096
 
 
 def _digits(m: Column) -> Column:
@@ -81,26 +84,43 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """``array<struct<piece, m>>``: each match with the text before it."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.arrays_zip(F.split(text, pattern, -1).alias("piece"), found.alias("m"))
+def _running(values: Column, start, step) -> Column:
+    """``step`` folded over an array: the value before each element, and the
+    last one. Two levels, blocks of ``BLOCK`` and the blocks' totals, so that
+    a text of a million matches does not copy its whole prefix for each."""
+    def walk(xs: Column, at) -> Column:
+        return F.aggregate(xs, F.array(at), lambda acc, x: F.array_append(acc, step(F.element_at(acc, -1), x)))
 
+    heads = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(BLOCK))
+    blocks = F.transform(heads, lambda i: F.slice(values, i, BLOCK))
+    before = walk(F.transform(blocks, lambda b: F.aggregate(b, start, step)), start)
+    inner = F.zip_with(blocks, F.slice(before, 1, F.size(heads)), lambda b, at: F.slice(walk(b, at), 1, F.size(b)))
+    return F.concat(F.flatten(inner), F.array(F.element_at(before, -1)))
 
-def _located(pairs: Column) -> Column:
-    """Add code point offsets to (piece, match) pairs; the last piece, after
-    the last match, is left out."""
-    kind = "array<struct<s:bigint,e:bigint,m:string>>"
-    walk = F.aggregate(
-        F.filter(pairs, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["piece"]) + F.length(x["m"])).cast("long").alias("at"),
-            F.array_append(acc["out"], F.struct(
-                (acc["at"] + F.length(x["piece"])).cast("long").alias("s"),
-                (acc["at"] + F.length(x["piece"]) + F.length(x["m"])).cast("long").alias("e"),
-                x["m"].alias("m"))).alias("out")))
-    return walk["out"]
+
+def _sums(values: Column) -> Column:
+    return _running(values, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _with_matches(d: DataFrame, pattern: str, name: str, some: Column) -> DataFrame:
+    """Add ``{name}_p``, the text before each match of ``_t`` (the last piece,
+    after the last match, is left out), ``{name}_m``, the matches, and their
+    code point offsets ``{name}_at`` (starts and ends alternate). Only texts
+    with ``some`` can match; the others are not scanned."""
+    t = F.when(some, F.col("_t")).otherwise("")
+    d = d.withColumn(f"{name}_m", F.regexp_extract_all(t, F.lit(pattern), F.lit(0)))
+    d = d.withColumn(f"{name}_p", F.slice(F.split(t, pattern, -1), F.lit(1), F.size(f"{name}_m")))
+    size = lambda x: F.length(x).cast("long")
+    both = F.flatten(F.zip_with(f"{name}_p", f"{name}_m", lambda p, m: F.array(size(p), size(m))))
+    d = d.withColumn(f"{name}_l", both)
+    return d.withColumn(f"{name}_at", F.slice(_sums(F.col(f"{name}_l")), F.lit(2), F.size(f"{name}_l")))
+
+
+def _located(name: str) -> Column:
+    """``array<struct<s,e,m>>`` of the columns that ``_with_matches`` adds."""
+    odd = lambda r: F.filter(f"{name}_at", lambda x, i: i % 2 == r)
+    ends = F.zip_with(odd(0), odd(1), lambda s, e: F.struct(s.alias("s"), e.alias("e")))
+    return F.zip_with(ends, F.col(f"{name}_m"), lambda x, m: F.struct(x["s"].alias("s"), x["e"].alias("e"), m.alias("m")))
 
 
 def _last_words(text: Column, words: str) -> Column:
@@ -109,36 +129,33 @@ def _last_words(text: Column, words: str) -> Column:
     return F.reverse(F.regexp_extract(F.reverse(text), rf"^\s*+({words})", 1))
 
 
-def _contexts(pairs: Column) -> Column:
-    """The two words before each match of (piece, match) pairs: ``tail`` holds
-    the last words so far, the match before as its shape."""
-    full = lambda acc, x: F.concat(acc["tail"], x["piece"])
-    walk = F.aggregate(
-        F.filter(pairs, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit("").alias("tail"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.struct(
-            F.concat(_last_words(full(acc, x), r"\S++(?:\s++\S++)?"), F.lit(" "), _shape(x["m"])).alias("tail"),
-            F.array_append(acc["out"], F.lower(_last_words(full(acc, x), r"\S++\s++\S++"))).alias("out")))
-    return walk["out"]
+def _contexts(pieces: Column, matches: Column) -> Column:
+    """The two words before each match, a match before counting as its shape.
+    A shape starts a word, so the piece before, and one word of what precedes
+    the match before it, hold them."""
+    def after(marks: Column) -> Column:     # of the element before; the first has none
+        return F.slice(F.concat(F.array(F.lit("")), marks), F.lit(1), F.size(matches))
+
+    shapes = F.transform(matches, _shape)
+    word = F.zip_with(after(shapes), pieces, lambda m, p: _last_words(F.concat(m, p), r"\S++"))
+    heads = F.zip_with(word, shapes, lambda w, m: F.concat(w, F.lit(" "), m))
+    return F.zip_with(after(heads), pieces, lambda h, p: F.lower(_last_words(F.concat(h, p), r"\S++\s++\S++")))
 
 
 def _base_spans(kind: str) -> Column:
     """Valid matches of a kind as ``array<struct<s,k,e>>``."""
-    need = _NEEDS[kind]
-    some = F.col("_t").rlike("[0-9]") if need is None else F.contains("_t", F.lit(need))
-    hit = F.filter(_located(_matches(F.col("_t"), PATTERNS[kind])), lambda x: _valid(kind, x["m"]))
-    spans = F.transform(hit, lambda x: F.struct(x["s"].alias("s"), F.lit(KINDS.index(kind)).alias("k"),
-                                                x["e"].alias("e")))
-    return F.when(some, spans).otherwise(F.array().cast("array<struct<s:bigint,k:int,e:bigint>>"))
+    hit = F.filter(_located(f"_{kind}"), lambda x: _valid(kind, x["m"]))
+    return F.transform(hit, lambda x: F.struct(x["s"].alias("s"), F.lit(KINDS.index(kind)).alias("k"), x["e"].alias("e")))
 
 
 def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``base``: the spans of all base kinds, by start then kind."""
     d = docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit("")))
     for k in KINDS:
-        d = d.withColumn(f"_{k}", _base_spans(k))
-    return d.withColumn("base", F.sort_array(F.concat(*[F.col(f"_{k}") for k in KINDS]))) \
-            .drop("_t", *[f"_{k}" for k in KINDS])
+        some = F.col("_t").rlike("[0-9]") if _NEEDS[k] is None else F.contains("_t", F.lit(_NEEDS[k]))
+        d = _with_matches(d, PATTERNS[k], f"_{k}", some).withColumn(f"_{k}", _base_spans(k))
+    d = d.withColumn("base", F.sort_array(F.concat(*[F.col(f"_{k}") for k in KINDS])))
+    return d.select(*docs.columns, "base")
 
 
 def _shape(m: Column) -> Column:
@@ -148,21 +165,38 @@ def _shape(m: Column) -> Column:
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``cand``: identifier-like tokens, ``array<struct<s,e,m,context>>``."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    pairs = _matches(t, CANDIDATE)
-    found = F.zip_with(_located(pairs), _contexts(pairs), lambda x, c: F.struct(
+    d = _with_matches(docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit(""))), CANDIDATE, "_c",
+                      F.col("_t").rlike("[0-9]"))
+    found = F.zip_with(_located("_c"), _contexts(F.col("_c_p"), F.col("_c_m")), lambda x, c: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.lower(x["m"]).alias("m"), c.alias("context")))
-    return docs.withColumn("cand", F.when(t.rlike("[0-9]"), found))
+    return d.withColumn("cand", found).select(*docs.columns, "cand")
+
+
+def _with_seeds(found: DataFrame) -> DataFrame:
+    """``found`` with ``seed`` in each of ``cand``: whether it meets a base
+    span. Base spans by start and candidates by end are walked together: the
+    largest end of the spans that start before a candidate's end tells."""
+    steps = F.sort_array(F.concat(
+        F.transform("base", lambda b: F.struct(b["s"].alias("pos"), F.lit(1).alias("base"), b["e"].alias("v"))),
+        F.transform("cand", lambda c: F.struct(c["e"].alias("pos"), F.lit(0).alias("base"), c["s"].alias("v")))))
+    d = found.withColumn("_steps", steps)
+    d = d.withColumn("_ends", F.transform("_steps", lambda x: F.when(x["base"] == 1, x["v"]).otherwise(F.lit(0).cast("long"))))
+    d = d.withColumn("_most", _running(F.col("_ends"), F.lit(0).cast("long"), lambda a, e: F.greatest(a, e)))
+    met = F.zip_with("_steps", F.slice("_most", F.lit(1), F.size("_steps")),
+                     lambda x, most: F.when(x["base"] == 0, most > x["v"]))
+    seeds = F.filter(met, lambda x: x.isNotNull())
+    cand = F.zip_with("cand", seeds, lambda c, seed: F.struct(*[c[k].alias(k) for k in ("s", "e", "m", "context")],
+                                                              seed.alias("seed")))
+    return d.select("doc_id", "h", cand.alias("cand"))
 
 
 def context_spans(found: DataFrame) -> DataFrame:
     """Bootstrap over ``found(doc_id, h, base, cand)``: ``(doc_id, h, extra)``
     with the spans that accepted patterns add."""
-    rows = found.select("doc_id", "h", "base", F.explode("cand").alias("c"))
-    meets = F.exists("base", lambda b: (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
+    rows = _with_seeds(found).select("doc_id", "h", F.explode("cand").alias("c"))
     rows = written(rows.select("doc_id", "h", F.col("c.s").alias("s"), F.col("c.e").alias("e"), F.col("c.m").alias("m"),
                                F.concat_ws(" ", F.col("c.context"), _shape(F.col("c.m"))).alias("pattern"),
-                               meets.alias("seed"))
+                               F.col("c.seed").alias("seed"))
                    .filter(F.length(F.col("c.context")) > 0), "pii-instances")
     edges = written(rows.groupBy("pattern", "m").agg(F.max("seed").alias("seed"),
                                                      F.count_distinct("doc_id").alias("docs")), "pii-edges")
@@ -235,18 +269,21 @@ def redact(docs: DataFrame) -> DataFrame:
     own = docs.toDF(*names)
     own = own.withColumn("doc_id", F.col(at["doc_id"]))
     found = find(own, at["text"])
-    t = at["text"]
+    # the text in blocks of CUT code points: a piece is cut from those it touches
+    t, long = at["text"], F.lit(0).cast("long")
+    found = found.withColumn("_b", F.regexp_extract_all(F.col(t), F.lit(rf"(?s).{{1,{CUT}}}"), F.lit(0)))
+    found = found.withColumn("_ends", F.transform("spans", lambda x: x["e"]))
+    found = found.withColumn("_at", _running(F.col("_ends"), long, lambda a, e: F.greatest(a, e)))
+
+    def cut(s: Column, e: Column) -> Column:
+        first = F.floor(s / CUT)
+        touched = F.slice("_b", (first + 1).cast("int"), (F.floor(e / CUT) - first + 1).cast("int"))
+        return F.substr(F.array_join(touched, ""), (s - first * CUT + 1).cast("int"), (e - s).cast("int"))
+
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS + ["context"]])
-    walk = F.aggregate(
-        "spans", F.struct(F.lit(0).cast("long").alias("at"), F.col(t).alias("rest"), F.lit("").alias("out")),
-        lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
-            x["e"].alias("at"), F.substr(acc["rest"], (x["e"] - acc["at"] + 1).cast("int")).alias("rest"),
-            F.concat(acc["out"], F.left(acc["rest"], (x["s"] - acc["at"]).cast("int")),
-                     F.element_at(tags, x["k"] + 1)).alias("out")))
-        .when(x["e"] > acc["at"], F.struct(
-            x["e"].alias("at"), F.substr(acc["rest"], (x["e"] - acc["at"] + 1).cast("int")).alias("rest"),
-            acc["out"].alias("out")))
-        .otherwise(acc))
-    done = found.withColumn("_r", walk)
-    clean = F.when(F.size("spans") > 0, F.concat("_r.out", "_r.rest")).otherwise(F.col(t))
-    return done.withColumn(t, clean).select(*names).toDF(*docs.columns)
+    # a span that starts before the last end is part of the mark before it
+    parts = F.zip_with("spans", F.slice("_at", F.lit(1), F.size("spans")), lambda x, at: F.when(
+        x["s"] >= at, F.concat(cut(at, x["s"]), F.element_at(tags, x["k"] + 1))).otherwise(""))
+    rest = cut(F.element_at("_at", -1), F.length(t).cast("long"))
+    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(F.col(t))
+    return found.withColumn(t, clean).select(*names).toDF(*docs.columns)
