@@ -193,7 +193,9 @@ def _with_seeds(found: DataFrame) -> DataFrame:
 def context_spans(found: DataFrame) -> DataFrame:
     """Bootstrap over ``found(doc_id, h, base, cand)``: ``(doc_id, h, extra)``
     with the spans that accepted patterns add."""
-    rows = _with_seeds(found).select("doc_id", "h", F.explode("cand").alias("c"))
+    # outer: a plain explode adds a filter on the array's size, which would
+    # carry all of the array's making into its own blocks
+    rows = _with_seeds(found).select("doc_id", "h", F.explode_outer("cand").alias("c"))
     rows = written(rows.select("doc_id", "h", F.col("c.s").alias("s"), F.col("c.e").alias("e"), F.col("c.m").alias("m"),
                                F.concat_ws(" ", F.col("c.context"), _shape(F.col("c.m"))).alias("pattern"),
                                F.col("c.seed").alias("seed"))
