@@ -345,15 +345,15 @@ def test_context_is_the_two_words_before_in_the_whole_text(spark):
 
 def test_a_text_with_many_identifiers(spark, monkeypatch):
     """Offsets, contexts and cuts go through blocks: results equal a plain
-    walk at any block size, and 100,000 addresses in one text take no squares."""
-    many = " ".join(f"host h{i % 7} 10.{i % 256}.{i // 256 % 256}.{i % 199}," for i in range(100_000))
+    walk at any block size, and 30,000 addresses in one text take no squares."""
+    many = " ".join(f"host h{i % 7} 10.{i % 256}.{i // 256 % 256}.{i % 199}," for i in range(30_000))
     some = " ".join(f"é mail u{i}@ex.org ip 10.0.{i}.7 \U0001f600" for i in range(40))
     d = spark.createDataFrame([(1, many), (2, some)], "doc_id long, text string")
     whole = pii.redact(d).collect()
     assert {r["doc_id"]: r["text"] for r in whole}[1] == re.sub(r"10\.\d+\.\d+\.\d+", "[IP]", many)
     assert {r["doc_id"]: r["text"] for r in whole}[2] == re.sub(r"u\d+@ex\.org", "[EMAIL]", re.sub(r"10\.\d+\.\d+\.7", "[IP]", some))
     got = by_id(pii.op10_personal_data(d))
-    assert got[1]["n_ip"] == 100_000 and got[2]["n_ip"] == got[2]["n_email"] == 40
+    assert got[1]["n_ip"] == 30_000 and got[2]["n_ip"] == got[2]["n_email"] == 40
     want = sorted((m.start(), k, m.end()) for k, p in (("email", r"u\d+@ex\.org"), ("ip", r"10\.\d+\.\d+\.7"))
                   for m in re.finditer(p, some))
     assert got[2]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, k, e in want).encode()).hexdigest()
