@@ -545,3 +545,10 @@ def test_pipeline(spark):
     for r in kept[2].collect():
         assert not spans_of(PII, lambda k, m: pii_ok(k, m.group()), r["text"])
     assert kept[4].count() == kept[3].count() > 0
+
+
+def test_url_columns_that_clash_in_letter_case(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", "h", "r")], "page_id long, url string, Host string, Rule string")
+    out = url_filter.judge_urls(pages)
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "score", "verdict"]
+    assert out.first()["host"] == "a.net" and out.first()["rule"] == "net/"
