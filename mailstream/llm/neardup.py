@@ -119,14 +119,17 @@ def _candidate_texts(own: DataFrame, profiles: DataFrame, several: DataFrame) ->
 _SHINGLES = T.StructType([T.StructField("rep", T.LongType()), T.StructField("s", T.ArrayType(T.LongType()))])
 
 
-def _shingle_rows(texts: DataFrame) -> DataFrame:
-    """``(s, rep)``: every shingle of every candidate class, once."""
+def _shingle_rows(texts: DataFrame, *more: str) -> DataFrame:
+    """``(s, rep)`` and the number columns ``more`` of ``texts``: every shingle
+    of every candidate class, once."""
     def rows(batch):
         from mailstream.llm.shingles import shingle_set
         for r in batch:
-            yield {"rep": r["doc_id"], "s": shingle_set(r["text"]).view("int64").tolist()}
+            yield {"rep": r["doc_id"], "s": shingle_set(r["text"]).view("int64").tolist(), **{m: r[m] for m in more}}
 
-    of = lambda t: map_rows(t.select("doc_id", "text"), _SHINGLES, rows).select(F.explode("s").alias("s"), "rep")
+    schema = T.StructType([*_SHINGLES, *[T.StructField(m, T.LongType()) for m in more]])
+    of = lambda t: map_rows(t.select("doc_id", "text", *more), schema, rows).select(
+        F.explode("s").alias("s"), "rep", *more)
     return of(texts.filter(~F.col("again"))).union(of(texts.filter("again")).distinct())
 
 
@@ -224,47 +227,56 @@ def _open_members(members: DataFrame, labels: DataFrame, used: DataFrame) -> Dat
     return m.join(open_, "key").withColumn("outside", (F.col("label") != F.col("main")) & fits)
 
 
-def _near_components(open_: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(a, bl)``: members outside and the components of their buckets that
-    they could match by frequent shingles. One of ``WIDE`` members is left out
-    when the shingles a member shares with any of them are too few; small
-    components all stay."""
-    seen = _shingle_rows(texts)
-    often = written(seen.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > RARE).select("s"), "nd-often")
-    who = written(open_.select("rep", "n", "label").distinct(), "nd-who")
-    parts = written(who.groupBy(F.col("label").alias("bl")).agg(F.min("n").alias("least"),
-                                                                (F.count(F.lit(1)) >= WIDE).alias("wide")), "nd-parts")
+def _near_components(open_: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(bl)``: the components of ``WIDE`` and more open members, and ``(a,
+    bl)``: the members outside that could match one of them by frequent
+    shingles, because those that they share with any of its members are not too
+    few. Shingles are counted by component before anything is joined with
+    them."""
+    who = open_.groupBy("rep").agg(F.max("n").alias("n"), F.max("label").alias("label"), F.max("outside").alias("out"))
+    who = written(who, "nd-who")
+    wide = written(who.groupBy(F.col("label").alias("bl")).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("c"))
+                   .filter(F.col("c") >= WIDE).drop("c"), "nd-wide")
+    held = open_.join(wide, F.col("label") == F.col("bl"), "left_semi").select("key", F.col("label").alias("bl")).distinct()
     met = open_.filter("outside").select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    met = met.join(open_.select("key", F.col("label").alias("bl")).distinct(), "key").filter("al <> bl")
-    asked = written(met.select("a", "an", "bl").distinct().join(parts, "bl"), "nd-asked")
-    rows = written(seen.join(often, "s").join(who.select("rep", "label"), "rep"), "nd-frequent")
-    held = rows.join(parts.filter("wide"), F.col("label") == F.col("bl"), "left_semi").select("s", F.col("label").alias("bl"))
-    shared = (rows.select("s", F.col("rep").alias("a"), F.col("label").alias("al")).join(held.distinct(), "s")
-              .filter("al <> bl").groupBy("a", "bl").agg(F.count(F.lit(1)).alias("shared")))
+    asked = written(met.join(held, "key").filter("al <> bl").select("a", "an", "bl").distinct().join(wide, "bl"), "nd-asked")
+    label = who.select("rep", F.col("label").cast("long").alias("label"))
+    by_part = written(_shingle_rows(texts.join(label, texts["doc_id"] == label["rep"], "left").drop("rep"), "label")
+                      .groupBy("s", "label").agg(F.count(F.lit(1)).alias("k")), "nd-by-component")
+    often = by_part.groupBy("s").agg(F.sum("k").alias("k")).filter(F.col("k") > RARE).select("s")
+    held = (by_part.select("s", F.col("label").alias("bl")).join(wide.select("bl"), "bl", "left_semi")
+            .join(often, "s", "left_semi"))
+    asking = asked.select(F.col("a").alias("_a")).distinct()
+    own = _shingle_rows(texts.join(asking, texts["doc_id"] == asking["_a"], "left_semi")).withColumnRenamed("rep", "a")
+    shared = own.join(written(held, "nd-held"), "s").groupBy("a", "bl").agg(F.count(F.lit(1)).alias("shared"))
     one = F.coalesce("shared", F.lit(0))
     reach = _reach(one, one, F.col("an"), F.greatest("least", F.ceil(F.col("an") * PERCENT / 100)))
-    return written(asked.join(shared, ["a", "bl"], "left").filter(~F.col("wide") | reach).select("a", "bl"), "nd-near")
+    return wide.select("bl"), written(asked.join(shared, ["a", "bl"], "left").filter(reach).select("a", "bl"), "nd-near")
 
 
-def _cross_pairs(open_: DataFrame, sizes: DataFrame, near: DataFrame | None = None) -> DataFrame:
+def _cross_pairs(open_: DataFrame, sizes: DataFrame,
+                 near: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """All pairs across components that share a table and could match: members
-    outside the main component with members of another component (of ``near``
-    ones only, if given). A pair is made in the smallest collection that it
-    shares, so once, however many tables hold it."""
+    outside the main component with members of another component (of a wide
+    one only where ``near`` says so, if given). A pair is made in the smallest
+    collection that it shares, so once, however many tables hold it."""
     who = open_.groupBy("rep").agg(F.max("outside").alias("out"), F.max("label").alias("label"))
     m = written(who.join(sizes.select("rep", "n", "bound", "us", "vs"), "rep"), "nd-across")
     of = lambda p: [F.col("rep").alias(p), *[F.col(c).alias(p + c) for c in ("n", "bound", "label", "out", "us", "vs")],
                     F.explode("us").alias("u")]
     x, y = m.filter("out").select(*of("a")), m.select(*of("b"))
-    if near is not None:
-        x = x.join(near, "a")
-    once = (F.array_min(F.array_intersect("aus", "bus")) == x["u"]) & F.arrays_overlap("avs", "bvs")
     fits = (F.col("alabel") != F.col("blabel")) & _reach(F.col("abound"), F.col("bbound"), F.col("an"), F.col("bn"))
-    if near is not None:
-        fits = (F.col("bl") == F.col("blabel")) & fits
-    met = x.join(y, (x["u"] == y["u"]) & fits & (~F.col("bout") | (F.col("a") < F.col("b")) | F.lit(near is not None)) & once)
-    p = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return p if near is None else p.distinct()
+
+    def meet(x, y, when):
+        once = (F.array_min(F.array_intersect("aus", "bus")) == x["u"]) & F.arrays_overlap("avs", "bvs")
+        return x.join(y, (x["u"] == y["u"]) & fits & when & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    if near is None:
+        return meet(x, y, ~F.col("bout") | (F.col("a") < F.col("b")))
+    wide, reach = near
+    is_wide = F.col("blabel") == F.col("bl")
+    small = meet(x, y.join(wide, is_wide, "left_anti"), F.lit(True))
+    return small.union(meet(x.join(reach, "a"), y.join(wide, is_wide, "left_semi"), is_wide)).distinct()
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
