@@ -470,19 +470,43 @@ def test_quality_without_labels(spark, docs):
     assert {r["score"] for r in quality.score(docs, model).collect()} == {0.5}
 
 
-def test_transcript_roles(spark):
+def test_transcript_turns_and_roles(spark):
+    from pyspark.sql import functions as F
     conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
-    model = transcripts.train(conv)
-    got = transcripts.decode(transcripts.raw_transcript(conv), model, span=3)     # several levels
-    whole = transcripts.decode(transcripts.raw_transcript(conv), model)
-    key = lambda r: (r["conv_id"], r["turn"])
-    a, b = {key(r): r["role"] for r in got.collect()}, {key(r): r["role"] for r in whole.collect()}
-    assert a == b
-    true = {key(r): r["role"] for r in conv.collect()}
-    assert sum(a[k] == true[k] for k in true) / len(true) > 0.95
-    odd = spark.createDataFrame([(None, 0, "user", "hi"), (None, None, None, None), (1, 0, "user", "hi"), (1, 0, "user", "hi")],
-                                "conv_id long, turn int, role string, text string")
-    assert transcripts.decode(transcripts.raw_transcript(odd), model).count() >= 4
+    even = F.pmod(F.xxhash64("conv_id"), F.lit(2)) == 0
+    model, held = transcripts.train(conv.filter(even)), conv.filter(~even)
+    raw = transcripts.raw_transcript(held)
+    whole = [tuple(r) for r in transcripts.decode(raw, model).collect()]
+    assert sorted(map(str, whole)) == sorted(map(str, (tuple(r) for r in transcripts.decode(raw, model, span=3).collect())))
+    true = {(r["conv_id"], r["role"], r["text"].rstrip("\n")) for r in held.collect()}
+    found = {(c, role, body) for c, _, role, body in whole}
+    hit = len(true & found)
+    print("turns", len(true), "found", len(found), "whole turns right", hit)
+    assert hit / len(true) > 0.6 and hit / len(found) > 0.6
+    # one block with several speakers; a marker within a line is text
+    text = "Human: how are you?\nAssistant: well, and\nHuman: is no marker of mine\nAssistant: so AI: it is"
+    one = spark.createDataFrame([(1, 0, text)], "conv_id long, turn int, block string")
+    got = sorted(tuple(r)[1:] for r in transcripts.decode(one, model).collect())
+    assert got == [(0, "user", "how are you?"), (1, "assistant", "well, and"), (2, "user", "is no marker of mine"),
+                   (3, "assistant", "so AI: it is")]
+    schema = "conv_id long, turn int, role string, text string, Role string"
+    with_extra = spark.createDataFrame([(None, 0, "user", "hi", "x"), (None, None, None, None, None), (1, 0, "user", "hi", "x"),
+                                        (1, 0, "user", "hi", "x")], schema)
+    assert transcripts.decode(transcripts.raw_transcript(with_extra), model).count() >= 2
+    assert transcripts.train(with_extra)["start"]
+    none = spark.createDataFrame([], schema)
+    assert transcripts.decode(transcripts.raw_transcript(none), transcripts.train(none)).count() == 0
+
+
+def test_viterbi_against_enumeration():
+    import itertools
+
+    import numpy as np
+    mats = np.random.default_rng(5).normal(size=(5, 3, 3))
+    for first, last in ((None, None), (1, None), (2, 0)):
+        value = {p: sum(m[a, b] for m, a, b in zip(mats, (first or 0, *p), p)) for p in itertools.product(range(3), repeat=5)
+                 if last is None or p[-1] == last}
+        assert tuple(transcripts.best_path(mats, first, last)) == max(value, key=value.get)
 
 
 def test_transcript_spans_hold_few_rows_whatever_ties(spark, monkeypatch):
@@ -490,7 +514,7 @@ def test_transcript_spans_hold_few_rows_whatever_ties(spark, monkeypatch):
     model = transcripts.train(conv)
     rows = [(None, None, "Human: hi?")] * 30 + [(None, 4, f"so {i}") for i in range(30)] + [(1, 0, "[A] x")] * 9
     blocks = spark.createDataFrame(rows, "conv_id long, turn int, block string").repartition(3)
-    whole = transcripts.decode(blocks, model)
+    whole = sorted(map(str, transcripts.decode(blocks, model).collect()))
     fold, walk = transcripts._fold, transcripts._walk
 
     def small(fn):
@@ -498,14 +522,9 @@ def test_transcript_spans_hold_few_rows_whatever_ties(spark, monkeypatch):
             assert len(held) <= 4, len(held)
             return fn(held)
         return of
-    expected = sorted(map(str, whole.select("conv_id", "turn", "body").collect()))
-    roles = sorted(map(str, whole.collect()))
     monkeypatch.setattr(transcripts, "_fold", small(fold))
     monkeypatch.setattr(transcripts, "_walk", small(walk))
-    got = transcripts.decode(blocks, model, span=4)
-    assert got.count() == len(rows)
-    assert sorted(map(str, got.select("conv_id", "turn", "body").collect())) == expected
-    assert sorted(map(str, got.collect())) == roles
+    assert sorted(map(str, transcripts.decode(blocks, model, span=4).collect())) == whole
 
 
 def test_empty_tables(spark, empty):
