@@ -51,7 +51,7 @@ def raw_transcript(conversations: DataFrame, *keep: str) -> DataFrame:
     marker, and every second style has an empty line after a turn. Roles are not
     kept, unless named in ``keep``."""
     r = only(conversations, "conv_id", "turn", "role", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    style = F.pmod(F.xxhash64("conv_id", F.lit(2)), F.lit(4))        # not the hash that picks training conversations
     lost = F.pmod(F.xxhash64("conv_id", "turn", F.lit(1)), F.lit(3)) == 0
     mark = F.lit("")
     for role, marks in MARKERS.items():
