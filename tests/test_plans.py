@@ -74,3 +74,12 @@ def test_a_page_is_parsed_once_and_nothing_is_sorted_to_be_grouped(spark, sf_sma
     df = queries()[name](spark, sf_small)
     assert not re.search(r"\) SortAggregate", final_plan(df))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+
+
+def test_steps_are_rendered_before_they_are_grouped(spark, sf_small):
+    """The text of a step is a compiled column, not an argument that the
+    aggregate interprets row by row."""
+    from mailstream.plans.queries import rendered_pages
+    plan = rendered_pages(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.split("\n") if "Aggregate [page" in line and "okey" in line]
+    assert grouped and not any("entreeMachine" in line for line in grouped)
