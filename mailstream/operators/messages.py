@@ -17,7 +17,7 @@ from mailstream.functions.text import pmod_partition, printf_json
 from mailstream.operators import paging
 from mailstream.operators.feed import classes, parse_feed, parse_header, pick
 from mailstream.operators.parcels import (
-    li_lookups, parcel_columns, parcel_json, parcel_key, step_array, step_columns, step_id,
+    ENTRY_LK, entry_lookups, li_lookups, parcel_columns, parcel_json, parcel_key, step_array, step_columns, step_id,
 )
 
 # Topic names.
@@ -80,29 +80,36 @@ def probe_windows(windows: DataFrame, fetch: Callable[[DataFrame], DataFrame],
                     F.when(F.col("cause").isNull(), total).cast("long").alias("total"), "cause"))
 
 
-def page_steps(entries: Column) -> Column:
-    """All steps of a page in document order, as ``(key, parent, _k, li)``;
-    ``parent`` holds the entry's own fields."""
-    def of(e: Column) -> Column:
-        parent = F.struct(*[c.alias(n) for n, c in parcel_columns(e).items()])
-        title = e["title"]["div"]["span"]
-        isie = pick(title, classes(title), "id")
+def with_page_steps(pages: DataFrame) -> DataFrame:
+    """Add ``_steps``, all steps of a page in document order as ``(key, e, _k,
+    li)``, and ``_parents``, the entries' own fields; ``e`` is a step's entry
+    there (0-based). An entry's fields are made once, not for each step."""
+    looked = pages.withColumn("_looked", F.transform("entries", lambda e: F.struct(
+        *[c.alias(n) for n, c in entry_lookups(e).items()])))
+
+    def parent(e: Column, i: Column) -> Column:
+        found = F.get(F.col("_looked"), i)
+        return F.struct(*[c.alias(n) for n, c in parcel_columns(e, {n: found[n] for n in ENTRY_LK}).items()])
+
+    def of(e: Column, i: Column) -> Column:
+        isie = F.get(F.col("_parents"), i)["isie"]
         return F.transform(step_array(e), lambda s: F.struct(
-            parcel_key(isie, step_id(s["_k"], s["li"])).alias("key"), parent.alias("parent"), s["_k"].alias("_k"), s["li"].alias("li")))
+            parcel_key(isie, step_id(s["_k"], s["li"])).alias("key"), i.alias("e"), s["_k"].alias("_k"), s["li"].alias("li")))
 
-    return F.flatten(F.transform(entries, of))
+    return (looked.withColumn("_parents", F.transform("entries", parent))
+            .withColumn("_steps", F.flatten(F.transform("entries", of))).drop("_looked"))
 
 
 def last_places(steps: Column) -> Column:
     """Places (0-based, ascending) of the last step of every key of a page:
     places sorted by key, of which those stay that another key follows."""
-    by_key = F.array_sort(F.transform(steps, lambda s, i: F.struct(s["key"].alias("key"), i.alias("i"))))
+    by_key = F.sort_array(F.transform(steps, lambda s, i: F.struct(s["key"].alias("key"), i.alias("i"))))
     ends = F.zip_with(by_key, F.slice(by_key, 2, F.greatest(F.size(by_key), F.lit(1))),
                       lambda a, b: F.when(b.isNull() | (a["key"] != b["key"]), a["i"]))
-    return F.array_sort(F.filter(ends, lambda i: i.isNotNull()))
+    return F.sort_array(F.filter(ends, lambda i: i.isNotNull()))
 
 
-def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
+def page_messages(fetched: DataFrame, dedupe: bool = True, failed_only: bool = False) -> DataFrame:
     """Fetched pages ``(url, status, body)`` -> messages
     ``(topic, key, value, reason, url)``.
 
@@ -116,23 +123,34 @@ def page_messages(fetched: DataFrame, dedupe: bool = True) -> DataFrame:
     Narrow: a page is parsed once, the last step of each of its keys is chosen
     inside the page's own row by sorting its keys, and only the survivors
     become rows and JSON. A URL fetched twice gives its messages twice, as two
-    responses do. Failed pages ride the same explode as one row.
+    responses do. Failed pages ride the same explode as one row. The lane is
+    read off the exploded step, so a filter on it stays above the explode and
+    does not repeat the parse below it.
+
+    ``failed_only`` gives the catch topic's messages alone: every page is
+    checked as a whole, but no entry is built.
     """
     st = F.col("status")
     pages = fetched.withColumn("body", F.when(st == 200, F.col("body")))
     failed = F.when(st.isNull() | (st != 200), F.concat(F.lit("http_"), F.coalesce(st.cast("string"), F.lit("none"))))
-    parsed = parse_feed(pages).withColumn("reason", failed.when(~F.col("parse_ok"), F.lit("parse_error")))
-    whole = parsed.select("url", "reason", F.when(F.col("reason").isNull(), page_steps(F.col("entries"))).alias("_steps"))
+    reason = failed.when(~F.col("parse_ok"), F.lit("parse_error"))
+    if failed_only:
+        # the reason is made twice by a filter on it: once for the rows that stay
+        bad = parse_header(pages).withColumn("reason", reason).filter(F.col("reason").isNotNull())
+        return bad.select(F.lit(CATCH_URLS_TOPIC).alias("topic"), F.col("url").alias("key"), F.col("url").alias("value"), "reason", "url")
+    parsed = parse_feed(pages).withColumn("reason", reason)
+    whole = with_page_steps(parsed.select("url", "reason", F.when(F.col("reason").isNull(), F.col("entries")).alias("entries")))
     if dedupe:
         whole = whole.withColumn("_last", last_places(F.col("_steps")))
         kept = F.transform("_last", lambda i: F.get(F.col("_steps"), i))
     else:
         kept = F.col("_steps")
+    kept = F.transform(kept, lambda s: F.struct(*[s[c].alias(c) for c in ("key", "_k", "li")], F.get(F.col("_parents"), s["e"]).alias("parent")))
     rows = (whole.select("url", "reason", F.explode_outer(kept).alias("_s"))
             .filter(F.col("reason").isNotNull() | F.col("_s").isNotNull())
-            .select("url", "reason", "_s.key", "_s._k", "_s.li", "_s.parent.*"))
+            .select("url", "reason", F.col("_s").isNotNull().alias("_ok"), "_s.key", "_s._k", "_s.li", "_s.parent.*"))
     parcel = step_columns(rows.withColumns(li_lookups(F.col("li"))))
-    ok = F.col("reason").isNull()
+    ok = F.col("_ok")
     return parcel.select(F.when(ok, F.lit(PARCELS_TOPIC)).otherwise(F.lit(CATCH_URLS_TOPIC)).alias("topic"),
                          F.when(ok, F.col("key")).otherwise(F.col("url")).alias("key"),
                          F.when(ok, parcel_json(parcel)).otherwise(F.col("url")).alias("value"), "reason", "url")
