@@ -365,3 +365,15 @@ def test_the_failed_lane_alone_equals_the_failed_lane_of_all(spark):
     whole = msg.page_messages(df).filter(F.col("topic") == msg.CATCH_URLS_TOPIC)
     assert sorted(msg.page_messages(df, failed_only=True).collect()) == sorted(whole.collect())
     assert whole.count() == 4 and msg.page_messages(df).count() == 6
+
+
+def test_smaller_schemas_give_the_same_ids_and_counts(spark):
+    body = feed(entry("S1", machines=[machine(), machine()], manuals=[manual()], addresses=2), entry("S2"),
+                entry("S3", manuals=[manual()]).replace("<li>", "<li/><li></li><li>text</li><li>", 1))
+    df = pages(spark, body, "<feed><entry>cut")
+    isie = fd.first_by_class(F.col("entry.title.div.span"), "id")
+    ids = lambda ents: sorted(ents.select("url", "entry_pos", isie.alias("isie")).collect())
+    assert ids(P.key_entries(df, schema=fd.TITLE_ENTRY)) == ids(P.entries(df)) and len(ids(P.entries(df))) == 3
+    want = sorted(P.treatment_counts(P.entries(df)).collect())
+    assert sorted(P.treatment_counts(P.key_entries(df, schema=fd.LIST_ENTRY)).collect()) == want
+    assert [r["n_manual"] for r in want] == [1, 0, 4]

@@ -96,3 +96,11 @@ def test_a_filter_on_the_lane_does_not_repeat_the_parse(spark, sf_small, name):
         assert "StructField(entry" not in plan      # checked as a whole, nothing built
     else:
         assert plan.count("from_xml(") == 1
+
+
+@pytest.mark.parametrize("name,absent", [("entry_positions", "StructField(content"), ("treatment_counts", "StructField(_VALUE,StringType,true)),true),true),StructField(div")])
+def test_readers_of_ids_and_counts_build_no_steps(spark, sf_small, name, absent):
+    plan = queries()[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    parse = next(p for p in re.findall(r"from_xml\(([^\n]*)", plan) if "StructField(title" in p)
+    assert absent not in parse
+    assert "StructField(div,ArrayType(StructType(StructField(_class" not in parse
