@@ -76,15 +76,6 @@ def test_a_page_is_parsed_once_and_nothing_is_sorted_to_be_grouped(spark, sf_sma
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
 
 
-def test_steps_are_rendered_before_they_are_grouped(spark, sf_small):
-    """The text of a step is a compiled column, not an argument that the
-    aggregate interprets row by row."""
-    from mailstream.plans.queries import rendered_pages
-    plan = rendered_pages(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
-    grouped = [line for line in plan.split("\n") if "Aggregate [page" in line and "okey" in line]
-    assert grouped and not any("entreeMachine" in line for line in grouped)
-
-
 @pytest.mark.parametrize("name", ["map_explode", "replay_dead_letters", "egress_messages"])
 def test_a_filter_on_the_lane_does_not_repeat_the_parse(spark, sf_small, name):
     """The lane is read off the exploded step, so the planner cannot push a
@@ -104,3 +95,20 @@ def test_readers_of_ids_and_counts_build_no_steps(spark, sf_small, name, absent)
     parse = next(p for p in re.findall(r"from_xml\(([^\n]*)", plan) if "StructField(title" in p)
     assert absent not in parse
     assert "StructField(div,ArrayType(StructType(StructField(_class" not in parse
+
+
+def test_steps_are_rendered_before_they_are_grouped(spark, sf_small):
+    """The text of a step is a compiled column, not an argument that the
+    aggregate interprets row by row."""
+    from mailstream.plans.queries import rendered_pages
+    plan = rendered_pages(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.split("\n") if "Aggregate [page" in line and "okey" in line]
+    assert grouped and not any("entreeMachine" in line for line in grouped)
+
+
+def test_a_step_row_repeats_the_parent_fields_not_the_entry(spark, sf_small):
+    from mailstream.operators import parcels as P
+    from mailstream.plans.queries import rendered_pages
+    st = P.steps(P.entries(rendered_pages(spark, sf_small).limit(1)), kinds=(0,))
+    assert "entry" not in st.columns and "_parent" in st.columns
+    assert [r[0] for r in st.select("_k").distinct().collect()] == [0]
