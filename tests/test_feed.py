@@ -377,3 +377,42 @@ def test_smaller_schemas_give_the_same_ids_and_counts(spark):
     want = sorted(P.treatment_counts(P.entries(df)).collect())
     assert sorted(P.treatment_counts(P.key_entries(df, schema=fd.LIST_ENTRY)).collect()) == want
     assert [r["n_manual"] for r in want] == [1, 0, 4]
+
+
+def test_spans_left_out_of_the_parse_change_nothing(spark):
+    """Keys and addresses with the spans that nobody looks up left out, against
+    those of the whole pages: odd spans, broken spans, spans in comments, CDATA
+    and other spans, runs longer than one match, markup behind the root."""
+    step, by_hand = machine(), manual()
+    put = lambda x: step.replace('<span class="datePublication">', x + '<span class="datePublication">')
+    late = '<span class="datePublication">2031-03-05T07:11:41Z</span>'
+    odd = [put(x) for x in (
+        '<span class="a">x</span>' * 150, '<span class="a" class="b">x</span>', '<span class="a" t="1" t="2">x</span>',
+        '<span class="a">&nope;</span>', '<span class="a">&amp;&lt;</span>', '<span class="a">a & b</span>',
+        '<span class="a">]]></span>', '<span class="a">\x01</span>', '<span class="a">￿</span>', '<span class="a" t="<">x</span>',
+        '<span class=" datePublication ">x</span>', "<span class='datePublication'>y</span>", '<span class="a" Class="datePublication">z</span>',
+        '<span CLASS="datePublication">z</span>', '<span class="a"><b>x</b></span>', '<span class="a">x', '<span class="a"/>', '<x:span class="a">x</x:span>',
+        '<!--<span class="a">x</span>-->', '<!-- -<span class="a">x</span>- -->', '<span class="date&#80;ublication">w</span>',
+        '<span class="a">é 𝄞 line\n\ttab</span>\n <span class="b">\r</span>')]
+    for inner in ('ab<span class="a">c</span>de', '<span class="a">c</span>de', '<span class="a">c</span>', '<b/>\n<span class="a">c</span> de',
+                  '<i></i><span class="a">c</span><span class="b">d</span>', '<![CDATA[<span class="a">c</span>]]>', '<b>1</b><span class="a">c</span>x<b>2</b>y',
+                  '<li><span class="a">c</span><b/></li>'):
+        odd.append(step.replace(late, f'<span class="datePublication">{inner}</span>'))
+    odd += ['<li><span class="a">x</span></li>', '<li><span class="a">x</span><span class="b">y</span></li><li/>', "<li></li>"]
+    bodies = [feed(entry("ODD", machines=[o, step], manuals=[by_hand], addresses=2)) for o in odd]
+    whole = feed(entry("W", machines=[step], addresses=1))
+    bodies += [whole + x for x in ('<span class="a">x</span>', '\n<span class="a">x</span>\n', '<span class="a">x</span><b/>')]
+    bodies += [whole.replace("</ul>", '</ul><span class="a">x</span>text'), whole.replace("</a:id>", '</a:id><span class="a">x</span>'),
+               whole.replace('<span class="etat">', '<span class="etat>'), whole[:-30], None]
+    df = pages(spark, *bodies)
+    cols = ["url", "entry_pos", "kind", "li_pos", "key"]
+    keys = lambda spans: sorted(map(str, P.with_keys(P.step_keys(P.key_entries(df, spans=spans))).select(*cols).collect()))
+    assert keys(P.KEY_SPANS) == keys(None) and len(keys(None)) > 60
+    homes = lambda spans: sorted(map(str, P.addresses(P.key_entries(df, spans=spans)).collect()))
+    assert homes(P.ADDRESS_SPANS) == homes(None) and len(homes(None)) > 40
+    state = lambda spans: sorted(map(str, fd.parse_feed(df, fd.KEY_ENTRY, spans=spans).select(
+        "url", "parse_ok", "total_results", F.size("entries").alias("n")).collect()))
+    assert state(P.KEY_SPANS) == state(None)
+    # what is left to build does not grow with the spans that nobody looks up
+    lean = df.filter("url = 'u0'").select(fd.without_spans(F.col("body"), P.KEY_SPANS).alias("b")).first()["b"]
+    assert lean.count("<span") < 12 and bodies[0].count("<span") > 180

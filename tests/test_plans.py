@@ -112,3 +112,9 @@ def test_a_step_row_repeats_the_parent_fields_not_the_entry(spark, sf_small):
     st = P.steps(P.entries(rendered_pages(spark, sf_small).limit(1)), kinds=(0,))
     assert "entry" not in st.columns and "_parent" in st.columns
     assert [r[0] for r in st.select("_k").distinct().collect()] == [0]
+
+
+@pytest.mark.parametrize("name", ["parcel_keys", "parcels_last", "addresses"])
+def test_spans_that_nobody_looks_up_are_left_out_once(spark, sf_small, name):
+    plan = queries()[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"regexp_replace\(body#\d+, \(<\(\?:/", plan)) == 1
