@@ -110,7 +110,8 @@ def _candidate_texts(own: DataFrame, profiles: DataFrame, several: DataFrame) ->
     """``(doc_id, text, again)``: each text of every class that shares a table,
     once; ``again`` marks the doc_ids that more than one row has."""
     reps = profiles.select("rep").join(several, profiles["rep"] == several["id"], "left")
-    reps = reps.select("rep", F.col("id").isNotNull().alias("again"))
+    # written, so that the join knows its size: the texts are not shuffled to meet few classes
+    reps = written(reps.select("rep", F.col("id").isNotNull().alias("again")), "nd-reps")
     of = lambda again: own.join(reps.filter(F.col("again") == again), own["doc_id"] == F.col("rep")) \
         .select("doc_id", "text", "again")
     return written(of(False).union(of(True).distinct()), "nd-texts")
@@ -398,17 +399,21 @@ def _without(pairs: DataFrame, tested: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Pipeline form: one document of each group, with its own columns; rows
-    without doc_id stay. The kept ids are unique, so repeated rows of one
-    doc_id come down to one."""
+    without doc_id stay. Repeated rows of one doc_id come down to one. Only the
+    ids that go, and those that repeat, meet the texts: they are few against the
+    ids that stay, and only rows of ids that repeat are shuffled to be counted
+    once."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = {c.lower(): n for c, n in zip(docs.columns, names)}
     own = docs.toDF(*names)
-    judged = near_duplicates(docs.select("doc_id", "text")).filter("kept and doc_id is not null")
-    ids = judged.select(F.col("doc_id").alias("_kept")).distinct()
+    marks = written(near_duplicates(docs.select("doc_id", "text")).filter("doc_id is not null").groupBy("doc_id")
+                    .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("not kept or n > 1")
+                    .select(F.col("doc_id").alias("_id"), "kept"), "nd-marks")
+    again = written(marks.filter("kept").select("_id"), "nd-again")
     key = own[at["doc_id"]].cast("long")
-    some = own.filter(own[at["doc_id"]].isNotNull()).join(ids, key == F.col("_kept"), "left_semi")
-    kept = some.dropDuplicates([at["doc_id"]]).union(own.filter(own[at["doc_id"]].isNull()))
-    return kept.toDF(*docs.columns)
+    once = own.join(marks, key == marks["_id"], "left_anti")
+    many = own.join(again, key == again["_id"], "left_semi").dropDuplicates([at["doc_id"]])
+    return once.union(many).toDF(*docs.columns)
 
 
 def op4_near_duplicates(docs: DataFrame) -> DataFrame:

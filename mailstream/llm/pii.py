@@ -235,7 +235,9 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     keyed = docs.withColumn("h", F.xxhash64(F.col(text_col)))
     scan = candidates(base_spans(keyed, text_col), text_col)
     found = written(scan, "pii-found")
-    extra = context_spans(found)
+    # only rows with context spans: written, so that the join knows their size
+    # and a small table goes to the texts, not the texts through a shuffle
+    extra = written(context_spans(found), "pii-extra")
     x = extra.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "extra")
     out = found.join(x, found["doc_id"].eqNullSafe(x["_d"]) & (found["h"] == x["_h"]), "left")
     spans = F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "extra")))

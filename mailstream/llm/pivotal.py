@@ -188,10 +188,15 @@ def materialise_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     own = docs.toDF(*names)
     sized = own.select("*", own[at["doc_id"]].cast("long").alias("doc_id"), own[at["source"]].alias("source"),
                        count_words(own[at["text"]]).alias("size"))
-    plan = written(plan_mix(sized.select(*_UNIT), seed), "mix-plan").filter("copies > 0")
-    p = plan.filter("rows = 1").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], "copies")
+    plan = plan_mix(sized.select(*_UNIT), seed).select(*_UNIT, "rows", "copies")
+    # the units of one row and the others are tables of their own, with nothing
+    # but what the join needs, so that the join with the texts knows their size
+    plan = written(plan.withColumn("_one", F.col("rows") == 1), "mix-plan").filter("copies > 0")
+    p = written(plan.filter("_one").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], "copies"), "mix-single")
+    several = written(plan.filter("not _one").drop("_one"), "mix-several")
     hit = sized.join(p, sized["doc_id"].eqNullSafe(p["_doc_id"]) & sized["source"].eqNullSafe(p["_source"])
-                     & (sized["size"] == p["_size"])).select(*sized.columns, "copies").unionByName(_repeated(sized, plan))
+                     & (sized["size"] == p["_size"])).select(*sized.columns, "copies")
+    hit = hit.unionByName(_repeated(sized, several))
     # at most MAX_COPIES of a row
     out = hit.filter("copies > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(*names).toDF(*docs.columns)
