@@ -86,16 +86,19 @@ def _shared_collections(classes: DataFrame) -> DataFrame:
     """``(rep, lo, hi, score, us, vs)``: the collection values that at least
     two classes share; ``score`` adds up how many classes share them. ``lo`` and
     ``hi`` are the set sizes (they differ only when rows of one doc_id have
-    different texts)."""
-    values = classes.select("rep", "n", "digest", F.posexplode("cols").alias("pos", "v"))
-    values = values.withColumn("c", F.xxhash64("pos", "v"))
+    different texts). A class is 32 rows on the way, so they hold nothing but
+    the value; sizes are joined once for each rep."""
+    values = classes.select("rep", F.posexplode("cols").alias("pos", "v")).select(
+        "rep", F.xxhash64("pos", "v").alias("c"), (F.col("pos") < SIDE).alias("first"))
     counts = written(values.groupBy("c").agg(F.count(F.lit(1)).alias("shared")).filter("shared > 1"), "nd-shared")
-    hit = values.join(counts, "c")
     side = lambda cond: F.collect_list(F.when(cond, F.col("c")))  # noqa: E731  nulls are left out
-    return written(hit.groupBy("rep").agg(
-        F.min("n").alias("lo"), F.when(F.min("digest") == F.max("digest"), F.max("n")).otherwise(F.max("n") + 1).alias("hi"),
-        F.sum("shared").alias("score"), side(F.col("pos") < SIDE).alias("us"), side(F.col("pos") >= SIDE).alias("vs"))
-        .filter((F.size("us") > 0) & (F.size("vs") > 0)), "nd-profiles")
+    hit = (values.join(counts, "c").groupBy("rep")
+           .agg(F.sum("shared").alias("score"), side(F.col("first")).alias("us"), side(~F.col("first")).alias("vs"))
+           .filter((F.size("us") > 0) & (F.size("vs") > 0)))
+    # classes differ in their text, so a rep of several has no one size
+    of = classes.groupBy(F.col("rep").alias("id")).agg(
+        F.min("n").alias("lo"), F.when(F.count(F.lit(1)) == 1, F.max("n")).otherwise(F.max("n") + 1).alias("hi"))
+    return written(hit.join(of, hit["rep"] == of["id"]).select("rep", "lo", "hi", "score", "us", "vs"), "nd-profiles")
 
 
 def _several(sig: DataFrame) -> DataFrame:

@@ -194,6 +194,9 @@ def materialise_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     plan = written(plan.withColumn("_one", F.col("rows") == 1), "mix-plan").filter("copies > 0")
     p = written(plan.filter("_one").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], "copies"), "mix-single")
     several = written(plan.filter("not _one").drop("_one"), "mix-several")
+    # p has a row for each document: it grows with the texts and is shuffled with
+    # them at every size, so that the join does not change its kind on the way
+    p = p.hint("shuffle_hash")
     hit = sized.join(p, sized["doc_id"].eqNullSafe(p["_doc_id"]) & sized["source"].eqNullSafe(p["_source"])
                      & (sized["size"] == p["_size"])).select(*sized.columns, "copies")
     hit = hit.unionByName(_repeated(sized, several))

@@ -579,3 +579,39 @@ def test_stages_do_not_shuffle_texts_to_meet_small_tables(spark, docs):
     for stage, shuffles in ((neardup.keep_one, 1), (pii.redact, 0)):
         plan = stage(docs)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") <= shuffles, (stage, plan)
+
+
+def test_mix_meets_its_texts_by_one_kind_of_join_at_every_size(spark, docs):
+    """Its plan has a row for each document, so it is no side table."""
+    plan = pivotal.materialise_mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan, plan
+
+
+def test_shared_collections_send_values_without_digests(spark, monkeypatch):
+    """32 rows of a class meet the shared values with nothing but the value;
+    sizes come once for each rep, loose for a rep of several classes."""
+    plans, keep = [], neardup.written
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(neardup, "written", kept)
+    cols = lambda k: [100 * k + i for i in range(2 * neardup.SIDE)]
+    classes = spark.createDataFrame(
+        [(b"a", 1, 10, cols(1)), (b"b", 2, 11, cols(1)), (b"c", 3, 12, cols(2)), (b"d", 4, 7, cols(1)), (b"e", 4, 9, cols(3))],
+        "digest binary, rep long, n long, cols array<long>")
+    got = {r["rep"]: (r["lo"], r["hi"], r["score"], len(set(r["us"])), len(set(r["vs"])))
+           for r in neardup._shared_collections(classes).collect()}
+    side = neardup.SIDE
+    assert got == {1: (10, 10, 6 * side, side, side), 2: (11, 11, 6 * side, side, side), 4: (7, 10, 6 * side, side, side)}
+    assert not [x for p in plans for x in p.splitlines() if "digest" in x and "LogicalRDD" not in x]
+
+
+def test_written_tables_are_packed(spark):
+    import pyarrow.parquet as pq
+
+    from mailstream.llm.common import written
+    files = written(spark.range(9), "t-packed").inputFiles()
+    for f in files:
+        assert pq.ParquetFile(f.split(":", 1)[1].replace("///", "/")).metadata.row_group(0).column(0).compression == "ZSTD"
